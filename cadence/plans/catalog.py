@@ -14,9 +14,7 @@ a way to shrink the input.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import YEAR
@@ -24,21 +22,7 @@ from cadence.operators.dims import calendar
 from cadence.operators.hop import calendar_mondays
 from cadence.plans.snapshot import active_snapshot, flag_new
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+from cadence.plans.registry import ORACLE, QUERIES, register, table  # noqa: F401
 
 
 # ------------------------------------------------------------------ history
@@ -95,3 +79,7 @@ SELECT s.*, CASE WHEN (SELECT count(*) FROM snap s2 WHERE s2.contributor_key = s
 FROM snap s""")
 def q_active_is_new(spark, d):
     return flag_new(_hist_snapshot(spark, d), YEAR)
+
+
+# query groups register themselves on import
+from cadence.plans import catalog_loads, catalog_conversions  # noqa: E402,F401

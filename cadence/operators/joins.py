@@ -13,15 +13,18 @@ SMALL_DIM_ROWS = 100_000
 
 def broadcast_bounded(df: DataFrame, max_rows: int = SMALL_DIM_ROWS,
                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint when ``df`` provably has at most ``max_rows`` rows.
-
-    ``known_rows`` is a bound known from construction (e.g. the number of weeks in a
-    window); otherwise a bounded count (``limit(max_rows + 1)``) decides. Beyond
-    the bound the frame is returned unhinted, so the planner picks a shuffle join.
+    """Broadcast ``df`` only when its row count is provably at most ``max_rows``.
+
+    ``known_rows`` is a bound known from construction (e.g. the number of weeks in
+    a reporting window). Without one the frame is returned unhinted: Spark then
+    broadcasts it only if its estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the measured
+    size at run time; otherwise it is a shuffle (sort-merge) join. No job is run
+    to size the frame.
     """
-    if known_rows is None:
-        known_rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if known_rows <= max_rows else df
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
+    return df
 
 
 def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str) -> Column:

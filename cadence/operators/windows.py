@@ -108,20 +108,17 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
                        *bcols)
 
     if distinct_of:
-        # one row per (group, value, bucket), then count distinct values per Monday
+        # one row per (group, value, bucket); after the hop one row per (group, Monday, value)
         bk = bkeys + [distinct_of]
         buckets = base.groupBy(*bk).agg(F.max(ts).alias("_max"), F.min(ts).alias("_min"))
         hop = hop_explode(buckets, "_max", mondays, span)
-        agg = [F.countDistinct(distinct_of).alias("cnt"), F.max("_max").alias("utc_datetime")]
+        per_value = hop.groupBy(*group, AS_OF, distinct_of).agg(F.min("_min").alias("_first"),
+                                                                F.max("_max").alias("_last"))
+        agg = [F.count(F.lit(1)).alias("cnt"), F.max("_last").alias("utc_datetime")]
         if concat == "list":
-            firsts = hop.groupBy(*group, AS_OF, distinct_of).agg(F.min("_min").alias("_first"))
-            vals = F.collect_list(F.struct(F.col("_first"), F.col(distinct_of)))
-            per = firsts.groupBy(*group, AS_OF).agg(
-                F.count(distinct_of).alias("_nd"),
-                _join_sorted(vals, "_first", distinct_of, max_len).alias("canonical"))
-            out = hop.groupBy(*group, AS_OF).agg(*agg).join(per.drop("_nd"), group + [AS_OF])
-        else:
-            out = hop.groupBy(*group, AS_OF).agg(*agg)
+            agg.append(_join_sorted(F.collect_list(F.struct(F.col("_first"), F.col(distinct_of))),
+                                    "_first", distinct_of, max_len).alias("canonical"))
+        out = per_value.groupBy(*group, AS_OF).agg(*agg)
     else:
         bagg = [F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_max"), F.min(ts).alias("_min")]
         if concat == "list":

@@ -13,7 +13,7 @@ from cadence.operators.hop import calendar_mondays
 from cadence.operators.joins import broadcast_bounded
 from cadence.operators.windows import first_event_flag, threshold_rollup, trailing_window
 from cadence.plans.conversions import convert
-from cadence.plans.registry import register, table
+from cadence.plans.registry import NATION_ROWS, REGION_ROWS, register, table
 from cadence.sources.readers import windowed
 
 EV_LO, EV_HI = "2024-01-08 00:00:00", "2024-01-21 00:00:00"
@@ -144,7 +144,8 @@ def q_patch_with_team(spark, d):
     part = table(spark, d, "part").select("p_partkey", F.when(F.col("p_size") > 25, 1).otherwise(0).alias("ispatch"))
     nation = table(spark, d, "nation")
     sup = (table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-           .join(broadcast_bounded(nation.select("n_nationkey", F.col("n_name").alias("product_name"))),
+           .join(broadcast_bounded(nation.select("n_nationkey", F.col("n_name").alias("product_name")),
+                                   known_rows=NATION_ROWS),
                  F.col("s_nationkey") == F.col("n_nationkey")))
     facts = (li.join(part, F.col("p_partkey") == F.col("l_partkey"), "left")
              .join(sup, F.col("s_suppkey") == F.col("l_suppkey")))
@@ -154,7 +155,8 @@ def q_patch_with_team(spark, d):
         "Having patch be approved": patch & (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
     }, ts="l_shipdate")
     team = broadcast_bounded(nation.where(F.col("n_regionkey") == 1)
-                             .select((F.col("n_nationkey") + 1).alias("_tk"), F.col("n_name").alias("_tn")))
+                             .select((F.col("n_nationkey") + 1).alias("_tk"), F.col("n_name").alias("_tn")),
+                             known_rows=NATION_ROWS)
     rows = rows.join(team, F.col("product_name") == F.col("_tn"), "left")
     return rows.select(concat_strict("item/", F.col("l_orderkey"), "/", F.col("l_linenumber")).alias("canonical"),
                        F.col("l_shipdate").alias("utc_datetime"), "cnt", F.col("l_suppkey").alias("contributor_key"),

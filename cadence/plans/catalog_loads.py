@@ -12,7 +12,7 @@ from cadence.operators.dims import calendar, distinct_members, map_attribute
 from cadence.operators.hop import calendar_mondays
 from cadence.operators.joins import broadcast_bounded, lookup_const, with_const_lookups
 from cadence.operators.rules import set_where
-from cadence.plans.registry import register, table
+from cadence.plans.registry import NATION_ROWS, REGION_ROWS, register, table
 from cadence.sources.readers import copy_columns, window_any, windowed
 
 EV_LO, EV_HI = "2024-01-08 00:00:00", "2024-01-21 00:00:00"
@@ -95,7 +95,7 @@ def q_extract_log_join(spark, d):
     li = windowed(table(spark, d, "lineitem"), "l_shipdate", "1997-01-01 00:00:00", "1997-01-31 00:00:00")
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = broadcast_bounded(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    n = broadcast_bounded(table(spark, d, "nation").select("n_nationkey", "n_name"), known_rows=NATION_ROWS)
     p = table(spark, d, "part").select("p_partkey", "p_name")
     j = (li.join(o, "l_orderkey")                                   # USING (key)
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -145,8 +145,9 @@ WHERE c.c_name IS NOT NULL
 def q_extract_left_chain_distinct(spark, d):
     o = windowed(table(spark, d, "orders"), "o_orderdate", "1996-01-01 00:00:00", "1996-12-31 00:00:00")
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = broadcast_bounded(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    r = broadcast_bounded(table(spark, d, "region").select("r_regionkey", "r_name"))
+    n = broadcast_bounded(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"),
+                          known_rows=NATION_ROWS)
+    r = broadcast_bounded(table(spark, d, "region").select("r_regionkey", "r_name"), known_rows=REGION_ROWS)
     li = table(spark, d, "lineitem").select("l_orderkey")
     # The line-item join fans out but contributes no column: DISTINCT removes its
     # duplicates and the optimizer drops the join itself.
@@ -495,7 +496,8 @@ def q_dim_two_aliases(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, d, "nation")
     n1 = broadcast_bounded(nation.where(F.col("n_name").isin("NATION_1", "NATION_2", "NATION_3"))
-                           .select(F.col("n_nationkey").alias("n1_key"), F.col("n_name").alias("cust_nation")))
+                           .select(F.col("n_nationkey").alias("n1_key"), F.col("n_name").alias("cust_nation")),
+                           known_rows=NATION_ROWS)
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
          .join(n1, F.col("c_nationkey") == F.col("n1_key")))
     out = with_const_lookups(j, {"target_key": lookup_const(nation, "n_name", "NATION_0", "n_nationkey")})

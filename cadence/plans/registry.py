@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed sizes of the two reference tables in the test schema (independent of scale).
+NATION_ROWS, REGION_ROWS = 25, 5
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 

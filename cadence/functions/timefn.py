@@ -135,3 +135,24 @@ def calendar_attributes(d) -> list[Column]:
 def ymd_month_name(d) -> Column:
     """Date as ``2014/June/2`` (year / full month name / day without padding)."""
     return F.date_format(_col(d), "yyyy/MMMM/d")
+
+
+def offset_column(local, tz: str | None = None, offset=None) -> Column:
+    """The source's UTC offset for each row, as a day-time interval.
+
+    * ``offset``: a fixed offset (``datetime.timedelta`` or interval Column), as a
+      source reports it at extract time,
+    * ``tz``: the offset of each row's own instant in that zone (right across a
+      daylight-saving change),
+    * neither: zero, so local time is taken as UTC (never NULL, which would lose
+      the row at the calendar join).
+    """
+    if offset is not None:
+        if isinstance(offset, Column):
+            return offset
+        secs = int(offset.total_seconds()) if hasattr(offset, "total_seconds") else int(offset) * 3600
+        return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(secs).cast("decimal(18,6)"))
+    if tz is not None:
+        loc = _col(local)
+        return F.convert_timezone(F.lit(tz), F.lit("UTC"), loc) - loc
+    return F.make_dt_interval(F.lit(0))

@@ -5,8 +5,9 @@
 * replace: a row replaces the stored row with its key; within one batch the
   last row per key wins.
 
-As with a unique index, a key containing NULL never conflicts. Ties in the stated
-order are broken by all remaining columns, so the survivor is deterministic.
+Keys compare NULL-safely (NULL equals NULL), so re-running a window whose rows
+have empty optional fields adds nothing. Ties in the stated order are broken by
+all remaining columns, so the survivor is deterministic.
 """
 
 from __future__ import annotations
@@ -31,44 +32,44 @@ def _total_order(df: DataFrame, key: list[str], order: Sequence, descending: boo
     return [c.asc_nulls_first() for c in cols]
 
 
-def _null_key(key: list[str]) -> Column:
-    cond = F.lit(False)
-    for k in key:
-        cond = cond | F.col(k).isNull()
-    return cond
-
-
 def pick_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence = (),
                  last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) in ``order``; NULL-keyed rows all kept.
+    """One row per key: the first (or last) in ``order``.
 
     ``row_number() = 1`` is planned with a partial group limit before the shuffle,
     so a hot key sends one row per map partition, not all of its rows.
     """
     key = _cols(key)
     w = Window.partitionBy(*key).orderBy(*_total_order(df, key, order, last))
-    keyed = df.where(~_null_key(key))
-    picked = keyed.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick")
-    return picked.unionByName(df.where(_null_key(key)))
+    return df.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick")
+
+
+def anti_join_keys(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key (NULL-safe) does not occur in ``other``."""
+    key = _cols(key)
+    o = other.select(*[F.col(k).alias(f"_ak_{i}") for i, k in enumerate(key)])
+    cond = None
+    for i, k in enumerate(key):
+        c = F.col(k).eqNullSafe(F.col(f"_ak_{i}"))
+        cond = c if cond is None else cond & c
+    return df.join(o, cond, "left_anti")
 
 
 def insert_if_absent(existing: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
                      order: Sequence = ()) -> DataFrame:
     """Rows of ``incoming`` to append: first per key, and no key already stored."""
-    key = _cols(key)
     fresh = pick_per_key(incoming, key, order)
     if existing is None:
         return fresh
-    return fresh.join(existing.select(*key), key, "left_anti")
+    return anti_join_keys(fresh, existing, key)
 
 
 def replace_by_key(existing: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
                    order: Sequence = ()) -> DataFrame:
     """The table after replacing: stored rows whose key is not in the batch, plus the
     last row per key of the batch."""
-    key = _cols(key)
     fresh = pick_per_key(incoming, key, order, last=True)
     if existing is None:
         return fresh
-    kept = existing.join(fresh.where(~_null_key(key)).select(*key), key, "left_anti")
+    kept = anti_join_keys(existing, fresh, key)
     return kept.unionByName(fresh.select(*existing.columns))

@@ -53,8 +53,8 @@ class Names:
     hosting_source: str = "hosting"
     reports_source: str = "reports"
     support_source: str = "support"
-    reports_team: str = "Reps"
-    support_team: str = "Sumo"
+    reports_team: str = "Field reports"
+    support_team: str = "Support"
     # "Filing a bug <product>" counts first reports on this product
     featured_product: str = "Featured product"
     bug_account_action: str = "Creating bug tracker account"

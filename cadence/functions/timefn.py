@@ -156,3 +156,12 @@ def offset_column(local, tz: str | None = None, offset=None) -> Column:
         loc = _col(local)
         return F.convert_timezone(F.lit(tz), F.lit("UTC"), loc) - loc
     return F.make_dt_interval(F.lit(0))
+
+
+def date_key_between(c, lo, hi, pad_days: int = 0) -> Column:
+    """``yyyyMMdd`` key column between the dates of ``lo`` and ``hi`` (widened by
+    ``pad_days``): a partition filter matching a time window."""
+    lo_d = _dt.datetime.fromisoformat(str(lo)).date() - _dt.timedelta(days=pad_days)
+    hi_d = _dt.datetime.fromisoformat(str(hi)).date() + _dt.timedelta(days=pad_days)
+    k = lambda x: x.year * 10000 + x.month * 100 + x.day
+    return _col(c).between(F.lit(k(lo_d)), F.lit(k(hi_d)))

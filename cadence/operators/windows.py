@@ -23,6 +23,26 @@ def _cols(cols) -> list[str]:
 
 # ---------------------------------------------------------------- first event
 
+def first_event_marks(facts: DataFrame, entity: str, ts: str, is_event: Column, lo=None, hi=None) -> DataFrame:
+    """(entity, ``_first_ts``): time of each entity's first event over all history,
+    for entities with an event inside ``[lo, hi]`` (all entities without bounds).
+    One partial+final aggregation per entity and a semi join: skew-safe."""
+    firsts = facts.where(is_event).groupBy(entity).agg(F.min(ts).alias("_first_ts"))
+    if lo is not None and hi is not None:
+        touched = facts.where(is_event & between_ts(ts, lo, hi)).select(entity)
+        firsts = firsts.join(touched, entity, "left_semi")
+    return firsts
+
+
+def apply_marks(facts: DataFrame, marks: DataFrame, entity: str, ts: str, flag: str, value: int = 0) -> DataFrame:
+    """Set ``flag = value`` on facts at (entity, first time); others keep their flag."""
+    m = marks.select(F.col(entity).alias("_fe_entity"), F.col("_first_ts"))
+    cur = F.col(flag) if flag in facts.columns else F.lit(None).cast("int")
+    joined = facts.join(m, (F.col(entity) == F.col("_fe_entity")) & (F.col(ts) == F.col("_first_ts")), "left")
+    return (joined.withColumn(flag, F.when(F.col("_first_ts").isNotNull(), F.lit(value)).otherwise(cur))
+            .drop("_fe_entity", "_first_ts"))
+
+
 def first_event_flag(facts: DataFrame, entity: str, ts: str, is_event: Column,
                      lo=None, hi=None, flag: str = "comment_num", value: int = 0) -> DataFrame:
     """Set ``flag = value`` on every fact of an entity at the time of its first event.
@@ -33,17 +53,10 @@ def first_event_flag(facts: DataFrame, entity: str, ts: str, is_event: Column,
     Other rows keep their current ``flag`` (NULL when the column is new).
 
     Plan: one partial+final aggregation per entity (skew-safe), a semi join to the
-    touched entities, and an equi join back on (entity, time).
+    touched entities, and an equi join back on (entity, time), which spreads a hot
+    entity's facts over their times.
     """
-    firsts = facts.where(is_event).groupBy(entity).agg(F.min(ts).alias("_first_ts"))
-    if lo is not None and hi is not None:
-        touched = facts.where(is_event & between_ts(ts, lo, hi)).select(entity)
-        firsts = firsts.join(touched, entity, "left_semi")
-    marks = firsts.select(F.col(entity).alias("_fe_entity"), F.col("_first_ts"))
-    cur = F.col(flag) if flag in facts.columns else F.lit(None).cast("int")
-    joined = facts.join(marks, (F.col(entity) == F.col("_fe_entity")) & (F.col(ts) == F.col("_first_ts")), "left")
-    return (joined.withColumn(flag, F.when(F.col("_first_ts").isNotNull(), F.lit(value)).otherwise(cur))
-            .drop("_fe_entity", "_first_ts"))
+    return apply_marks(facts, first_event_marks(facts, entity, ts, is_event, lo, hi), entity, ts, flag, value)
 
 
 # ------------------------------------------------------------ trailing window

@@ -17,10 +17,10 @@ from cadence.functions.text import concat_strict, literal_contains, regex_contai
 from cadence.functions.timefn import QUARTER, Span, date_key, offset_column
 from cadence.operators.conform import DimJoin, conform
 from cadence.operators.hop import Mondays, calendar_mondays
-from cadence.operators.windows import first_event_flag, threshold_rollup
+from cadence.operators.windows import apply_marks, first_event_flag, first_event_marks, threshold_rollup
 from cadence.plans import names as N
-from cadence.plans.common import (CONTRIBUTOR_FACTS, raw_in_window, store_conversions, update_calendar,
-                                  update_contributors, utc_of_raw)
+from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
+                                  update_calendar, update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, Team, attach_keys, convert
 from cadence.sources.readers import Sources, any_in_window, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
@@ -146,6 +146,20 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, status
                       F.lit(None).cast("int").alias("comment_num"))
 
 
+def renumber_comments(wh: Warehouse, lo, hi) -> None:
+    """Store ``comment_num = 0`` for the first comments of bugs commented on in
+    ``[lo, hi]``, rewriting only the partitions where a flag actually changes."""
+    facts = wh.table(FACTS)
+    marks = first_event_marks(facts.select("bug_id", "fields", "utc_datetime"), "bug_id", "utc_datetime",
+                              F.col("fields") == N.FIELD_COMMENT, lo, hi)
+    hit = facts.where(F.col("comment_num").isNull()).join(
+        marks.withColumnRenamed("_first_ts", "utc_datetime"), ["bug_id", "utc_datetime"], "left_semi")
+    changed = hit.select("utc_date_key").distinct()
+    rows = facts.join(changed, "utc_date_key", "left_semi")
+    wh.overwrite_partitions(FACTS, apply_marks(rows, marks, "bug_id", "utc_datetime", "comment_num")
+                            .select(*facts.columns), ["utc_date_key"])
+
+
 def number_comments(facts: DataFrame, lo, hi) -> DataFrame:
     """``comment_num = 0`` on every fact at the time of a bug's first comment, for
     bugs commented on in ``[lo, hi]`` (UTC)."""
@@ -230,7 +244,7 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     wh.upsert("bug_component", component_dim(src), ["component_key"])
     wh.upsert("bug_status", status_dim(src), ["status_key"])
     wh.insert_new(ATTACHMENT, extract_attachments(src, lo, hi, tz, offset), ["attachment_key"])
-    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY)
+    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)
     cal = update_calendar(wh, raw)
     contributor = update_contributors(wh, [
@@ -239,18 +253,13 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     facts = conform_facts(raw, contributor, cal, wh.table("bug_status"), wh.table("bug_product"),
                           wh.table("bug_component"), names)
     wh.insert_new(FACTS, facts, FACTS_KEY, partition_by=["utc_date_key"])
-    # first comments: recompute the flag for bugs commented on in the window
-    all_facts = wh.table(FACTS)
-    numbered = number_comments(all_facts, lo, hi)
-    touched = numbered.where(F.col("comment_num").isNotNull()).select("utc_date_key").distinct()
-    wh.overwrite_partitions(FACTS, numbered.join(touched, "utc_date_key", "left_semi")
-                            .select(*all_facts.columns), ["utc_date_key"])
-    store_conversions(wh, conversions(wh.table(FACTS), wh.table("bug_product"), wh.table(ATTACHMENT),
-                                      conversion_dim, source_dim, team_dim, lo, hi, names))
+    renumber_comments(wh, lo, hi)
+    store_conversions(wh, conversions(in_partitions(wh.table(FACTS), lo, hi), wh.table("bug_product"),
+                                      wh.table(ATTACHMENT), conversion_dim, source_dim, team_dim, lo, hi, names))
     mondays = calendar_mondays(wh.table("utc_date_only"), lo, hi)
     if not mondays.empty:
-        store_conversions(wh, triage_thresholds(wh.table(CONTRIBUTOR_FACTS), conversion_dim, mondays,
-                                                triage_thresholds_list, names))
+        cf = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, QUARTER)
+        store_conversions(wh, triage_thresholds(cf, conversion_dim, mondays, triage_thresholds_list, names))
 
 
 __all__ = ["extract_attachments", "extract_activity", "extract_comments", "extract_accounts", "raw_facts",

@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.timefn import add_offset, between_ts
+import datetime as _dt
+
+from cadence.functions.timefn import Span, add_offset, between_ts, date_key_between
 from cadence.operators.dims import add_members, calendar
 from cadence.plans.conversions import FACT_KEY
 from cadence.sources.sinks import Warehouse
@@ -50,3 +52,17 @@ def store_conversions(wh: Warehouse, rows: DataFrame, replace: bool = False) ->
     if replace:
         return wh.upsert(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"])
     return wh.insert_new(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"])
+
+
+def in_partitions(df: DataFrame, lo, hi, span: Span | None = None, col: str = "utc_date_key") -> DataFrame:
+    """Partition filter on the ``yyyyMMdd`` key for UTC times in ``[lo - span, hi]``
+    (a superset of the rows a time predicate keeps; prunes whole partitions)."""
+    pad = span.max_days() if span is not None else 0
+    lo_t = _dt.datetime.fromisoformat(str(lo)) - _dt.timedelta(days=pad)
+    return df.where(date_key_between(col, lo_t, hi))
+
+
+def local_window(lo, hi):
+    """Predicate on stored raw rows for the load window (the local time is part of
+    every raw key, so only these rows can conflict with a re-extracted batch)."""
+    return between_ts("local_datetime", lo, hi)

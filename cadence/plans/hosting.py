@@ -17,7 +17,8 @@ from cadence.operators.conform import DimJoin, conform
 from cadence.operators.dims import add_members, distinct_members, map_attribute
 from cadence.operators.joins import lookup_const
 from cadence.plans import names as N
-from cadence.plans.common import raw_in_window, store_conversions, update_calendar, update_contributors, utc_of_raw
+from cadence.plans.common import (in_partitions, local_window, raw_in_window, store_conversions, update_calendar,
+                                  update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, convert
 from cadence.sources.readers import Sources, windowed
 from cadence.sources.sinks import Warehouse
@@ -96,7 +97,7 @@ def conversions(facts: DataFrame, repo: DataFrame, conversion_dim: DataFrame, so
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame,
         team_dim: DataFrame, repo_teams: DataFrame | None = None, names: N.Names = N.Names(),
         tz: str | None = None, offset=None) -> None:
-    wh.insert_new(RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY)
+    wh.insert_new(RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)
     wh.insert_new("hosting_org", org_members(raw, wh.read("hosting_org")), ["github_org_name"])
     repos = repo_members(raw, wh.read("hosting_repo")).withColumn("team_key", F.lit(None).cast("long"))
@@ -108,5 +109,6 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     cal = update_calendar(wh, raw)
     wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("hosting_org"), wh.table("hosting_repo")),
                   FACTS_KEY, partition_by=["utc_date_key"])
-    store_conversions(wh, conversions(wh.table(FACTS), wh.table("hosting_repo"), conversion_dim, source_dim,
+    store_conversions(wh, conversions(in_partitions(wh.table(FACTS), lo, hi), wh.table("hosting_repo"),
+                                      conversion_dim, source_dim,
                                       lo, hi, names), replace=True)

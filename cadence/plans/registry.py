@@ -25,5 +25,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table ``name`` under ``sf_dir``; the read (file listing, schema) is
+    done once per session and path, as with a table registered in a catalog."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (id(spark), spark.sparkContext.applicationId, path)
+    if k not in _TABLES:
+        _TABLES[k] = spark.read.parquet(path)
+    return _TABLES[k]

@@ -20,7 +20,8 @@ from cadence.operators.dims import add_members, distinct_members
 from cadence.operators.joins import lookup_const
 from cadence.operators.windows import trailing_window
 from cadence.plans import names as N
-from cadence.plans.common import raw_in_window, store_conversions, update_calendar, update_contributors, utc_of_raw
+from cadence.plans.common import (in_partitions, local_window, raw_in_window, store_conversions, update_calendar,
+                                  update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS
 from cadence.sources.readers import Sources, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
@@ -131,7 +132,8 @@ def four_in_four_weeks(facts: DataFrame, conversion_dim: DataFrame, team_dim: Da
 
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
         names: N.Names = N.Names(), tz: str | None = None, offset=None, four_in_4w: bool = True) -> None:
-    wh.insert_new(RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY)
+    wh.insert_new(RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY,
+                  existing_filter=local_window(lo, hi))
     wh.upsert("reports_campaign", campaign_dim(src), ["campaign_key"])
     raw = raw_in_window(wh.table(RAW), lo, hi)
     wh.insert_new("reports_activity", activity_members(raw, wh.read("reports_activity")), ["activity_name"])
@@ -142,7 +144,7 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     facts = conform_facts(raw, contributor, cal, wh.table("reports_activity"), source_dim,
                           wh.table("reports_campaign"), wh.table("reports_location"))
     wh.insert_new(FACTS, facts, FACTS_COLS, partition_by=["utc_date_key"])
-    stored = wh.table(FACTS)
+    stored = in_partitions(wh.table(FACTS), lo, hi, Span.weeks(8))
     store_conversions(wh, trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 8, N.ONE_IN_8_WEEKS, names),
                       replace=True)
     store_conversions(wh, trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 4, N.ONE_IN_4_WEEKS, names),

@@ -23,8 +23,8 @@ from cadence.operators.hop import Mondays, calendar_mondays
 from cadence.operators.joins import lookup_const, with_const_lookups
 from cadence.operators.windows import threshold_rollup
 from cadence.plans import names as N
-from cadence.plans.common import (CONTRIBUTOR_FACTS, raw_in_window, store_conversions, update_calendar,
-                                  update_contributors, utc_of_raw)
+from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
+                                  update_calendar, update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS
 from cadence.sources.readers import Sources, windowed
 from cadence.sources.sinks import Warehouse
@@ -175,7 +175,7 @@ def yearly_threshold(rows: DataFrame, conversion_dim, source_dim, team_dim, mond
 
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
         names: N.Names = N.Names(), tz=None, offset=None, account_action: str | None = None) -> None:
-    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY)
+    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)
     contributor = update_contributors(wh, [raw.select("email")])
     wh.insert_new("support_product", add_members(wh.read("support_product"), distinct_members(
@@ -186,7 +186,7 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     cal = update_calendar(wh, raw)
     wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("support_product"), wh.table("support_topic")),
                   [c for c in FACTS_COLS if c != "cnt"], partition_by=["utc_date_key"])
-    facts = wh.table(FACTS)
+    facts = in_partitions(wh.table(FACTS), lo, hi)
     store_conversions(wh, account_conversion(facts, conversion_dim, source_dim, team_dim, lo, hi, names,
                                              account_action), replace=True)
     store_conversions(wh, single_conversion(facts, conversion_dim, source_dim, team_dim, lo, hi, N.SUPPORT_KB,
@@ -196,7 +196,8 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     mondays = calendar_mondays(wh.table("utc_date_only"), lo, hi)
     if mondays.empty:
         return
-    cf = wh.table(CONTRIBUTOR_FACTS)
+    cf = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, YEAR)
+    facts = in_partitions(wh.table(FACTS), mondays.first, mondays.last, YEAR)
 
     def rows_of(name):
         key = conversion_dim.where(F.col("conversion_desc") == name).select("conversion_key")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -52,20 +52,35 @@ class Warehouse:
         w.parquet(self.path(name))
 
     def insert_new(self, name: str, incoming: DataFrame, key: Sequence[str], order: Sequence = (),
-                   partition_by: Sequence[str] | None = None) -> DataFrame:
+                   partition_by: Sequence[str] | None = None, existing_filter: Column | None = None) -> DataFrame:
         """Append the rows of ``incoming`` whose key is absent; returns those rows.
 
+        Only stored rows that could share a key are compared: those passing
+        ``existing_filter`` (e.g. the load window, when the key holds the time) and,
+        for a partitioned table, those in the partitions the batch touches (the
+        partition column must be a function of the key).
+
         Appending next to the files being read is safe: the stored file list is
-        fixed when the table is read, and source files are never rewritten, so a
-        lost task recomputes from the same inputs.
+        fixed when the table is read, and stored files are never rewritten here, so
+        a lost task recomputes from the same inputs.
         """
         existing = self.read(name)
         if existing is not None:
             incoming = incoming.select(*existing.columns)
+            existing = self._candidates(existing, incoming, partition_by, existing_filter)
         fresh = insert_if_absent(existing, incoming, key, order)
         self._write(fresh, name, "append", partition_by)
         return fresh
 
+    @staticmethod
+    def _candidates(existing: DataFrame, incoming: DataFrame, partition_by, existing_filter) -> DataFrame:
+        if existing_filter is not None:
+            existing = existing.where(existing_filter)
+        if partition_by:
+            touched = incoming.select(*partition_by).distinct()
+            existing = existing.join(touched, list(partition_by), "left_semi")
+        return existing
+
     def upsert(self, name: str, incoming: DataFrame, key: Sequence[str], order: Sequence = (),
                partition_by: Sequence[str] | None = None) -> DataFrame:
         """Replace by key; rewrites only the partitions present in ``incoming``."""

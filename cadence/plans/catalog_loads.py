@@ -115,7 +115,7 @@ def q_extract_comment_log(spark, d):
     cv = table(spark, d, "conversations").where(F.col("role") == "user")
     return cv.select(user_email("conv_id").alias("contributor_email"), F.col("conv_id").alias("bug_id"),
                      "turn", F.lit("comment").alias("fields"), F.col("role").alias("status"),
-                     F.length("text").alias("n_chars"))
+                     F.length("text").cast("long").alias("n_chars"))
 
 
 @register("extract_account_rows", """

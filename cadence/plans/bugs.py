@@ -169,6 +169,12 @@ def number_comments(facts: DataFrame, lo, hi) -> DataFrame:
 
 # ---------------------------------------------------------------- conversions
 
+def conversion_names(names: N.Names = N.Names()) -> list[str]:
+    """The single-action bug conversions, in rule order."""
+    return [names.file_featured_bug, names.bug_account_action, N.FILING_A_BUG, N.SUBMITTING_PATCH,
+            N.PATCH_APPROVED, N.CHANGE_PRODUCT, N.CHANGE_COMPONENT, N.CHANGE_STATUS, N.COMMENT_ONE]
+
+
 def conversion_rules(names: N.Names = N.Names()) -> dict:
     fields, first = F.col("fields"), F.col("comment_num") == 0
     patch = F.col("ispatch") == 1

@@ -188,3 +188,201 @@ def q_bug_job_conversions(spark, d):
     attachments = bugs.extract_attachments(src, JOB_LO, JOB_HI)
     return bugs.conversions(numbered, bugs.product_dim(src), attachments, conversion, source, _teams(spark, d),
                             JOB_LO, JOB_HI, NAMES)
+
+
+# ------------------------------------------------------------------ support site
+#
+# Source views for the support-site job:
+# * auth_user          <- customer       (account time spread from 1996-12-20)
+# * questions_question <- orders         (product from the order status, none for 'P';
+#                                          locale 'de' for urgent orders, else 'en-US')
+# * products_product   <- order statuses; products_topic <- region
+# * questions_answer   <- lineitem       (answer per line, by the supplier, at the ship date)
+# * wiki_document      <- documents      (locale from the language; Spanish texts as 'en_US')
+# * wiki_document_products / _topics <- labels (quality -> product, toxic -> topic)
+# * wiki_revision      <- conversations  (one revision per turn, hourly from 1997-01-01)
+
+SUPPORT_CANON_LEN = 300
+SUPPORT_NAMES = N.Names(support_url="https://support.example.org")
+
+
+def support_sources(spark: SparkSession, d: str) -> Sources:
+    customer, orders, lineitem = table(spark, d, "customer"), table(spark, d, "orders"), table(spark, d, "lineitem")
+    docs, labels, conv = table(spark, d, "documents"), table(spark, d, "labels"), table(spark, d, "conversations")
+    region = table(spark, d, "region")
+    auth_user = customer.select(
+        F.col("c_custkey").alias("id"), concat_strict("user", F.col("c_custkey"), "@example.org").alias("email"),
+        F.col("c_name").alias("username"),
+        (F.lit("1996-12-20 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), (F.col("c_custkey") * 7).cast("int"))).alias("date_joined"))
+    question = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") != "P", F.ascii("o_orderstatus").cast("long")).alias("product_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "de").otherwise("en-US").alias("locale"))
+    product = orders.select("o_orderstatus").distinct().select(
+        F.ascii("o_orderstatus").cast("long").alias("id"), concat_strict("product-", F.col("o_orderstatus")).alias("title"))
+    topic = region.select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("title"))
+    answer = lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("id"),
+        F.col("l_orderkey").alias("question_id"), F.col("l_suppkey").alias("creator_id"),
+        F.col("l_shipdate").alias("updated"))
+    document = docs.select(F.col("doc_id").alias("id"), F.col("source").alias("slug"),
+                           F.when(F.col("lang") == "en", "en-US").when(F.col("lang") == "es", "en_US")
+                           .otherwise(F.col("lang")).alias("locale"))
+    doc_products = labels.select(F.col("doc_id").alias("document_id"),
+                                 (F.lit(70) + F.col("quality") * 9).cast("long").alias("product_id"))
+    doc_topics = labels.select(F.col("doc_id").alias("document_id"), F.col("toxic").cast("long").alias("topic_id"))
+    revision = conv.select(
+        (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("conv_id").alias("document_id"),
+        (F.col("conv_id") + F.col("turn")).alias("creator_id"),
+        (F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), (F.col("conv_id") * 13 + F.col("turn")).cast("int"))).alias("created"))
+    return Sources(spark, frames={
+        "auth_user": auth_user, "questions_question": question, "products_product": product,
+        "products_topic": topic, "questions_answer": answer, "wiki_document": document,
+        "wiki_document_products": doc_products, "wiki_document_topics": doc_topics, "wiki_revision": revision})
+
+
+_SUPPORT_SOURCES_SQL = """
+auth_user AS (SELECT c_custkey AS id, 'user' || c_custkey || '@example.org' AS email, c_name AS username,
+                     TIMESTAMP '1996-12-20 00:00:00' + to_hours(c_custkey * 7) AS date_joined FROM customer),
+question AS (SELECT o_orderkey AS id,
+                    CASE WHEN o_orderstatus <> 'P' THEN CAST(ascii(o_orderstatus) AS BIGINT) END AS product_id,
+                    CASE WHEN o_orderpriority = '1-URGENT' THEN 'de' ELSE 'en-US' END AS locale FROM orders),
+product AS (SELECT DISTINCT CAST(ascii(o_orderstatus) AS BIGINT) AS id, 'product-' || o_orderstatus AS title
+            FROM orders),
+topic AS (SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS title FROM region),
+answer AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS question_id, l_suppkey AS creator_id,
+                  l_shipdate AS updated FROM lineitem),
+document AS (SELECT doc_id AS id, source AS slug,
+                    CASE WHEN lang = 'en' THEN 'en-US' WHEN lang = 'es' THEN 'en_US' ELSE lang END AS locale
+             FROM documents),
+doc_products AS (SELECT doc_id AS document_id, CAST(70 + quality * 9 AS BIGINT) AS product_id FROM labels),
+doc_topics AS (SELECT doc_id AS document_id, CAST(toxic AS BIGINT) AS topic_id FROM labels),
+revision AS (SELECT conv_id * 100 + turn AS id, conv_id AS document_id, conv_id + turn AS creator_id,
+                    TIMESTAMP '1997-01-01 00:00:00' + to_hours(conv_id * 13 + turn) AS created FROM conversations)"""
+
+
+def _support_revisions_sql(action: str, locale_pred: str) -> str:
+    u = SUPPORT_NAMES.support_url
+    return f"""
+  SELECT au.email, doc.locale AS extra_locale, coalesce(t.title, '') AS extra_topic,
+         coalesce(p.title, '') AS extra_product, CAST(NULL AS BIGINT) AS extra_question,
+         '{u}/' || doc.locale || '/kb/' || doc.slug || '/revision/' || r.id AS canonical, '{action}' AS action,
+         doc.id AS extra_id, r.created AS local_datetime
+  FROM revision r LEFT JOIN document doc ON doc.id = r.document_id
+  LEFT JOIN auth_user au ON au.id = r.creator_id
+  LEFT JOIN doc_products dp ON dp.document_id = doc.id LEFT JOIN product p ON p.id = dp.product_id
+  LEFT JOIN doc_topics dt ON dt.document_id = doc.id LEFT JOIN topic t ON t.id = dt.topic_id
+  WHERE {locale_pred} AND r.created BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'"""
+
+
+_SUPPORT_FACTS_SQL = f"""
+sraw AS (
+  SELECT email, '' AS extra_locale, '' AS extra_topic, '' AS extra_product, CAST(NULL AS BIGINT) AS extra_question,
+         '{SUPPORT_NAMES.support_url}/en-US/user/' || username AS canonical,
+         '{SUPPORT_NAMES.support_account_action}' AS action, CAST(0 AS BIGINT) AS extra_id,
+         date_joined AS local_datetime
+  FROM auth_user WHERE date_joined BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'
+  UNION ALL
+  SELECT au.email, q.locale, '', coalesce(p.title, ''), a.question_id,
+         '{SUPPORT_NAMES.support_url}/questions/' || a.question_id || '#answer-' || a.id, '{N.SUPPORT_FORUM_ANSWER}',
+         a.id, a.updated
+  FROM answer a JOIN auth_user au ON au.id = a.creator_id JOIN question q ON q.id = a.question_id
+  LEFT JOIN product p ON p.id = q.product_id
+  WHERE a.updated BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'
+  UNION ALL {_support_revisions_sql(N.SUPPORT_L10N, "doc.locale != 'en_US'")}
+  UNION ALL {_support_revisions_sql(N.SUPPORT_KB, "doc.locale = 'en-US'")}),
+pdim AS (SELECT id AS product_key, title AS product_name FROM product UNION ALL SELECT 0, ''),
+tdim AS (SELECT id AS topic_key, title AS topic_name FROM topic UNION ALL SELECT 0, ''),
+sfacts AS (
+  SELECT 1 AS cnt, au.id AS contributor_key, r.local_datetime AS utc_datetime, r.canonical,
+         CAST(strftime(r.local_datetime, '%Y%m%d') AS INTEGER) AS utc_date_key, pd.product_key, td.topic_key,
+         r.action, r.extra_locale AS locale, r.extra_question AS question, r.extra_id AS contribution_id_part
+  FROM sraw r JOIN auth_user au ON au.email = r.email
+  JOIN pdim pd ON pd.product_name = r.extra_product JOIN tdim td ON td.topic_name = r.extra_topic)"""
+
+
+def _support_dims(spark, src):
+    blank = spark.createDataFrame([(0, "")], "k long, n string")
+    product = src["products_product"].select(F.col("id").alias("product_key"), F.col("title").alias("product_name")) \
+        .unionByName(blank.select(F.col("k").alias("product_key"), F.col("n").alias("product_name")))
+    topic = src["products_topic"].select(F.col("id").alias("topic_key"), F.col("title").alias("topic_name")) \
+        .unionByName(blank.select(F.col("k").alias("topic_key"), F.col("n").alias("topic_name")))
+    contributor = src["auth_user"].select(F.col("id").alias("contributor_key"), "email")
+    return contributor, product, topic
+
+
+def _support_facts(spark, d):
+    from cadence.plans import support
+    src = support_sources(spark, d)
+    raw = support.raw_facts(src, JOB_LO, JOB_HI, SUPPORT_NAMES)
+    contributor, product, topic = _support_dims(spark, src)
+    cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
+    return support.conform_facts(raw, contributor, cal, product, topic), cal
+
+
+@register("support_job_facts", "WITH" + _SUPPORT_SOURCES_SQL + "," + _SUPPORT_FACTS_SQL + "\nSELECT * FROM sfacts")
+def q_support_job_facts(spark, d):
+    return _support_facts(spark, d)[0]
+
+
+SUPPORT_CONVERSIONS = [SUPPORT_NAMES.support_account_action, N.EDIT_ONE_KB, N.L10N_ONE_KB,
+                       N.EDIT_N_KB.format(n=5), N.N_FORUM_ANSWERS.format(n=4), N.N_FORUM_ANSWERS.format(n=10)]
+
+
+def _support_threshold_sql(src_rows: str, threshold: int, name: str) -> str:
+    return f"""
+  SELECT left(string_agg(x.canonical, ',' ORDER BY x.utc_datetime, x.canonical), {SUPPORT_CANON_LEN}) AS canonical,
+         max(x.utc_datetime) AS utc_datetime, x.contributor_key, m.d AS as_of, '{name}' AS conversion_desc
+  FROM {src_rows} x JOIN mondays m
+    ON x.utc_datetime BETWEEN CAST(m.d AS TIMESTAMP) - INTERVAL 1 YEAR AND CAST(m.d AS TIMESTAMP)
+  GROUP BY x.contributor_key, m.d HAVING count(*) >= {threshold}"""
+
+
+@register("support_job_conversions", "WITH" + _SUPPORT_SOURCES_SQL + "," + _SUPPORT_FACTS_SQL + f""",
+conv AS (SELECT CAST(k AS BIGINT) AS conversion_key, conversion_desc
+         FROM (VALUES {", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(SUPPORT_CONVERSIONS))}) t(k, conversion_desc)),
+mondays AS (SELECT DISTINCT CAST(utc_datetime AS DATE) AS d FROM sfacts
+            WHERE dayofweek(utc_datetime) = 1
+              AND CAST(CAST(utc_datetime AS DATE) AS TIMESTAMP) BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'),
+inwin AS (SELECT * FROM sfacts WHERE utc_datetime BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'),
+kb AS (SELECT DISTINCT canonical, utc_datetime, contributor_key FROM inwin WHERE action = '{N.SUPPORT_KB}'),
+answers AS (SELECT canonical, utc_datetime, contributor_key FROM sfacts WHERE action = '{N.SUPPORT_FORUM_ANSWER}'),
+rows AS (
+  SELECT left(string_agg(canonical, ',' ORDER BY utc_datetime, canonical), {SUPPORT_CANON_LEN}) AS canonical,
+         min(utc_datetime) AS utc_datetime, contributor_key, '{SUPPORT_NAMES.support_account_action}' AS conversion_desc
+  FROM inwin GROUP BY contributor_key
+  UNION ALL SELECT canonical, utc_datetime, contributor_key, '{N.EDIT_ONE_KB}' FROM kb
+  UNION ALL SELECT DISTINCT canonical, utc_datetime, contributor_key, '{N.L10N_ONE_KB}' FROM inwin
+    WHERE action = '{N.SUPPORT_L10N}'
+  UNION ALL SELECT canonical, utc_datetime, contributor_key, conversion_desc FROM ({_support_threshold_sql("kb", 5, N.EDIT_N_KB.format(n=5))})
+  UNION ALL SELECT canonical, utc_datetime, contributor_key, conversion_desc FROM ({_support_threshold_sql("answers", 4, N.N_FORUM_ANSWERS.format(n=4))})
+  UNION ALL SELECT canonical, utc_datetime, contributor_key, conversion_desc FROM ({_support_threshold_sql("answers", 10, N.N_FORUM_ANSWERS.format(n=10))}))
+SELECT DISTINCT rows.canonical, rows.utc_datetime, 1 AS cnt,
+       CAST(strftime(rows.utc_datetime, '%Y%m%d') AS INTEGER) AS utc_date_key, rows.contributor_key,
+       conv.conversion_key, CAST(4 AS BIGINT) AS source_key, CAST(5 AS BIGINT) AS team_key
+FROM rows JOIN conv ON conv.conversion_desc = rows.conversion_desc""")
+def q_support_job_conversions(spark, d):
+    from cadence.operators.dedup import pick_per_key
+    from cadence.operators.hop import calendar_mondays
+    from cadence.plans import support
+    from cadence.plans.conversions import FACT_KEY
+    facts, cal = _support_facts(spark, d)
+    conversion = spark.createDataFrame([(i + 1, n) for i, n in enumerate(SUPPORT_CONVERSIONS)],
+                                       "conversion_key long, conversion_desc string")
+    source = spark.createDataFrame([(4, SUPPORT_NAMES.support_source)], "source_key long, source_name string")
+    team = spark.createDataFrame([(5, SUPPORT_NAMES.support_team)], "team_key long, team_name string")
+    dims = (conversion, source, team)
+    account = support.account_conversion(facts, *dims, JOB_LO, JOB_HI, SUPPORT_NAMES, max_len=SUPPORT_CANON_LEN)
+    # the single-edit rows as stored (deduplicated on the fact key) feed the yearly threshold
+    kb = pick_per_key(support.single_conversion(facts, *dims, JOB_LO, JOB_HI, N.SUPPORT_KB, N.EDIT_ONE_KB,
+                                                SUPPORT_NAMES), FACT_KEY)
+    l10n = support.single_conversion(facts, *dims, JOB_LO, JOB_HI, N.SUPPORT_L10N, N.L10N_ONE_KB, SUPPORT_NAMES)
+    mondays = calendar_mondays(cal, JOB_LO, JOB_HI)
+    answers = facts.where(F.col("action") == N.SUPPORT_FORUM_ANSWER)
+    edits5 = support.yearly_threshold(kb, *dims, mondays, (5,), N.EDIT_N_KB, SUPPORT_NAMES,
+                                      max_len=SUPPORT_CANON_LEN)
+    answers_n = support.yearly_threshold(answers, *dims, mondays, (4, 10), N.N_FORUM_ANSWERS, SUPPORT_NAMES,
+                                         max_len=SUPPORT_CANON_LEN)
+    return account.unionByName(kb).unionByName(l10n).unionByName(edits5).unionByName(answers_n).distinct()

@@ -386,3 +386,220 @@ def q_support_job_conversions(spark, d):
     answers_n = support.yearly_threshold(answers, *dims, mondays, (4, 10), N.N_FORUM_ANSWERS, SUPPORT_NAMES,
                                          max_len=SUPPORT_CANON_LEN)
     return account.unionByName(kb).unionByName(l10n).unionByName(edits5).unionByName(answers_n).distinct()
+
+
+# ------------------------------------------------------------------ code hosting
+#
+# activities <- events: no public e-mail for 'error' events; organisation and
+# repository from the user; no user name for every third user; the message is the
+# event's properties; purchases are opened pull requests, clicks authored commits.
+
+HOST_LO, HOST_HI = "2024-01-08 00:00:00", "2024-01-21 00:00:00"
+HOSTING_NAMES = N.Names()
+# Hand-kept (team, repository) list of the test deployment.
+HOST_REPO_TEAMS = [("Mobile", "repo-0"), ("Mobile", "repo-1"), ("Web", "repo-2"), ("Ghost", "repo-3")]
+HOST_TEAMS = [(1, "Mobile"), (2, "Web")]
+
+
+def hosting_sources(spark: SparkSession, d: str) -> Sources:
+    ev = table(spark, d, "events")
+    act = F.col("event_type")
+    return Sources(spark, frames={"activities": ev.select(
+        F.when(act != "error", concat_strict("user", F.col("user_id"), "@example.org")).alias("github_public_email"),
+        concat_strict("https://code.example.org/c/", F.col("event_id")).alias("github_commit_url"),
+        F.col("ts").alias("happened_on"),
+        concat_strict("org", F.col("user_id") % 5).alias("github_organization"),
+        concat_strict("repo-", F.col("user_id") % 12).alias("github_repository"),
+        F.when(F.col("user_id") % 3 != 0, concat_strict("u", F.col("user_id"))).alias("github_username"),
+        F.col("props").alias("commit_msg"), F.col("event_id").cast("string").alias("commit_id"),
+        F.when(act == "purchase", N.HOSTING_PR_OPENED).when(act == "click", N.HOSTING_COMMIT_AUTHOR)
+        .otherwise(act).alias("action_type"))})
+
+
+def _numbered_dim(raw: DataFrame, col: str, key: str, name: str) -> DataFrame:
+    """Dim of the distinct names ``<prefix><n>`` keyed ``n + 1`` (natural keys, so the
+    oracle can state them)."""
+    return raw.select(F.col(col).alias(name)).distinct().select(
+        (F.regexp_extract(name, "[0-9]+$", 0).cast("long") + 1).alias(key), name)
+
+
+@register("hosting_job_conversions", f"""
+WITH acts AS (
+  SELECT CASE WHEN event_type <> 'error' THEN 'user' || user_id || '@example.org' END AS email,
+         'https://code.example.org/c/' || event_id AS canonical, ts AS local_datetime,
+         'org' || (user_id % 5) AS org, 'repo-' || (user_id % 12) AS repo,
+         CASE WHEN event_type = 'purchase' THEN '{N.HOSTING_PR_OPENED}'
+              WHEN event_type = 'click' THEN '{N.HOSTING_COMMIT_AUTHOR}' ELSE event_type END AS action, user_id
+  FROM events WHERE ts BETWEEN TIMESTAMP '{HOST_LO}' AND TIMESTAMP '{HOST_HI}'),
+raw AS (SELECT * FROM acts WHERE email IS NOT NULL),
+teams AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{n}')" for k, n in HOST_TEAMS)}) t(team_key, team_name)),
+mapping AS (SELECT * FROM (VALUES {", ".join(f"('{t}', '{r}')" for t, r in HOST_REPO_TEAMS)}) t(team_name, repo_name)),
+repo AS (SELECT DISTINCT CAST(regexp_extract(repo, '[0-9]+$', 0) AS BIGINT) + 1 AS github_repo_key, repo,
+                CAST(tm.team_key AS BIGINT) AS team_key
+         FROM raw LEFT JOIN mapping m ON m.repo_name = raw.repo LEFT JOIN teams tm ON tm.team_name = m.team_name),
+conv AS (SELECT * FROM (VALUES (CAST(1 AS BIGINT), '{N.SUBMITTING_PATCH}'), (CAST(2 AS BIGINT), '{N.PATCH_MERGED}'))
+         t(conversion_key, conversion_desc))
+SELECT raw.canonical, raw.local_datetime AS utc_datetime, 1 AS cnt,
+       CAST(strftime(raw.local_datetime, '%Y%m%d') AS INTEGER) AS utc_date_key, raw.user_id AS contributor_key,
+       conv.conversion_key, CAST(2 AS BIGINT) AS source_key, repo.team_key
+FROM raw JOIN repo ON repo.repo = raw.repo
+JOIN conv ON conv.conversion_desc = CASE raw.action WHEN '{N.HOSTING_PR_OPENED}' THEN '{N.SUBMITTING_PATCH}'
+                                                    WHEN '{N.HOSTING_COMMIT_AUTHOR}' THEN '{N.PATCH_MERGED}' END""")
+def q_hosting_job_conversions(spark, d):
+    from cadence.plans import hosting
+    src = hosting_sources(spark, d)
+    raw = hosting.extract_activity(src, HOST_LO, HOST_HI)
+    contributor = table(spark, d, "events").select("user_id").distinct().select(
+        F.col("user_id").alias("contributor_key"), concat_strict("user", F.col("user_id"), "@example.org").alias("email"))
+    cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
+    org = _numbered_dim(raw, "extra_github_org", "github_org_key", "github_org_name")
+    teams = spark.createDataFrame(HOST_TEAMS, "team_key long, team_name string")
+    mapping = spark.createDataFrame(HOST_REPO_TEAMS, "team_name string, repo_name string")
+    repo = hosting.assign_repo_teams(_numbered_dim(raw, "extra_github_repo", "github_repo_key", "github_repo_name"),
+                                     mapping, teams)
+    facts = hosting.conform_facts(raw, contributor, cal, org, repo)
+    conversion = spark.createDataFrame([(1, N.SUBMITTING_PATCH), (2, N.PATCH_MERGED)],
+                                       "conversion_key long, conversion_desc string")
+    source = spark.createDataFrame([(2, HOSTING_NAMES.hosting_source)], "source_key long, source_name string")
+    return hosting.conversions(facts, repo, conversion, source, HOST_LO, HOST_HI, HOSTING_NAMES)
+
+
+# ------------------------------------------------------------------ field reports
+#
+# reports_ngreport <- orders x customer x nation (location = the customer's nation,
+# coordinates from the nation key); profiles from customers and from suppliers, both
+# linked by the mentor id = customer / supplier key, so reports of customers 0-99
+# reach two authors; activity from the order status, campaign for urgent orders,
+# functional areas through line items (one per line number).
+
+REP_NAMES = N.Names(reports_url="https://reports.example.org/u/")
+
+
+def report_sources(spark: SparkSession, d: str) -> Sources:
+    orders, customer, nation = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
+    supplier, lineitem = table(spark, d, "supplier"), table(spark, d, "lineitem")
+    geo = customer.select("c_custkey", "c_nationkey").join(
+        nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rep = orders.join(geo, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("report_date"),
+        F.col("o_orderdate").alias("created_on"),
+        concat_strict("https://events.example.org/", F.col("o_orderkey")).alias("link"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("activity_description"),
+        F.col("n_name").alias("location"),
+        (F.col("n_nationkey") * 1.5).cast("decimal(9,6)").alias("latitude"),
+        (F.col("n_nationkey") * -2.25).cast("decimal(9,6)").alias("longitude"),
+        F.col("o_custkey").alias("mentor_id"), F.ascii("o_orderstatus").cast("long").alias("activity_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(1).cast("long")).alias("campaign_id"),
+        F.lit(None).cast("long").alias("event_id"))
+    profiles = customer.select(F.col("c_custkey").alias("mentor_id"), F.col("c_custkey").alias("user_id"),
+                               F.regexp_replace("c_name", "#", "-").alias("display_name")).unionByName(
+        supplier.select(F.col("s_suppkey").alias("mentor_id"), (F.col("s_suppkey") + 100000).alias("user_id"),
+                        F.regexp_replace("s_name", "#", "-").alias("display_name")))
+    users = customer.select(F.col("c_custkey").alias("id"),
+                            concat_strict("user", F.col("c_custkey"), "@example.org").alias("email")).unionByName(
+        supplier.select((F.col("s_suppkey") + 100000).alias("id"),
+                        concat_strict("supplier", F.col("s_suppkey"), "@example.org").alias("email")))
+    activity = orders.select("o_orderstatus").distinct().select(
+        F.ascii("o_orderstatus").cast("long").alias("id"), concat_strict("activity-", F.col("o_orderstatus")).alias("name"))
+    campaign = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_orderpriority").distinct().select(
+        F.lit(1).cast("long").alias("id"), F.lit("Urgent drive").alias("name"))
+    bridge = lineitem.select(F.col("l_orderkey").alias("ngreport_id"),
+                             F.col("l_linenumber").cast("long").alias("functionalarea_id"))
+    areas = lineitem.select("l_linenumber").distinct().select(
+        F.col("l_linenumber").cast("long").alias("id"), concat_strict("area-", F.col("l_linenumber")).alias("name"))
+    return Sources(spark, frames={"reports_ngreport": rep, "profiles_userprofile": profiles, "auth_user": users,
+                                  "reports_activity": activity, "reports_campaign": campaign,
+                                  "reports_ngreport_functional_areas": bridge, "profiles_functionalarea": areas})
+
+
+_REPORTS_SQL = f"""
+rep AS (SELECT o.o_orderkey AS id, CAST(o.o_orderdate AS DATE) AS report_date, o.o_orderdate AS created_on,
+               'https://events.example.org/' || o.o_orderkey AS link,
+               CASE WHEN o.o_orderpriority <> '5-LOW' THEN o.o_orderpriority END AS activity_description,
+               n.n_name AS location, CAST(n.n_nationkey * 1.5 AS DECIMAL(9,6)) AS latitude,
+               CAST(n.n_nationkey * -2.25 AS DECIMAL(9,6)) AS longitude, o.o_custkey AS mentor_id,
+               CAST(ascii(o.o_orderstatus) AS BIGINT) AS activity_id,
+               CASE WHEN o.o_orderpriority = '1-URGENT' THEN CAST(1 AS BIGINT) END AS campaign_id
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+profiles AS (SELECT c_custkey AS mentor_id, c_custkey AS user_id, replace(c_name, '#', '-') AS display_name
+             FROM customer
+             UNION ALL SELECT s_suppkey, s_suppkey + 100000, replace(s_name, '#', '-') FROM supplier),
+users AS (SELECT c_custkey AS id, 'user' || c_custkey || '@example.org' AS email FROM customer
+          UNION ALL SELECT s_suppkey + 100000, 'supplier' || s_suppkey || '@example.org' FROM supplier),
+activity AS (SELECT DISTINCT CAST(ascii(o_orderstatus) AS BIGINT) AS id, 'activity-' || o_orderstatus AS name
+             FROM orders),
+campaign AS (SELECT CAST(1 AS BIGINT) AS id, 'Urgent drive' AS name),
+bridge AS (SELECT l_orderkey AS ngreport_id, CAST(l_linenumber AS BIGINT) AS functionalarea_id FROM lineitem),
+areas AS (SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS id, 'area-' || l_linenumber AS name FROM lineitem),
+raw AS (
+  SELECT DISTINCT u.email, r.report_date, r.created_on AS local_datetime, left(r.link, 255) AS event_url,
+         left(coalesce(r.activity_description, ''), 255) AS activity_desc, coalesce(a.name, '') AS activity,
+         coalesce(cp.name, '') AS campaign, coalesce(fa.name, '') AS contribution_area, r.location, r.latitude,
+         r.longitude,
+         '{REP_NAMES.reports_url}' || p.display_name || '/r/' || strftime(r.report_date, '%Y/%B/%-d') || '/' || r.id
+           || '/' AS canonical
+  FROM rep r LEFT JOIN profiles p ON p.mentor_id = r.mentor_id LEFT JOIN users u ON u.id = p.user_id
+  LEFT JOIN activity a ON a.id = r.activity_id LEFT JOIN campaign cp ON cp.id = r.campaign_id
+  LEFT JOIN bridge b ON b.ngreport_id = r.id LEFT JOIN areas fa ON fa.id = b.functionalarea_id
+  WHERE u.email IS NOT NULL AND r.created_on BETWEEN TIMESTAMP '{JOB_LO}' AND TIMESTAMP '{JOB_HI}'),
+rfacts AS (
+  SELECT us.id AS contributor_key, raw.canonical, raw.local_datetime AS utc_datetime,
+         CAST(strftime(raw.local_datetime, '%Y%m%d') AS INTEGER) AS utc_date_key,
+         coalesce(a.id, 0) AS activity_key, CAST(NULL AS BIGINT) AS source_key, coalesce(cp.id, 0) AS campaign_key,
+         CAST(coalesce(n.n_nationkey + 1, 0) AS BIGINT) AS location_key, raw.contribution_area, raw.event_url,
+         raw.activity_desc
+  FROM raw JOIN users us ON us.email = raw.email
+  LEFT JOIN activity a ON a.name = raw.activity LEFT JOIN campaign cp ON cp.name = raw.campaign
+  LEFT JOIN nation n ON n.n_name = raw.location AND CAST(n.n_nationkey * 1.5 AS DECIMAL(9,6)) = raw.latitude
+                    AND CAST(n.n_nationkey * -2.25 AS DECIMAL(9,6)) = raw.longitude)"""
+
+
+def _report_facts(spark, d):
+    from cadence.plans import reports
+    src = report_sources(spark, d)
+    raw = reports.extract_reports(src, JOB_LO, JOB_HI, REP_NAMES)
+    contributor = src["auth_user"].select(F.col("id").alias("contributor_key"), "email")
+    cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
+    activity = src["reports_activity"].select(F.col("id").alias("activity_key"), F.col("name").alias("activity_name"))
+    campaign = reports.campaign_dim(src)
+    location = table(spark, d, "nation").select(
+        (F.col("n_nationkey") + 1).cast("long").alias("location_key"), F.col("n_name").alias("location_name"),
+        (F.col("n_nationkey") * -2.25).cast("decimal(9,6)").alias("longitude"),
+        (F.col("n_nationkey") * 1.5).cast("decimal(9,6)").alias("latitude"))
+    source = spark.createDataFrame([(3, REP_NAMES.reports_source)], "source_key long, source_name string")
+    return reports.conform_facts(raw, contributor, cal, activity, source, campaign, location)
+
+
+@register("reports_job_facts", "WITH" + _REPORTS_SQL + "\nSELECT * FROM rfacts")
+def q_reports_job_facts(spark, d):
+    return _report_facts(spark, d)
+
+
+REP_CONV = [(1, N.ONE_IN_8_WEEKS), (2, N.ONE_IN_4_WEEKS), (3, N.FOUR_IN_4_WEEKS)]
+REP_LO, REP_HI = "1997-03-01 00:00:00", "1997-03-31 00:00:00"
+
+
+@register("reports_job_conversions", "WITH" + _REPORTS_SQL + f""",
+w8 AS (SELECT * FROM rfacts WHERE utc_datetime BETWEEN TIMESTAMP '{REP_LO}' - INTERVAL 56 DAY
+                                                   AND TIMESTAMP '{REP_HI}'),
+w4 AS (SELECT * FROM rfacts WHERE utc_datetime BETWEEN TIMESTAMP '{REP_LO}' - INTERVAL 28 DAY
+                                                   AND TIMESTAMP '{REP_HI}')
+SELECT canonical, utc_datetime, 1 AS cnt, utc_date_key, contributor_key, CAST(1 AS BIGINT) AS conversion_key,
+       source_key, CAST(4 AS BIGINT) AS team_key FROM w8
+UNION ALL
+SELECT canonical, utc_datetime, 1, utc_date_key, contributor_key, CAST(2 AS BIGINT), source_key, CAST(4 AS BIGINT)
+FROM w4
+UNION ALL
+SELECT string_agg(canonical, ',' ORDER BY utc_datetime, canonical), max(utc_datetime), 1,
+       max_by(utc_date_key, utc_datetime), contributor_key, CAST(3 AS BIGINT), max_by(source_key, utc_datetime),
+       CAST(4 AS BIGINT)
+FROM w4 GROUP BY contributor_key HAVING count(*) >= 4""")
+def q_reports_job_conversions(spark, d):
+    from cadence.plans import reports
+    facts = _report_facts(spark, d)
+    conversion = spark.createDataFrame(REP_CONV, "conversion_key long, conversion_desc string")
+    team = spark.createDataFrame([(4, REP_NAMES.reports_team)], "team_key long, team_name string")
+    out = reports.trailing_conversion(facts, conversion, team, REP_LO, REP_HI, 8, N.ONE_IN_8_WEEKS, REP_NAMES)
+    out = out.unionByName(reports.trailing_conversion(facts, conversion, team, REP_LO, REP_HI, 4, N.ONE_IN_4_WEEKS,
+                                                      REP_NAMES))
+    return out.unionByName(reports.four_in_four_weeks(facts, conversion, team, REP_LO, REP_HI, names=REP_NAMES))

@@ -21,7 +21,7 @@ from cadence.operators.windows import apply_marks, first_event_flag, first_event
 from cadence.plans import names as N
 from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
                                   update_calendar, update_contributors, utc_of_raw)
-from cadence.plans.conversions import FACT_COLUMNS, Team, attach_keys, convert
+from cadence.plans.conversions import FACT_COLUMNS, Team, attach_keys, convert, key_by_threshold
 from cadence.sources.readers import Sources, any_in_window, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
 
@@ -230,11 +230,7 @@ def triage_thresholds(contributor_facts: DataFrame, conversion_dim: DataFrame, m
     else:
         r = threshold_rollup(f, group + ["canonical"], "utc_datetime", mondays, span, thresholds,
                              canon="canonical", concat="repeat")
-    targets = conversion_dim.select(F.col("conversion_desc").alias("_target"), "conversion_key")
-    name_of = F.lit(None).cast("string")
-    for t in sorted(set(thresholds)):
-        name_of = F.when(F.col("threshold") == t, F.lit(names.triage(t))).otherwise(name_of)
-    r = r.withColumn("_target", name_of).join(targets, "_target").drop("_target")
+    r = key_by_threshold(r, conversion_dim, thresholds, names.triage)
     return r.select("canonical", "utc_datetime", F.lit(1).alias("cnt"),
                     date_key(F.to_date("utc_datetime")).alias("utc_date_key"),
                     "contributor_key", "conversion_key", "source_key", "team_key")

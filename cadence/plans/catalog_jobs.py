@@ -502,7 +502,8 @@ def report_sources(spark: SparkSession, d: str) -> Sources:
     activity = orders.select("o_orderstatus").distinct().select(
         F.ascii("o_orderstatus").cast("long").alias("id"), concat_strict("activity-", F.col("o_orderstatus")).alias("name"))
     campaign = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_orderpriority").distinct().select(
-        F.lit(1).cast("long").alias("id"), F.lit("Urgent drive").alias("name"))
+        F.substring("o_orderpriority", 1, 1).cast("long").alias("id"),
+        concat_strict("Campaign ", F.col("o_orderpriority")).alias("name"))
     bridge = lineitem.select(F.col("l_orderkey").alias("ngreport_id"),
                              F.col("l_linenumber").cast("long").alias("functionalarea_id"))
     areas = lineitem.select("l_linenumber").distinct().select(
@@ -528,7 +529,8 @@ users AS (SELECT c_custkey AS id, 'user' || c_custkey || '@example.org' AS email
           UNION ALL SELECT s_suppkey + 100000, 'supplier' || s_suppkey || '@example.org' FROM supplier),
 activity AS (SELECT DISTINCT CAST(ascii(o_orderstatus) AS BIGINT) AS id, 'activity-' || o_orderstatus AS name
              FROM orders),
-campaign AS (SELECT CAST(1 AS BIGINT) AS id, 'Urgent drive' AS name),
+campaign AS (SELECT DISTINCT CAST(left(o_orderpriority, 1) AS BIGINT) AS id, 'Campaign ' || o_orderpriority AS name
+             FROM orders WHERE o_orderpriority = '1-URGENT'),
 bridge AS (SELECT l_orderkey AS ngreport_id, CAST(l_linenumber AS BIGINT) AS functionalarea_id FROM lineitem),
 areas AS (SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS id, 'area-' || l_linenumber AS name FROM lineitem),
 raw AS (

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import date_key
-from cadence.operators.joins import broadcast_bounded, lookup_const
+from cadence.operators.joins import broadcast_bounded, lookup_const, with_const_lookups
 from cadence.operators.rules import fan_out_rules
 from cadence.sources.readers import windowed
 
@@ -67,3 +67,21 @@ def attach_keys(rows: DataFrame, conversion_dim: DataFrame, source_dim: DataFram
     if "utc_date_key" not in out.columns:
         out = out.withColumn("utc_date_key", date_key(F.to_date("utc_datetime")))
     return out.select(*FACT_COLUMNS)
+
+
+def key_by_threshold(rows: DataFrame, conversion_dim: DataFrame, thresholds, name_of) -> DataFrame:
+    """``conversion_key`` of the conversion named ``name_of(threshold)`` for each row.
+
+    One threshold: a scalar-subquery lookup. Several: an equi-join on the name
+    (the name is computed from the row's threshold, so it is never a constant and
+    the join never degenerates into a cross product).
+    """
+    th = sorted(set(int(t) for t in thresholds))
+    if len(th) == 1:
+        return with_const_lookups(rows, {
+            "conversion_key": lookup_const(conversion_dim, "conversion_desc", name_of(th[0]), "conversion_key")})
+    target = F.lit(None).cast("string")
+    for t in th:
+        target = F.when(F.col("threshold") == t, F.lit(name_of(t))).otherwise(target)
+    conv = conversion_dim.select(F.col("conversion_desc").alias("_target"), "conversion_key")
+    return rows.withColumn("_target", target).join(conv, "_target").drop("_target")

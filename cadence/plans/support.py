@@ -25,7 +25,7 @@ from cadence.operators.windows import threshold_rollup
 from cadence.plans import names as N
 from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
                                   update_calendar, update_contributors, utc_of_raw)
-from cadence.plans.conversions import FACT_COLUMNS
+from cadence.plans.conversions import FACT_COLUMNS, key_by_threshold
 from cadence.sources.readers import Sources, windowed
 from cadence.sources.sinks import Warehouse
 
@@ -159,11 +159,7 @@ def yearly_threshold(rows: DataFrame, conversion_dim, source_dim, team_dim, mond
     canonical lists cut to ``max_len``."""
     r = threshold_rollup(rows, ["contributor_key"], "utc_datetime", mondays, span, thresholds, canon="canonical",
                          concat="list", max_len=max_len)
-    conv = conversion_dim.select(F.col("conversion_desc").alias("_target"), "conversion_key")
-    target = F.lit(None).cast("string")
-    for t in sorted(set(thresholds)):
-        target = F.when(F.col("threshold") == t, F.lit(name_template.format(n=t))).otherwise(target)
-    r = r.withColumn("_target", target).join(conv, "_target")
+    r = key_by_threshold(r, conversion_dim, thresholds, lambda t: name_template.format(n=t))
     r = with_const_lookups(r, {
         "source_key": lookup_const(source_dim, "source_name", names.support_source, "source_key"),
         "team_key": lookup_const(team_dim, "team_name", names.support_team, "team_key"),

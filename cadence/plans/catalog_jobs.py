@@ -23,6 +23,7 @@ from cadence.operators.dims import calendar
 from cadence.plans import bugs
 from cadence.plans import names as N
 from cadence.plans.registry import register, table
+from cadence.session import cut_lineage
 from cadence.sources.readers import Sources
 
 JOB_LO, JOB_HI = "1997-01-01 00:00:00", "1997-03-31 00:00:00"
@@ -319,7 +320,8 @@ def _support_facts(spark, d):
     raw = support.raw_facts(src, JOB_LO, JOB_HI, SUPPORT_NAMES)
     contributor, product, topic = _support_dims(spark, src)
     cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
-    return support.conform_facts(raw, contributor, cal, product, topic), cal
+    # stored once and read by the five conversion branches, as the job does with its table
+    return cut_lineage(support.conform_facts(raw, contributor, cal, product, topic)), cal
 
 
 @register("support_job_facts", "WITH" + _SUPPORT_SOURCES_SQL + "," + _SUPPORT_FACTS_SQL + "\nSELECT * FROM sfacts")
@@ -569,7 +571,8 @@ def _report_facts(spark, d):
         (F.col("n_nationkey") * -2.25).cast("decimal(9,6)").alias("longitude"),
         (F.col("n_nationkey") * 1.5).cast("decimal(9,6)").alias("latitude"))
     source = spark.createDataFrame([(3, REP_NAMES.reports_source)], "source_key long, source_name string")
-    return reports.conform_facts(raw, contributor, cal, activity, source, campaign, location)
+    # stored once and read by the three conversion branches
+    return cut_lineage(reports.conform_facts(raw, contributor, cal, activity, source, campaign, location))
 
 
 @register("reports_job_facts", "WITH" + _REPORTS_SQL + "\nSELECT * FROM rfacts")

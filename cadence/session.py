@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` into the reliable checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back.
+
+    One job writes it (task failures are retried; no executor-local state), and the
+    returned frame scans columnar files with statistics and filter pushdown, which a
+    ``Dataset.checkpoint`` (an RDD computed twice unless cached) would not give.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -129,8 +129,9 @@ def _job_facts(spark, d):
     raw = bugs.raw_facts(src, JOB_LO, JOB_HI, NAMES)
     contributor = src["profiles"].select(F.col("userid").alias("contributor_key"), F.col("login_name").alias("email"))
     cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
-    facts = bugs.conform_facts(raw, contributor, cal, bugs.status_dim(src), bugs.product_dim(src),
-                               bugs.component_dim(src), NAMES)
+    # stored once, as the job stores bug_facts; numbering reads it three times
+    facts = cut_lineage(bugs.conform_facts(raw, contributor, cal, bugs.status_dim(src), bugs.product_dim(src),
+                                           bugs.component_dim(src), NAMES))
     return src, bugs.number_comments(facts, JOB_LO, JOB_HI)
 
 

@@ -26,12 +26,14 @@ def _cols(cols) -> list[str]:
 def first_event_marks(facts: DataFrame, entity: str, ts: str, is_event: Column, lo=None, hi=None) -> DataFrame:
     """(entity, ``_first_ts``): time of each entity's first event over all history,
     for entities with an event inside ``[lo, hi]`` (all entities without bounds).
-    One partial+final aggregation per entity and a semi join: skew-safe."""
-    firsts = facts.where(is_event).groupBy(entity).agg(F.min(ts).alias("_first_ts"))
-    if lo is not None and hi is not None:
-        touched = facts.where(is_event & between_ts(ts, lo, hi)).select(entity)
-        firsts = firsts.join(touched, entity, "left_semi")
-    return firsts
+    One partial+final aggregation per entity: skew-safe, one pass over the facts."""
+    events = facts.where(is_event)
+    if lo is None or hi is None:
+        return events.groupBy(entity).agg(F.min(ts).alias("_first_ts"))
+    # one aggregation gives both the first time and whether the window touched the entity
+    touched = F.max(between_ts(ts, lo, hi).cast("int")).alias("_touched")
+    return (events.groupBy(entity).agg(F.min(ts).alias("_first_ts"), touched)
+            .where(F.col("_touched") == 1).drop("_touched"))
 
 
 def apply_marks(facts: DataFrame, marks: DataFrame, entity: str, ts: str, flag: str, value: int = 0) -> DataFrame:
@@ -52,9 +54,8 @@ def first_event_flag(facts: DataFrame, entity: str, ts: str, is_event: Column,
     (re)flagged. Every fact at that (entity, time) gets the flag, whatever its kind.
     Other rows keep their current ``flag`` (NULL when the column is new).
 
-    Plan: one partial+final aggregation per entity (skew-safe), a semi join to the
-    touched entities, and an equi join back on (entity, time), which spreads a hot
-    entity's facts over their times.
+    Plan: one partial+final aggregation per entity (skew-safe) and an equi join back
+    on (entity, time), which spreads a hot entity's facts over their times.
     """
     return apply_marks(facts, first_event_marks(facts, entity, ts, is_event, lo, hi), entity, ts, flag, value)
 

@@ -26,6 +26,7 @@ class DimJoin:
     default: dict[str, Any] = field(default_factory=dict)   # output column -> value when missing
     small: bool = False                # broadcast behind a size check
     null_safe: bool = False            # match NULL with NULL
+    ignore_case: bool = False          # compare names without case (as a case-insensitive collation)
 
 
 def join_dim(raw: DataFrame, dj: DimJoin, tag: str) -> DataFrame:
@@ -34,7 +35,10 @@ def join_dim(raw: DataFrame, dj: DimJoin, tag: str) -> DataFrame:
         dim = broadcast_bounded(dim)
     cond = None
     for rc, dc in dj.on.items():
-        c = F.col(rc).eqNullSafe(F.col(f"{tag}_{dc}")) if dj.null_safe else F.col(rc) == F.col(f"{tag}_{dc}")
+        left, right = F.col(rc), F.col(f"{tag}_{dc}")
+        if dj.ignore_case:
+            left, right = F.lower(left), F.lower(right)
+        c = left.eqNullSafe(right) if dj.null_safe else left == right
         cond = c if cond is None else cond & c
     out = raw.join(dim, cond, dj.how)
     for dc, oc in dj.take.items():

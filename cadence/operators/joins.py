@@ -27,14 +27,15 @@ def broadcast_bounded(df: DataFrame, max_rows: int = SMALL_DIM_ROWS,
     return df
 
 
-def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str) -> Column:
+def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str, ignore_case: bool = False) -> Column:
     """Key of the dim row whose ``name_col`` equals ``name``, as a scalar subquery.
 
     Replaces ``INNER JOIN dim ON (dim.name = 'literal')``: the subquery runs once and
     its value is inlined, so no join (and no nested loop) is planned. The name is the
     dim's unique key; a missing row yields NULL, which callers turn into "no rows".
     """
-    return dim.where(F.col(name_col) == F.lit(name)).select(F.col(value_col)).scalar()
+    match = F.lower(F.col(name_col)) == F.lit(name.lower()) if ignore_case else F.col(name_col) == F.lit(name)
+    return dim.where(match).select(F.col(value_col)).scalar()
 
 
 def with_const_lookups(df: DataFrame, lookups: dict[str, Column]) -> DataFrame:

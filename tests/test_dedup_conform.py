@@ -73,3 +73,34 @@ def test_rule_fan_out(spark):
     out = fan_out_rules(df, {"c": F.col("fields") == "comment", "any": F.col("fields").isin("comment", "product")})
     assert sorted((r.fields, r.conversion_desc) for r in out.collect()) == \
         [("comment", "any"), ("comment", "c"), ("product", "any")]
+
+
+def test_case_option_and_component_by_product(spark):
+    facts = spark.createDataFrame([(1,)], "i int")
+    dim = spark.createDataFrame([(6, "Orchard")], "team_key long, team_name string")
+    assert with_const_lookups(facts, {"k": lookup_const(dim, "team_name", "orchard", "team_key")}).count() == 0
+    assert with_const_lookups(facts, {"k": lookup_const(dim, "team_name", "orchard", "team_key",
+                                                       ignore_case=True)}).first().k == 6
+    raw = spark.createDataFrame([("a@x", "orchard")], "email string, team string")
+    out = conform(raw, F.lit(None).cast("timestamp_ntz"), [
+        DimJoin(dim, {"team": "team_name"}, {"team_key": "team_key"}, ignore_case=True)]).first()
+    assert out.team_key == 6
+
+
+def test_component_matched_with_its_product(spark):
+    from cadence.plans import bugs
+    raw = spark.createDataFrame([("a@x", ts("2014-06-02 10:00:00"), None, "f", 1, None, None, None, "NEW", "Core", "Gfx")],
+                                "contributor_email string, local_datetime timestamp_ntz, tz_offset interval day to second, "
+                                "fields string, bug_id long, added_values string, removed_values string, "
+                                "attachment_id long, status string, product string, component string") \
+        .withColumn("tz_offset", F.make_dt_interval(F.lit(0)))
+    contributor = spark.createDataFrame([(7, "a@x")], "contributor_key long, email string")
+    cal = spark.createDataFrame([(20140602, ts("2014-06-02 00:00:00").date())], "utc_date_key int, utc_date_only date")
+    status = spark.createDataFrame([(1, "NEW")], "status_key long, status_name string")
+    product = spark.createDataFrame([(1, "Core"), (2, "Other")], "product_key long, product_name string")
+    component = spark.createDataFrame([(10, "Gfx", 1), (11, "Gfx", 2)],
+                                      "component_key long, component_name string, product_key long")
+    as_written = bugs.conform_facts(raw, contributor, cal, status, product, component)
+    assert sorted(r.component_key for r in as_written.collect()) == [10, 11]          # fan-out, as written
+    scoped = bugs.conform_facts(raw, contributor, cal, status, product, component, component_by_product=True)
+    assert [r.component_key for r in scoped.collect()] == [10]

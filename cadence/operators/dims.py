@@ -41,9 +41,13 @@ def distinct_members(df: DataFrame, cols: Sequence[str] | str, ts: str | None =
 
 def add_members(existing: DataFrame | None, members: DataFrame, natural: Sequence[str] | str,
                 key_col: str) -> DataFrame:
-    """New dim rows (with surrogate key) for members not yet in ``existing``."""
+    """Dim rows (with surrogate key) for distinct ``members``; with ``existing``, only
+    those not stored yet. Pass ``existing=None`` when the sink does the key check
+    itself (``Warehouse.insert_new``), so the dim is compared only once."""
     natural = _cols(natural)
     fresh = members.select(surrogate_key(*natural).alias(key_col), *natural)
+    if existing is None:
+        return fresh
     return insert_if_absent(existing, fresh, natural)
 
 

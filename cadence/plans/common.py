@@ -36,7 +36,7 @@ def update_contributors(wh: Warehouse, emails: Sequence[DataFrame]) -> DataFrame
         e = df.select(F.col("email")).where(F.col("email").isNotNull())
         members = e if members is None else members.unionByName(e)
     members = members.distinct()
-    wh.insert_new(CONTRIBUTOR, add_members(wh.read(CONTRIBUTOR), members, "email", "contributor_key"), ["email"])
+    wh.insert_new(CONTRIBUTOR, add_members(None, members, "email", "contributor_key"), ["email"])
     return wh.table(CONTRIBUTOR)
 
 

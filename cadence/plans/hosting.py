@@ -99,8 +99,8 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         tz: str | None = None, offset=None) -> None:
     wh.insert_new(RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)
-    wh.insert_new("hosting_org", org_members(raw, wh.read("hosting_org")), ["github_org_name"])
-    repos = repo_members(raw, wh.read("hosting_repo")).withColumn("team_key", F.lit(None).cast("long"))
+    wh.insert_new("hosting_org", org_members(raw, None), ["github_org_name"])
+    repos = repo_members(raw, None).withColumn("team_key", F.lit(None).cast("long"))
     wh.insert_new("hosting_repo", repos, ["github_repo_name"])
     if repo_teams is not None:
         wh.upsert("hosting_repo", assign_repo_teams(wh.table("hosting_repo"), repo_teams, team_dim),

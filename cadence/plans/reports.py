@@ -136,8 +136,8 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
                   existing_filter=local_window(lo, hi))
     wh.upsert("reports_campaign", campaign_dim(src), ["campaign_key"])
     raw = raw_in_window(wh.table(RAW), lo, hi)
-    wh.insert_new("reports_activity", activity_members(raw, wh.read("reports_activity")), ["activity_name"])
-    wh.insert_new("reports_location", location_members(raw, wh.read("reports_location")),
+    wh.insert_new("reports_activity", activity_members(raw, None), ["activity_name"])
+    wh.insert_new("reports_location", location_members(raw, None),
                   ["location_name", "longitude", "latitude"])
     contributor = update_contributors(wh, [raw.select("email")])
     cal = update_calendar(wh, raw)

@@ -174,10 +174,10 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)
     contributor = update_contributors(wh, [raw.select("email")])
-    wh.insert_new("support_product", add_members(wh.read("support_product"), distinct_members(
+    wh.insert_new("support_product", add_members(None, distinct_members(
         raw, "extra_product", rename={"extra_product": "product_name"}), "product_name", "product_key"),
         ["product_name"])
-    wh.insert_new("support_topic", add_members(wh.read("support_topic"), distinct_members(
+    wh.insert_new("support_topic", add_members(None, distinct_members(
         raw, "extra_topic", rename={"extra_topic": "topic_name"}), "topic_name", "topic_key"), ["topic_name"])
     cal = update_calendar(wh, raw)
     wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("support_product"), wh.table("support_topic")),

@@ -21,7 +21,7 @@ from cadence.operators.windows import apply_marks, first_event_flag, first_event
 from cadence.plans import names as N
 from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
                                   update_calendar, update_contributors, utc_of_raw)
-from cadence.plans.conversions import FACT_COLUMNS, Team, attach_keys, convert, key_by_threshold
+from cadence.plans.conversions import Team, attach_keys, convert, key_by_threshold
 from cadence.sources.readers import Sources, any_in_window, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
 
@@ -265,4 +265,4 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
 
 
 __all__ = ["extract_attachments", "extract_activity", "extract_comments", "extract_accounts", "raw_facts",
-           "conform_facts", "number_comments", "conversions", "triage_thresholds", "run", "FACT_COLUMNS"]
+           "conform_facts", "number_comments", "renumber_comments", "conversions", "triage_thresholds", "run"]

@@ -13,7 +13,7 @@ from cadence.operators.hop import calendar_mondays
 from cadence.operators.joins import broadcast_bounded
 from cadence.operators.windows import first_event_flag, threshold_rollup, trailing_window
 from cadence.plans.conversions import convert
-from cadence.plans.registry import NATION_ROWS, REGION_ROWS, register, table
+from cadence.plans.registry import NATION_ROWS, register, table
 from cadence.sources.readers import windowed
 
 EV_LO, EV_HI = "2024-01-08 00:00:00", "2024-01-21 00:00:00"

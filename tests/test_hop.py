@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from cadence.functions.timefn import QUARTER, YEAR, Span
 from cadence.operators.hop import (calendar_mondays, every_monday, hop_explode, monday_bounds, monday_frame)
 from conftest import d, ts

@@ -91,6 +91,26 @@ def first_monday_at_or_after(u: Column) -> Column:
     return F.next_day(F.date_sub(d, F.when(at_midnight, 1).otherwise(0)), "Mon")
 
 
+def last_monday_counting(u: Column, span: Span) -> Column:
+    """Latest Monday ``D`` with ``D - span <= u``.
+
+    ``D - span`` (a midnight) is at most ``u`` exactly when its date is at most
+    ``date(u)``; the latest date ``X`` with ``X - span <= date(u)`` is ``date(u) +
+    span``, except that a month-end ``date(u)`` also takes every later day of the
+    target month (they all clamp back onto it). The answer is the Monday on or
+    before ``X``.
+    """
+    if span.months and span.days:
+        raise ValueError("a span in months or in days, not both")
+    d = F.to_date(u)
+    if span.months:
+        moved = F.add_months(d, span.months)
+        x = F.when(d == F.last_day(d), F.last_day(moved)).otherwise(moved)
+    else:
+        x = F.date_add(d, span.days)
+    return F.date_sub(F.next_day(x, "Mon"), 7)
+
+
 def relevant_rows(ts: Column, mondays: Mondays, span: Span) -> Column:
     """Facts that count for at least one Monday of the list (pushed to the scan)."""
     lo = shift_back(to_ntz(mondays.first), span)

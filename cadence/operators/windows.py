@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import Span, between_ts, shift_back
-from cadence.operators.hop import AS_OF, Mondays, day_bucket_cols, hop_explode, relevant_rows
+from cadence.operators.hop import (AS_OF, Mondays, day_bucket_cols, first_monday_at_or_after, hop_explode,
+                                  last_monday_counting, relevant_rows)
+from cadence.operators.joins import broadcast_bounded
 
 
 def _cols(cols) -> list[str]:
@@ -172,10 +174,40 @@ def trailing_distinct(facts: DataFrame, keys: Sequence[str] | str, ts: str, mond
                       span: Span) -> DataFrame:
     """Distinct ``keys`` seen in ``[D - span, D]``, for each Monday D (column ``as_of``).
 
-    Facts are first reduced to one row per (keys, day bucket), so the explode
-    works on at most ~2 rows per key and day.
+    Every fact counts for a contiguous run of Mondays, from the first Monday at or
+    after it to the last Monday whose window still reaches back to it. Facts are
+    reduced to one row per (keys, day bucket), each bucket's run of Mondays is
+    computed exactly, overlapping runs of the same keys are merged (a window over
+    the keys' buckets, ordered by run start), and only the merged runs are
+    exploded. The explode therefore emits exactly the output rows, with no
+    duplicates to remove, whatever the number of facts per key; a key holding a
+    third of all rows still has at most two buckets per day.
     """
     keys = _cols(keys)
+    if span.months and span.days:
+        return _trailing_distinct_by_explode(facts, keys, ts, mondays, span)
+    base = facts.where(relevant_rows(F.col(ts), mondays, span))
+    buckets = (base.select(*keys, F.col(ts), *day_bucket_cols(ts))
+               .groupBy(*keys, "_bucket_day", "_bucket_midnight").agg(F.max(ts).alias("_rep")))
+    lo, hi = F.lit(mondays.first), F.lit(mondays.last)
+    runs = (buckets
+            .select(*keys, F.greatest(first_monday_at_or_after(F.col("_rep")), lo).alias("_from"),
+                    F.least(last_monday_counting(F.col("_rep"), span), hi).alias("_to"))
+            .where(F.col("_from") <= F.col("_to")))
+    w = Window.partitionBy(*keys).orderBy("_from", "_to")
+    reach = F.max("_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(reach.isNull() | (F.col("_from") > reach), 1).otherwise(0)
+    runs = runs.withColumn("_island", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = runs.groupBy(*keys, "_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    out = islands.select(*keys, F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
+    if mondays.df is not None:
+        listed = broadcast_bounded(mondays.df, known_rows=mondays.max_rows)
+        out = out.join(listed, AS_OF, "left_semi")
+    return out
+
+
+def _trailing_distinct_by_explode(facts: DataFrame, keys: list[str], ts: str, mondays: Mondays,
+                                  span: Span) -> DataFrame:
     base = facts.where(relevant_rows(F.col(ts), mondays, span))
     buckets = (base.select(*keys, F.col(ts), *day_bucket_cols(ts))
                .groupBy(*keys, "_bucket_day", "_bucket_midnight").agg(F.max(ts).alias("_max")))

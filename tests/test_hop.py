@@ -70,3 +70,31 @@ def test_random_against_theta_join(spark):
         listed = [r.as_of for r in mondays.df.collect()]
         got = {(r.i, r.as_of) for r in hop_explode(facts, "u", mondays, span).collect()}
         assert got == brute(rows, listed, span)
+
+
+def test_trailing_distinct_runs_match_brute_force(spark):
+    from cadence.operators.windows import trailing_distinct
+    rnd = random.Random(11)
+    base = dt.datetime(2013, 1, 1)
+    rows = []
+    for i in range(600):
+        u = base + dt.timedelta(days=rnd.randrange(0, 1100))
+        if rnd.random() < 0.5:
+            u += dt.timedelta(seconds=rnd.randrange(0, 86400))
+        rows.append((i, rnd.randrange(8), u))
+    # month ends, leap day and Monday midnights
+    for u in ["2014-02-28 00:00:00", "2014-05-31 13:00:00", "2016-02-29 00:00:00", "2015-02-28 10:00:00",
+              "2014-06-02 00:00:00", "2014-01-31 00:00:00", "2014-08-31 23:59:59"]:
+        rows.append((len(rows), 3, ts(u)))
+    facts = spark.createDataFrame(rows, "i int, c int, u timestamp_ntz")
+    cal = spark.createDataFrame([(r[2].date(),) for r in rows], "utc_date_only date")
+    for span in (YEAR, QUARTER, Span(months=1), Span.weeks(8)):
+        for mondays in (every_monday("2013-06-01 00:00:00", "2016-06-01 00:00:00"),
+                        calendar_mondays(cal, "2013-06-01 00:00:00", "2016-06-01 00:00:00")):
+            listed = ([r.as_of for r in mondays.df.collect()] if mondays.df is not None else
+                      [r.as_of for r in monday_frame(spark, "2013-06-01 00:00:00", "2016-06-01 00:00:00").collect()])
+            want = {(c, m) for (i, m) in brute([(i, u) for i, c, u in rows], listed, span)
+                    for c in [rows[i][1]]}
+            got = [(r.c, r.as_of) for r in trailing_distinct(facts, ["c"], "u", mondays, span).collect()]
+            assert len(got) == len(set(got))          # no duplicates from overlapping runs
+            assert set(got) == want

@@ -96,7 +96,7 @@ def _join_sorted(arr: Column, sort_field: str, value_field: str, max_len: int |
 def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mondays: Mondays,
                      span: Span, thresholds: Sequence[int], canon: str | None = None,
                      concat: str = "list", max_len: int | None = None,
-                     distinct_of: str | None = None) -> DataFrame:
+                     distinct_of: str | None = None, method: str = "auto") -> DataFrame:
     """Groups that reach ``n >= threshold`` facts in ``[D - span, D]``, for each Monday D.
 
     Output: ``group``, ``as_of`` (the Monday), ``cnt``, ``utc_datetime`` (latest fact
@@ -110,11 +110,19 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
         repeated ``cnt`` times (no list is collected at all),
       * ``None``: no canonical column.
     ``distinct_of``: count distinct values of this column instead of rows.
+    ``method``: ``"runs"`` (difference array over runs of Mondays; counts and
+    repeat lists only), ``"explode"`` (one row per bucket and Monday), or
+    ``"auto"`` (runs when they apply).
     """
     group = _cols(group)
     th = sorted({int(t) for t in thresholds})
     if mondays.empty or not th:
         raise ValueError("need at least one Monday and one threshold")
+    runs_apply = concat in ("repeat", None) and distinct_of is None and not (span.months and span.days)
+    if method == "runs" and not runs_apply:
+        raise ValueError("the runs method takes counts or repeat lists, and a span in months or in days")
+    if runs_apply and method in ("auto", "runs"):
+        return _threshold_by_runs(facts, group, ts, mondays, span, th, canon if concat == "repeat" else None)
     base = facts.where(relevant_rows(F.col(ts), mondays, span))
     bcols = day_bucket_cols(ts)
     bkeys = group + ["_bucket_day", "_bucket_midnight"]
@@ -168,6 +176,52 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
     return out.where(F.col("cnt") >= th[0]).withColumn("threshold", F.explode(met))
 
 
+def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
+                       th: list[int], repeat_of: str | None) -> DataFrame:
+    """Counts per (group, Monday) from a difference array over runs of Mondays.
+
+    Each day bucket adds its fact count to every Monday of its run; per group the
+    +n (run start) / -n (after run end) changes are summed in date order, giving a
+    count that is constant between change points. The latest fact time in the
+    window is that of the latest bucket started (runs end in time order). Only
+    constant segments reaching the lowest threshold are exploded into Mondays, so
+    the rows emitted are the result rows. Per group the window holds at most four
+    change points per day, however many facts the group has.
+    """
+    base = facts.where(relevant_rows(F.col(ts), mondays, span))
+    buckets = (base.select(*group, F.col(ts), *day_bucket_cols(ts))
+               .groupBy(*group, "_bucket_day", "_bucket_midnight")
+               .agg(F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_rep")))
+    lo, hi = F.lit(mondays.first), F.lit(mondays.last)
+    runs = (buckets.select(*group, "_n", "_rep",
+                           F.greatest(first_monday_at_or_after(F.col("_rep")), lo).alias("_from"),
+                           F.least(last_monday_counting(F.col("_rep"), span), hi).alias("_to"))
+            .where(F.col("_from") <= F.col("_to")))
+    changes = runs.select(*group, F.explode(F.array(
+        F.struct(F.col("_from").alias("d"), F.col("_n").alias("delta"), F.col("_rep").alias("rep")),
+        F.struct(F.date_add("_to", 7).alias("d"), (-F.col("_n")).alias("delta"),
+                 F.lit(None).cast("timestamp_ntz").alias("rep")))).alias("_c"))
+    points = (changes.groupBy(*group, F.col("_c.d").alias("_d"))
+              .agg(F.sum("_c.delta").alias("_delta"), F.max("_c.rep").alias("_rep")))
+    w = Window.partitionBy(*group).orderBy("_d")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    seg = points.select(*group, "_d", F.sum("_delta").over(upto).alias("cnt"),
+                        F.max("_rep").over(upto).alias("utc_datetime"),
+                        F.lead("_d").over(w).alias("_next"))
+    seg = seg.where((F.col("cnt") >= th[0]) & F.col("_next").isNotNull())
+    out = seg.select(*group, "cnt", "utc_datetime",
+                     F.explode(F.sequence("_d", F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
+    if mondays.df is not None:
+        out = out.join(broadcast_bounded(mondays.df, known_rows=mondays.max_rows), AS_OF, "left_semi")
+    out = out.withColumn("cnt", F.col("cnt").cast("long"))
+    if repeat_of is not None:
+        out = out.withColumn("canonical", F.array_join(F.array_repeat(F.col(repeat_of), F.col("cnt").cast("int")), ","))
+    if len(th) == 1:
+        return out.withColumn("threshold", F.lit(th[0]))
+    met = F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t <= F.col("cnt"))
+    return out.withColumn("threshold", F.explode(met))
+
+
 # ---------------------------------------------------------- trailing snapshot
 
 def trailing_distinct(facts: DataFrame, keys: Sequence[str] | str, ts: str, mondays: Mondays,

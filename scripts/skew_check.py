@@ -46,6 +46,11 @@ def main():
     runs = {
         "threshold_rollup(list, cut 200)": threshold_rollup(facts, ["contributor_key"], "utc_datetime", mondays, YEAR,
                                                             [5, 50], canon="canonical", concat="list", max_len=200),
+        "threshold_rollup(repeat, runs)": threshold_rollup(facts, ["contributor_key", "canonical"], "utc_datetime",
+                                                           mondays, YEAR, [5, 50], canon="canonical", concat="repeat"),
+        "threshold_rollup(repeat, explode)": threshold_rollup(facts, ["contributor_key", "canonical"], "utc_datetime",
+                                                              mondays, YEAR, [5, 50], canon="canonical",
+                                                              concat="repeat", method="explode"),
         "trailing_distinct": trailing_distinct(facts, ["contributor_key"], "utc_datetime", mondays, YEAR),
         "pick_per_key": pick_per_key(facts, ["contributor_key"], ["utc_datetime"]),
         "first_event_flag": first_event_flag(facts, "contributor_key", "utc_datetime",

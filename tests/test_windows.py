@@ -91,3 +91,30 @@ def test_trailing_distinct_one_monday_equals_filter(spark):
             (2, "y", "a", ts("2014-06-30 00:00:00")), (3, "y", "a", ts("2014-06-30 00:00:01"))]
     snap = trailing_distinct(_facts(spark, rows), ["c", "k"], "t", every_monday(MON, MON), YEAR)
     assert sorted((r.c, r.k) for r in snap.collect()) == [(1, "x"), (2, "y")]
+
+
+def test_threshold_runs_equal_explode_path(spark):
+    import random
+    from cadence.operators import windows as W
+    from cadence.operators.hop import calendar_mondays
+    from cadence.functions.timefn import Span
+    rnd = random.Random(5)
+    rows = []
+    for i in range(900):
+        day = rnd.randrange(0, 700)
+        t = ts("2013-01-01 00:00:00") + __import__("datetime").timedelta(days=day,
+                                                                          seconds=rnd.choice([0, rnd.randrange(86400)]))
+        rows.append((rnd.randrange(5), "x", f"b{rnd.randrange(3)}", t))
+    facts = _facts(spark, rows)
+    cal = spark.createDataFrame([(r[3].date(),) for r in rows], "utc_date_only date")
+    for span in (QUARTER, YEAR, Span.weeks(4)):
+        for m in (every_monday("2013-03-01 00:00:00", "2014-10-01 00:00:00"),
+                  calendar_mondays(cal, "2013-03-01 00:00:00", "2014-10-01 00:00:00")):
+            fast = W.threshold_rollup(facts, ["c", "k", "canonical"], "t", m, span, [2, 4, 9], canon="canonical",
+                                      concat="repeat")
+            slow = W.threshold_rollup(facts, ["c", "k", "canonical"], "t", m, span, [2, 4, 9], canon="canonical",
+                                      concat="repeat", method="explode")
+            cols = ["c", "k", "canonical", "as_of", "cnt", "utc_datetime", "threshold"]
+            a = sorted(tuple(r) for r in fast.select(*cols).collect())
+            b = sorted(tuple(r) for r in slow.select(*cols).collect())
+            assert a == b and len(a) > 0

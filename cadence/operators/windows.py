@@ -23,6 +23,27 @@ def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _key_cond(keys: list[str], prefix: str) -> Column:
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def semi_join_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key (NULL-safe) occurs in ``other``."""
+    o = other.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)])
+    return df.join(o, _key_cond(keys, "_sk"), "left_semi")
+
+
+def join_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` (NULL-safe), keys kept once."""
+    rest = [c for c in other.columns if c not in keys]
+    o = other.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], *rest)
+    return df.join(o, _key_cond(keys, "_jk"), "inner").drop(*[f"_jk{i}" for i in range(len(keys))])
+
+
 # ---------------------------------------------------------------- first event
 
 def first_event_marks(facts: DataFrame, entity: str, ts: str, is_event: Column, lo=None, hi=None) -> DataFrame:
@@ -158,13 +179,27 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
             buckets = buckets.withColumn("_s", F.when(F.col("_nn") > 0, F.col("_s")))
         else:
             buckets = base.groupBy(*bkeys).agg(*bagg)
-        hop = hop_explode(buckets, "_max", mondays, span)
-        agg = [F.sum("_n").alias("cnt"), F.max("_max").alias("utc_datetime")]
-        if concat == "list":
-            agg += [F.sum("_nn").alias("_nn"),
-                    _join_sorted(F.collect_list(F.struct(F.col("_min"), F.col("_s"))), "_min", "_s", max_len)
-                    .alias("canonical")]
-        out = hop.groupBy(*group, AS_OF).agg(*agg)
+        lists_by_runs = concat == "list" and method == "auto" and not (span.months and span.days)
+        if lists_by_runs:
+            # qualifying (group, Monday) pairs come from the cheap run counts; only buckets of
+            # groups that qualify somewhere are exploded, and only qualifying Mondays kept
+            counts = _counts_by_runs(facts, group, ts, mondays, span, th[0])
+            buckets = semi_join_keys(buckets, counts.select(*group).distinct(), group)
+            hop = semi_join_keys(hop_explode(buckets, "_max", mondays, span), counts.select(*group, AS_OF),
+                                 group + [AS_OF])
+            lists = hop.groupBy(*group, AS_OF).agg(
+                F.sum("_nn").alias("_nn"),
+                _join_sorted(F.collect_list(F.struct(F.col("_min"), F.col("_s"))), "_min", "_s", max_len)
+                .alias("canonical"))
+            out = join_keys(counts, lists, group + [AS_OF])
+        else:
+            hop = hop_explode(buckets, "_max", mondays, span)
+            agg = [F.sum("_n").alias("cnt"), F.max("_max").alias("utc_datetime")]
+            if concat == "list":
+                agg += [F.sum("_nn").alias("_nn"),
+                        _join_sorted(F.collect_list(F.struct(F.col("_min"), F.col("_s"))), "_min", "_s", max_len)
+                        .alias("canonical")]
+            out = hop.groupBy(*group, AS_OF).agg(*agg)
         if concat == "list":
             out = out.withColumn("canonical", F.when(F.col("_nn") > 0, F.col("canonical"))).drop("_nn")
         elif concat == "repeat":
@@ -176,17 +211,19 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
     return out.where(F.col("cnt") >= th[0]).withColumn("threshold", F.explode(met))
 
 
-def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
-                       th: list[int], repeat_of: str | None) -> DataFrame:
-    """Counts per (group, Monday) from a difference array over runs of Mondays.
+def _counts_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
+                    min_count: int) -> DataFrame:
+    """(group, ``as_of``, ``cnt``, ``utc_datetime``) for the Mondays where the group
+    has at least ``min_count`` facts in ``[D - span, D]``, from a difference array
+    over runs of Mondays.
 
     Each day bucket adds its fact count to every Monday of its run; per group the
     +n (run start) / -n (after run end) changes are summed in date order, giving a
     count that is constant between change points. The latest fact time in the
     window is that of the latest bucket started (runs end in time order). Only
-    constant segments reaching the lowest threshold are exploded into Mondays, so
-    the rows emitted are the result rows. Per group the window holds at most four
-    change points per day, however many facts the group has.
+    constant segments reaching ``min_count`` are exploded into Mondays, so the rows
+    emitted are result rows. Per group the window holds at most four change points
+    per day, however many facts the group has.
     """
     base = facts.where(relevant_rows(F.col(ts), mondays, span))
     buckets = (base.select(*group, F.col(ts), *day_bucket_cols(ts))
@@ -208,11 +245,18 @@ def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mon
     seg = points.select(*group, "_d", F.sum("_delta").over(upto).alias("cnt"),
                         F.max("_rep").over(upto).alias("utc_datetime"),
                         F.lead("_d").over(w).alias("_next"))
-    seg = seg.where((F.col("cnt") >= th[0]) & F.col("_next").isNotNull())
-    out = seg.select(*group, "cnt", "utc_datetime",
+    seg = seg.where((F.col("cnt") >= min_count) & F.col("_next").isNotNull())
+    out = seg.select(*group, F.col("cnt").cast("long").alias("cnt"), "utc_datetime",
                      F.explode(F.sequence("_d", F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
     if mondays.df is not None:
         out = out.join(broadcast_bounded(mondays.df, known_rows=mondays.max_rows), AS_OF, "left_semi")
+    return out
+
+
+def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
+                       th: list[int], repeat_of: str | None) -> DataFrame:
+    """Count thresholds (optionally with a repeat list) from :func:`_counts_by_runs`."""
+    out = _counts_by_runs(facts, group, ts, mondays, span, th[0])
     out = out.withColumn("cnt", F.col("cnt").cast("long"))
     if repeat_of is not None:
         out = out.withColumn("canonical", F.array_join(F.array_repeat(F.col(repeat_of), F.col("cnt").cast("int")), ","))

@@ -118,3 +118,27 @@ def test_threshold_runs_equal_explode_path(spark):
             a = sorted(tuple(r) for r in fast.select(*cols).collect())
             b = sorted(tuple(r) for r in slow.select(*cols).collect())
             assert a == b and len(a) > 0
+
+
+def test_list_thresholds_prefiltered_equal_explode(spark):
+    import datetime as _dt
+    import random
+    from cadence.operators import windows as W
+    from cadence.functions.timefn import Span
+    rnd = random.Random(9)
+    rows = []
+    for i in range(700):
+        c = rnd.choice([0, 0, 0, 1, 2, 3, 4, 5, 6, 7])          # contributor 0 is hot
+        t = ts("2013-01-01 00:00:00") + _dt.timedelta(days=rnd.randrange(0, 600),
+                                                      seconds=rnd.choice([0, rnd.randrange(86400)]))
+        rows.append((c, "x", rnd.choice([f"v{i:04d}", None]), t))
+    facts = _facts(spark, rows)
+    for span, cut in ((YEAR, 60), (QUARTER, None), (Span.weeks(6), 25)):
+        m = every_monday("2013-02-01 00:00:00", "2014-08-01 00:00:00")
+        a = W.threshold_rollup(facts, ["c"], "t", m, span, [3, 12], canon="canonical", concat="list", max_len=cut)
+        b = W.threshold_rollup(facts, ["c"], "t", m, span, [3, 12], canon="canonical", concat="list", max_len=cut,
+                               method="explode")
+        cols = ["c", "as_of", "cnt", "utc_datetime", "canonical", "threshold"]
+        ra = sorted(tuple(r) for r in a.select(*cols).collect())
+        rb = sorted(tuple(r) for r in b.select(*cols).collect())
+        assert ra == rb and len(ra) > 0

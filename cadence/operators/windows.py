@@ -183,7 +183,9 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
         if lists_by_runs:
             # qualifying (group, Monday) pairs come from the cheap run counts; only buckets of
             # groups that qualify somewhere are exploded, and only qualifying Mondays kept
-            counts = _counts_by_runs(facts, group, ts, mondays, span, th[0])
+            # the same bucket table feeds the counts and the lists (one aggregation, reused)
+            counts = _counts_by_runs(buckets.select(*group, "_n", F.col("_max").alias("_rep")), group, mondays,
+                                     span, th[0])
             buckets = semi_join_keys(buckets, counts.select(*group).distinct(), group)
             hop = semi_join_keys(hop_explode(buckets, "_max", mondays, span), counts.select(*group, AS_OF),
                                  group + [AS_OF])
@@ -211,13 +213,21 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
     return out.where(F.col("cnt") >= th[0]).withColumn("threshold", F.explode(met))
 
 
-def _counts_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
+def _day_buckets(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span) -> DataFrame:
+    base = facts.where(relevant_rows(F.col(ts), mondays, span))
+    return (base.select(*group, F.col(ts), *day_bucket_cols(ts))
+            .groupBy(*group, "_bucket_day", "_bucket_midnight")
+            .agg(F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_rep")))
+
+
+def _counts_by_runs(buckets: DataFrame, group: list[str], mondays: Mondays, span: Span,
                     min_count: int) -> DataFrame:
     """(group, ``as_of``, ``cnt``, ``utc_datetime``) for the Mondays where the group
     has at least ``min_count`` facts in ``[D - span, D]``, from a difference array
     over runs of Mondays.
 
-    Each day bucket adds its fact count to every Monday of its run; per group the
+    ``buckets``: one row per (group, day bucket) with the fact count ``_n`` and the
+    latest time ``_rep``. Each day bucket adds its fact count to every Monday of its run; per group the
     +n (run start) / -n (after run end) changes are summed in date order, giving a
     count that is constant between change points. The latest fact time in the
     window is that of the latest bucket started (runs end in time order). Only
@@ -225,10 +235,6 @@ def _counts_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Monday
     emitted are result rows. Per group the window holds at most four change points
     per day, however many facts the group has.
     """
-    base = facts.where(relevant_rows(F.col(ts), mondays, span))
-    buckets = (base.select(*group, F.col(ts), *day_bucket_cols(ts))
-               .groupBy(*group, "_bucket_day", "_bucket_midnight")
-               .agg(F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_rep")))
     lo, hi = F.lit(mondays.first), F.lit(mondays.last)
     runs = (buckets.select(*group, "_n", "_rep",
                            F.greatest(first_monday_at_or_after(F.col("_rep")), lo).alias("_from"),
@@ -256,7 +262,7 @@ def _counts_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Monday
 def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
                        th: list[int], repeat_of: str | None) -> DataFrame:
     """Count thresholds (optionally with a repeat list) from :func:`_counts_by_runs`."""
-    out = _counts_by_runs(facts, group, ts, mondays, span, th[0])
+    out = _counts_by_runs(_day_buckets(facts, group, ts, mondays, span), group, mondays, span, th[0])
     out = out.withColumn("cnt", F.col("cnt").cast("long"))
     if repeat_of is not None:
         out = out.withColumn("canonical", F.array_join(F.array_repeat(F.col(repeat_of), F.col("cnt").cast("int")), ","))

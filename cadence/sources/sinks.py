@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from cadence.operators.dedup import insert_if_absent, replace_by_key
@@ -115,10 +114,3 @@ class Warehouse:
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
-
-def empty_like(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def keyed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in cols])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +29,11 @@ def small_batches(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``df.mapInArrow`` with small batches."""
+    """``df.mapInArrow`` with small batches; workers look for this package where the driver has it."""
     small_batches(df.sparkSession)
+    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), root]))
     return df.mapInArrow(fn, schema)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import packing, tokencount
+from cadence.llm import langid, packing, secret_scan, tokencount
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +24,21 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_language_mixture(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), word_bpe())
 
 
+@query
+def op5_secret_ownership(spark, sf_dir):
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), word_bpe())

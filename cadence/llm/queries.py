@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import langid, packing, secret_scan, tokencount
+from cadence.llm import dartminhash, langid, packing, secret_scan, tokencount
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_language_mixture(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+@query
+def op3_dart_minhash(spark, sf_dir):
+    return dartminhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), word_bpe())

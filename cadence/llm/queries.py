@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import dartminhash, langid, packing, secret_scan, tokencount
+from cadence.llm import dartminhash, decontam, langid, packing, secret_scan, tokencount
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op5_secret_ownership(spark, sf_dir):
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_spaced_seeds(spark, sf_dir):
+    return decontam.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), word_bpe())

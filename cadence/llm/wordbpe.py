@@ -4,13 +4,14 @@
 by a pattern that never joins text across white space, and encodes each piece on its
 own. A piece therefore has the same ids wherever it stands. Texts of plain Latin
 characters are split here by the same pattern and each distinct piece is encoded
-once by the library; every other text goes to the library as it is.
+once by the library's model; every other text goes to the library as it is.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from array import array
 
 import numpy as np
 
@@ -21,16 +22,47 @@ PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ–—‘’“”…€]*")
 PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 SPACE = re.compile("[ \t\n\r]")
 #: Pieces remembered per worker; beyond this the memory is started anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: Longer pieces are not remembered.
+LONGEST = 64
 SLICE = 65_536
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level pre-tokenizer's letter of each byte: itself where it is a visible
+    Latin-1 character, else the next character from 256 on."""
+    out, extra = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174:
+            out[b] = chr(b)
+        else:
+            out[b], extra = chr(extra), extra + 1
+    return out
+
+
+class Pieces(dict):
+    """Ids of the split pattern's pieces; one that is not there yet is encoded by the library's model."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.encode, self.letters = model.tokenize, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        word = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.encode(word)]).tobytes()
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class WordBpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.pieces = Pieces(self.lib.model)
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -39,23 +71,10 @@ class WordBpe:
     def plain(text: str) -> bool:
         return "<|" not in text and PLAIN.fullmatch(text) is not None
 
-    def _learn(self, pieces: list[str]) -> None:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({p for p in pieces if p not in known})
-        for p, e in zip(new, self.lib.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.asarray(e.ids, "<u4").tobytes()
-
     def _slice(self, text: str) -> bytes:
         if not self.plain(text):
             return self._library(text)
-        pieces = PIECE.findall(text.lower())
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.known.__getitem__, pieces))
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text.lower())))
 
     def ids(self, text: str) -> bytes:
         """All ids of ``text`` as little-endian unsigned 32-bit integers.
@@ -77,11 +96,8 @@ class WordBpe:
         if self.plain(text):
             low = text.lower()
             pieces = list(PIECE.finditer(low))
-            words = [m.group() for m in pieces]
-            if any(w not in self.known for w in words):
-                self._learn(words)
-            n = np.fromiter((len(self.known[w]) // 4 for w in words), np.int64, len(words))
-            at = np.fromiter((m.start() for m in pieces), np.int64, len(words))
+            n = np.fromiter((len(self.pieces[m.group()]) // 4 for m in pieces), np.int64, len(pieces))
+            at = np.fromiter((m.start() for m in pieces), np.int64, len(pieces))
             return at, np.cumsum(n) - n
         off = self.lib.encode(text, add_special_tokens=False).offsets
         at = np.fromiter((a for a, _ in off), np.int64, len(off))

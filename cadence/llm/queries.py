@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import dartminhash, decontam, langid, packing, secret_scan, tokencount
+from cadence.llm import (dartminhash, decontam, html_text, langid, packing, secret_scan, tokencount,
+                         warc_build)
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,11 @@ def op1_language_mixture(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+@query
+def op2_line_blocks(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 @query
 def op3_dart_minhash(spark, sf_dir):
     return dartminhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -52,3 +58,8 @@ def op6_spaced_seeds(spark, sf_dir):
 @query
 def op7_token_counts(spark, sf_dir):
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), word_bpe())
+
+
+@query
+def op9_warc_derivatives(spark, sf_dir):
+    return warc_build.derivatives(warc_build.responses(read(spark, sf_dir, "pages")))

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import (dartminhash, decontam, html_text, langid, packing, secret_scan, tokencount,
-                         warc_build)
+from cadence.llm import (dartminhash, decontam, embed_dedup, html_text, langid, packing,
+                         secret_scan, tokencount, warc_build)
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op7_token_counts(spark, sf_dir):
 @query
 def op9_warc_derivatives(spark, sf_dir):
     return warc_build.derivatives(warc_build.responses(read(spark, sf_dir, "pages")))
+
+
+@query
+def op10_pca_tiles(spark, sf_dir):
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.llm import (dartminhash, decontam, embed_dedup, html_text, langid, packing,
-                         secret_scan, tokencount, warc_build)
+                         secret_scan, suffix_dedup, tokencount, warc_build)
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op7_token_counts(spark, sf_dir):
     return tokencount.count_tokens(read(spark, sf_dir, "documents"), word_bpe())
 
 
+@query
+def op8_suffix_runs(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_warc_derivatives(spark, sf_dir):
     return warc_build.derivatives(warc_build.responses(read(spark, sf_dir, "pages")))

@@ -199,3 +199,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = has.select("doc_id", "digest", "key").join(named, "key").select(
         "doc_id", "digest", "class_id", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("keep"))).alias("kept"))
     return out.unionByName(signed.where("n = 0").select("doc_id", "digest", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept")))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that are kept, one for each group, all columns as they are. Of
+    rows equal in id and text one is kept, unless the text has no words."""
+    keep = near_duplicates(docs, id_col, text_col, **how).where("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    keep = stored(keep.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")))
+    marked = docs.withColumn("__text_digest", F.sha2(text_or_empty(text_col), 256))
+    kept = marked.join(keep, marked[id_col].eqNullSafe(keep["__id"]) & (marked["__text_digest"] == keep["__digest"]))
+    has_words = F.lower(text_or_empty(text_col)).rlike(r"[a-z0-9\x{80}-\x{10ffff}]")
+    words, none = kept.where(has_words), kept.where(~has_words)
+    return words.dropDuplicates(["__id", "__digest"]).unionByName(none).select(*docs.columns)

@@ -161,3 +161,26 @@ def identify(docs: DataFrame, learn_from: Column | None = None, id_col: str = "d
     id_type = rows.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers a language
     return map_arrow(rows, _predict(shared), f"doc_id {id_type}, held_out boolean, lang_pred string, score double, n_langs int")
+
+
+def _prevailing(model, column: int, least: float):
+    def run(batches):
+        langs, log_p = model.value
+        for b in batches:
+            ok = []
+            for text in b.column(column).to_pylist():
+                g = trigrams(text or "") if langs else ()
+                ok.append(bool(len(g)) and float(infer(log_p, g).max()) >= least)
+            yield b.filter(pa.array(ok, pa.bool_()))
+    return run
+
+
+def prevailing(docs: DataFrame, least: float = 0.5, text_col: str = "text", lang_col: str = "lang",
+               train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The rows of ``docs`` with a language that has at least the share ``least``, all columns as they
+    are. Learns from all labelled rows; if there are none, only rows without a letter go."""
+    model = learn(docs.select(docs[text_col].cast("string").alias("text"), docs[lang_col].alias("lang")), train_docs)
+    if not model[0]:
+        return docs.where(docs[text_col].rlike(r"\p{L}"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return map_arrow(docs, _prevailing(shared, docs.columns.index(text_col), least), docs.schema)

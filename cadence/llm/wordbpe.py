@@ -22,7 +22,7 @@ PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ–—‘’“”…€]*")
 PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 SPACE = re.compile("[ \t\n\r]")
 #: Pieces remembered per worker; beyond this the memory is started anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Longer pieces are not remembered.
 LONGEST = 64
 SLICE = 65_536

@@ -1,17 +1,20 @@
 """Command line: run a topic job or the weekly snapshot for a window.
 
-    python -m cadence.cli --warehouse WH --sources SRC bugs "2014-06-01 00:00:00" "2014-06-02 00:00:00"
-    python -m cadence.cli --warehouse WH aggregate "2014-06-01 00:00:00" "2014-06-30 00:00:00"
+    python -m cadence.cli --warehouse WH --sources SRC bugs "2021-03-07 00:00:00" "2021-03-13 23:59:59"
+    python -m cadence.cli --warehouse WH aggregate "2021-03-01 00:00:00" "2021-03-31 23:59:59"
 
 Topic jobs first, then ``aggregate`` (it reads the conversions they wrote). The
 conversion, source and team dimensions are read from the warehouse tables
 ``conversion``, ``source`` and ``team``; the repository -> team list for the
-hosting job from ``repo_team`` when present.
+hosting job from ``repo_team`` when present. ``--names`` is a JSON object with the
+deployment's own values of :class:`cadence.plans.names.Names`; ``--jdbc`` one with what
+``read_jdbc`` takes for all tables (``url``, ``properties``) instead of ``--sources``.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from cadence.plans import aggregate, bugs, hosting, reports, support
@@ -27,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="cadence")
     p.add_argument("--warehouse", required=True, help="warehouse root (any Hadoop path)")
     p.add_argument("--sources", help="folder holding the source system's exported tables")
+    p.add_argument("--jdbc", help="JSON object: the source database's url and properties")
+    p.add_argument("--names", default="{}", help="JSON object: this deployment's names")
     p.add_argument("--format", default="parquet", help="source table format")
     p.add_argument("--tz", help="time zone of the source's local times (default: taken as UTC)")
     p.add_argument("job", choices=sorted(TOPICS) + ["aggregate"])
@@ -40,10 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "aggregate":
         aggregate.run(wh, a.lower, a.upper, conversion, team, source)
         return 0
-    if not a.sources:
-        p.error("--sources is required for a topic job")
-    src = Sources(spark, root=a.sources, fmt=a.format)
-    names = Names()
+    if not a.sources and not a.jdbc:
+        p.error("--sources or --jdbc is required for a topic job")
+    src = Sources(spark, root=a.sources, fmt=a.format, jdbc=json.loads(a.jdbc) if a.jdbc else None)
+    names = Names(**json.loads(a.names))
     if a.job == "hosting":
         hosting.run(wh, src, a.lower, a.upper, conversion, source, team, wh.read("repo_team"), names, tz=a.tz)
     else:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,5 +31,5 @@ def regex_contains(c, pattern: str) -> Column:
 
 
 def literal_contains(c, text: str) -> Column:
-    """True where ``text`` occurs literally (regex metacharacters escaped)."""
-    return _col(c).rlike(re.escape(text))
+    """True where ``text`` occurs literally (a predicate that the scan can take)."""
+    return _col(c).contains(text)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.operators.keys import join_keys
+
 
 def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -22,23 +24,41 @@ def ordered_list(ts: str, value: str, max_len: int | None = None) -> Column:
     return F.when(F.count(F.col(value)) > 0, s)
 
 
+#: Salts a group's values are spread over before their heads meet in one task.
+HEAD_SALTS = 32
+
+
+def list_head(df: DataFrame, group: Sequence[str], ts: str, value: str, max_len: int) -> DataFrame:
+    """The rows of ``df`` whose value can reach the first ``max_len`` characters of its
+    group's ordered list. NULL values never do, and do not count.
+
+    A value starts after the characters (and commas) of the values before it; one that
+    starts right after the last character kept still puts its comma there. That is
+    judged twice: first within a salt of the group, where fewer values come before, so
+    nothing is lost; then among what is left, at most HEAD_SALTS times ``max_len``
+    characters a group, however many rows the group has and whatever the session's settings.
+    """
+    size = F.char_length(F.col(value).cast("string")) + 1
+    out = df.where(F.col(value).isNotNull()).withColumn("_salt", F.pmod(F.xxhash64(ts, value), F.lit(HEAD_SALTS)))
+    for keys in ([*group, "_salt"], list(group)):
+        before = Window.partitionBy(*keys).orderBy(F.col(ts), F.col(value)).rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("_at", F.coalesce(F.sum(size).over(before), F.lit(0))).where(F.col("_at") <= max_len).drop("_at")
+    return out.drop("_salt")
+
+
 def group_ordered_list(df: DataFrame, group: Sequence[str] | str, ts: str, value: str,
                        max_len: int | None = None, out: str = "canonical",
                        extra: Sequence[Column] = ()) -> DataFrame:
     """``group`` -> ordered list of ``value`` (see :func:`ordered_list`) plus ``extra``
     aggregates over all rows of the group.
 
-    With ``max_len`` only the first ``max_len + 1`` values per group can appear in
-    the result, so they are cut first by a ``row_number`` limit that Spark runs as a
-    partial top-k before the shuffle; a hot group then ships at most that many
-    rows per map partition.
+    With ``max_len`` only the values that can appear in the result are collected (see
+    :func:`list_head`). Groups compare NULL-safely, and a group without any value has
+    a NULL list.
     """
     group = _cols(group)
     if max_len is None:
         return df.groupBy(*group).agg(ordered_list(ts, value).alias(out), *extra)
-    w = Window.partitionBy(*group).orderBy(F.col(ts), F.col(value))
-    head = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_len + 1)
-    lists = head.groupBy(*group).agg(ordered_list(ts, value, max_len).alias(out))
-    if not extra:
-        return lists
-    return df.groupBy(*group).agg(*extra).join(lists, group)
+    lists = list_head(df, group, ts, value, max_len).groupBy(*group).agg(ordered_list(ts, value, max_len).alias(out))
+    every = df.groupBy(*group).agg(*extra) if extra else df.select(*group).distinct()
+    return join_keys(every, lists, group, "left")

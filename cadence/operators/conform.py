@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import date_key
-from cadence.operators.joins import broadcast_bounded
 
 
 @dataclass
@@ -24,15 +23,12 @@ class DimJoin:
     take: dict[str, str]               # dim column -> output column
     how: str = "left"                  # "left" keeps facts without a member
     default: dict[str, Any] = field(default_factory=dict)   # output column -> value when missing
-    small: bool = False                # broadcast behind a size check
     null_safe: bool = False            # match NULL with NULL
     ignore_case: bool = False          # compare names without case (as a case-insensitive collation)
 
 
 def join_dim(raw: DataFrame, dj: DimJoin, tag: str) -> DataFrame:
     dim = dj.dim.select(*[F.col(c).alias(f"{tag}_{c}") for c in set(dj.on.values()) | set(dj.take)])
-    if dj.small:
-        dim = broadcast_bounded(dim)
     cond = None
     for rc, dc in dj.on.items():
         left, right = F.col(rc), F.col(f"{tag}_{dc}")
@@ -58,8 +54,7 @@ def conform(raw: DataFrame, utc: Column, dims: list[DimJoin], calendar: DataFram
     """
     out = raw.withColumn("utc_datetime", utc)
     if calendar is not None:
-        cal = broadcast_bounded(calendar.select(F.col("utc_date_only").alias("_cal_d"),
-                                                F.col("utc_date_key")))
+        cal = calendar.select(F.col("utc_date_only").alias("_cal_d"), F.col("utc_date_key"))
         out = out.join(cal, F.to_date("utc_datetime") == F.col("_cal_d"), "inner").drop("_cal_d")
     else:
         out = out.withColumn("utc_date_key", date_key(F.to_date("utc_datetime")))

@@ -25,7 +25,7 @@ def _cols(cols) -> list[str]:
 def _total_order(df: DataFrame, key: list[str], order: Sequence, descending: bool) -> list[Column]:
     named = [o for o in order if isinstance(o, str)]
     exprs = [F.col(o) if isinstance(o, str) else o for o in order]
-    rest = [F.col(c) for c in df.columns if c not in key and c not in named and not c.startswith("_")]
+    rest = [F.col(c) for c in df.columns if c not in key and c not in named]
     cols = exprs + rest or [F.col(k) for k in key]   # all columns are key: any row will do
     if descending:
         return [c.desc_nulls_last() for c in cols]

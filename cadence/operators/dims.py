@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cadence.functions.timefn import between_ts, calendar_attributes, date_key
 from cadence.operators.dedup import insert_if_absent
-from cadence.operators.joins import broadcast_bounded
 
 UNKNOWN_KEY = 0
 
@@ -21,12 +20,22 @@ def _cols(cols) -> list[str]:
 def surrogate_key(*cols) -> Column:
     """Stable 64-bit key of a natural key (no coordination between writers).
 
-    0 is reserved for the "unknown" member, so a hash of 0 is moved to 1.
+    Each column is hashed after a mark whether it is NULL, as a NULL alone would leave
+    the hash unchanged and its place in the key would be lost. 0 is reserved for the
+    "unknown" member, so a hash of 0 is moved to 1. See :func:`key_collisions`.
     """
-    h = F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    each = [F.col(c) if isinstance(c, str) else c for c in cols]
+    h = F.xxhash64(*[x for c in each for x in (c.isNull(), c)])
     return F.when(h == 0, F.lit(1).cast("long")).otherwise(h)
 
 
+def key_collisions(dim: DataFrame, key_col: str, natural: Sequence[str] | str) -> DataFrame:
+    """Surrogate keys that stand for more than one natural key, with their number. 64
+    bits make one unlikely below some 10^9 members, not impossible."""
+    members = dim.select(key_col, *_cols(natural)).distinct()
+    return members.groupBy(key_col).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
+
+
 def distinct_members(df: DataFrame, cols: Sequence[str] | str, ts: str | None = None,
                      lo=None, hi=None, rename: dict | None = None) -> DataFrame:
     """Distinct natural keys, optionally of the rows inside ``[lo, hi]`` on ``ts``."""
@@ -64,14 +73,10 @@ def calendar(dates: DataFrame, date_col: str = "utc_date_only") -> DataFrame:
 
 
 def map_attribute(dim: DataFrame, mapping: DataFrame, dim_col: str, map_col: str,
-                  attr_cols: Sequence[str] | str, max_rows: int = 100_000) -> DataFrame:
+                  attr_cols: Sequence[str] | str) -> DataFrame:
     """Set attributes of dim rows from a (name -> attribute) mapping table, in one
-    left join (rows without a mapping keep NULL).
-
-    The mapping is a hand-maintained list; it is broadcast when its size check
-    passes, else joined by shuffle.
-    """
+    left join (rows without a mapping keep NULL)."""
     attr_cols = _cols(attr_cols)
-    m = broadcast_bounded(mapping.select(F.col(map_col).alias("_map_name"), *attr_cols), max_rows)
+    m = mapping.select(F.col(map_col).alias("_map_name"), *attr_cols)
     base = dim.drop(*[c for c in attr_cols if c in dim.columns])
     return base.join(m, F.col(dim_col) == F.col("_map_name"), "left").drop("_map_name")

@@ -5,37 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables with a business-defined, small member list (conversions,
-# sources, teams, mappings) stay far below this; anything larger is left to the
-# optimizer (sort-merge join, or AQE's runtime broadcast when it turns out small).
-SMALL_DIM_ROWS = 100_000
-
-
-def broadcast_bounded(df: DataFrame, max_rows: int = SMALL_DIM_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is provably at most ``max_rows``.
-
-    ``known_rows`` is a bound known from construction (e.g. the number of weeks in
-    a reporting window). Without one the frame is returned unhinted: Spark then
-    broadcasts it only if its estimated size is under
-    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the measured
-    size at run time; otherwise it is a shuffle (sort-merge) join. No job is run
-    to size the frame.
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
+def broadcast_bounded(df: DataFrame, known_rows: int, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` if the bound ``known_rows`` on its rows, known from construction
+    (e.g. the number of weeks in a reporting window), is at most ``max_rows``. Anything
+    else is left to Spark's own size check and AQE."""
+    return F.broadcast(df) if known_rows <= max_rows else df
 
 
 def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str, ignore_case: bool = False) -> Column:
     """Key of the dim row whose ``name_col`` equals ``name``, as a scalar subquery.
 
     Replaces ``INNER JOIN dim ON (dim.name = 'literal')``: the subquery runs once and
-    its value is inlined, so no join (and no nested loop) is planned. The name is the
-    dim's unique key; a missing row yields NULL, which callers turn into "no rows".
+    its value is inlined, so no join (and no nested loop) is planned. A missing row yields
+    NULL, which callers turn into "no rows". Of several rows with the name the least key
+    is taken: a fact is not to be counted once for each of them.
     """
     match = F.lower(F.col(name_col)) == F.lit(name.lower()) if ignore_case else F.col(name_col) == F.lit(name)
-    return dim.where(match).select(F.col(value_col)).scalar()
+    return dim.where(match).select(F.min(value_col).alias(value_col)).scalar()
 
 
 def with_const_lookups(df: DataFrame, lookups: dict[str, Column]) -> DataFrame:

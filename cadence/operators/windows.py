@@ -16,34 +16,15 @@ from pyspark.sql import functions as F
 from cadence.functions.timefn import Span, between_ts, shift_back
 from cadence.operators.hop import (AS_OF, Mondays, day_bucket_cols, first_monday_at_or_after, hop_explode,
                                   last_monday_counting, relevant_rows)
+from cadence.operators.aggregates import list_head
 from cadence.operators.joins import broadcast_bounded
+from cadence.operators.keys import join_keys, semi_join_keys
 
 
 def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _key_cond(keys: list[str], prefix: str) -> Column:
-    cond = None
-    for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def semi_join_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key (NULL-safe) occurs in ``other``."""
-    o = other.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)])
-    return df.join(o, _key_cond(keys, "_sk"), "left_semi")
-
-
-def join_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys`` (NULL-safe), keys kept once."""
-    rest = [c for c in other.columns if c not in keys]
-    o = other.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], *rest)
-    return df.join(o, _key_cond(keys, "_jk"), "inner").drop(*[f"_jk{i}" for i in range(len(keys))])
-
-
 # ---------------------------------------------------------------- first event
 
 def first_event_marks(facts: DataFrame, entity: str, ts: str, is_event: Column, lo=None, hi=None) -> DataFrame:
@@ -93,20 +74,6 @@ def trailing_window(df: DataFrame, ts: str, lo, hi, span: Span) -> DataFrame:
 
 # ------------------------------------------------------------ ordered concat
 
-def ordered_concat_partials(df: DataFrame, keys: list[str], ts: str, canon: str,
-                            max_len: int | None) -> DataFrame:
-    """Per (keys) bucket: the canonicals ordered by (time, value), comma joined.
-
-    With ``max_len`` only the first ``max_len + 1`` values of a bucket can reach
-    the final prefix (each adds at least a separator), so a ``row_number`` limit
-    cuts the bucket first; Spark plans it as a partial top-k before the shuffle.
-    """
-    if max_len is not None:
-        w = Window.partitionBy(*keys).orderBy(F.col(ts), F.col(canon))
-        df = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_len + 1).drop("_rn")
-    return df
-
-
 def _join_sorted(arr: Column, sort_field: str, value_field: str, max_len: int | None) -> Column:
     s = F.array_join(F.transform(F.array_sort(arr), lambda x: x[value_field]), ",")
     return F.substring(s, 1, max_len) if max_len is not None else s
@@ -167,15 +134,14 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
     else:
         bagg = [F.count(F.lit(1)).alias("_n"), F.max(ts).alias("_max"), F.min(ts).alias("_min")]
         if concat == "list":
-            part = F.collect_list(F.struct(F.col(ts), F.col(canon)))
-            sagg = [F.count(canon).alias("_nn"), _join_sorted(part, ts, canon, max_len).alias("_s")]
+            listed = _join_sorted(F.collect_list(F.struct(F.col(ts), F.col(canon))), ts, canon, max_len).alias("_s")
+            bagg.append(F.count(canon).alias("_nn"))
             if max_len is None:
-                buckets = base.groupBy(*bkeys).agg(*bagg, *sagg)
+                buckets = base.groupBy(*bkeys).agg(*bagg, listed)
             else:
-                # counts over all rows; the list only over each bucket's first values
-                src = ordered_concat_partials(base, bkeys, ts, canon, max_len)
-                buckets = base.groupBy(*bkeys).agg(*bagg).join(
-                    src.groupBy(*bkeys).agg(*sagg), bkeys)
+                # counts over all rows; the list only over the values that can reach its first characters
+                heads = list_head(base, bkeys, ts, canon, max_len).groupBy(*bkeys).agg(listed)
+                buckets = join_keys(base.groupBy(*bkeys).agg(*bagg), heads, bkeys, "left")
             buckets = buckets.withColumn("_s", F.when(F.col("_nn") > 0, F.col("_s")))
         else:
             buckets = base.groupBy(*bkeys).agg(*bagg)

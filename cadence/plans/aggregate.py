@@ -18,11 +18,13 @@ ACTIVE = "contributor_active"
 
 def snapshot_window(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim: DataFrame, source_dim: DataFrame,
                     span: Span = YEAR) -> DataFrame | None:
-    """Snapshot rows (with ``is_new``) for the calendar Mondays in ``[lo, hi]``.
+    """Snapshot rows (with ``is_new``) for the calendar Mondays in ``[lo, hi]``, and the
+    stored rows of later Mondays whose trailing span reaches back into that window.
 
-    New rows are added insert-if-absent to the stored snapshot; ``is_new`` of the
-    window's dates is then derived from all stored rows in their trailing span,
-    whatever order the Mondays are processed in.
+    New rows are added insert-if-absent to the stored snapshot; ``is_new`` is then
+    derived from all stored rows in the trailing span of each date. As the later
+    Mondays are flagged anew as well, the flags do not depend on the order in which
+    windows are run.
     """
     mondays = calendar_mondays(wh.table(CALENDAR), lo, hi)
     if mondays.empty:
@@ -30,15 +32,17 @@ def snapshot_window(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim:
     facts = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, span)
     new = active_snapshot(facts, conversion_dim, team_dim, source_dim, mondays, span)
     stored = wh.read(ACTIVE)
+    # up to the last date whose trailing span still holds the window's last Monday
+    reached = shift_back(F.col("c_date"), span) <= F.lit(mondays.last)
     if stored is None:
         rows = new
     else:
         history = stored.select(*SNAPSHOT_KEY)
         earliest = shift_back(F.lit(mondays.first), span)
-        history = history.where(F.col("c_date").between(earliest, F.lit(mondays.last)))
+        history = history.where((F.col("c_date") >= earliest) & reached)
         rows = history.unionByName(insert_if_absent(history, new, SNAPSHOT_KEY))
     flagged = flag_new(rows, span)
-    return flagged.where(F.col("c_date").between(F.lit(mondays.first), F.lit(mondays.last)))
+    return flagged.where(F.col("c_date") >= F.lit(mondays.first))
 
 
 def run(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim: DataFrame, source_dim: DataFrame,

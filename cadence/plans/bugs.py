@@ -13,21 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.text import concat_strict, literal_contains, regex_contains
-from cadence.functions.timefn import QUARTER, Span, date_key, offset_column
+from cadence.functions.text import concat_strict, literal_contains
+from cadence.functions.timefn import QUARTER, Span, between_ts, date_key, offset_column
 from cadence.operators.conform import DimJoin, conform
 from cadence.operators.hop import Mondays, calendar_mondays
-from cadence.operators.windows import apply_marks, first_event_flag, first_event_marks, threshold_rollup
+from cadence.operators.keys import join_keys, semi_join_keys
+from cadence.operators.windows import first_event_flag, threshold_rollup
 from cadence.plans import names as N
 from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
                                   update_calendar, update_contributors, utc_of_raw)
 from cadence.plans.conversions import Team, attach_keys, convert, key_by_threshold
+from cadence.session import materialised
 from cadence.sources.readers import Sources, any_in_window, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
 
 RAW = "bug_facts_raw"
 ATTACHMENT = "bug_attachment"
 FACTS = "bug_facts"
+FIRST_COMMENT = "bug_first_comment"
 RAW_KEY = ["contributor_email", "local_datetime", "fields", "bug_id", "added_values", "removed_values",
            "attachment_id", "status", "product", "component"]
 FACTS_KEY = ["utc_datetime", "fields", "canonical", "added_values", "removed_values", "attachment_key", "bug_id",
@@ -147,17 +150,34 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, status
 
 
 def renumber_comments(wh: Warehouse, lo, hi) -> None:
-    """Store ``comment_num = 0`` for the first comments of bugs commented on in
-    ``[lo, hi]``, rewriting only the partitions where a flag actually changes."""
+    """Store ``comment_num = 0`` at the first comment of the bugs commented on in
+    ``[lo, hi]`` and clear it where an older comment, loaded later, took its place.
+
+    ``FIRST_COMMENT`` holds the first time of each bug as seen so far (the least of its
+    rows), so only the window's partitions are read for comments, and of the facts only
+    the dates of a bug's first comment, old and new; partitions where no flag changes
+    are not rewritten. A conversion that was stored for the earlier first comment stays,
+    as stored conversions are never withdrawn.
+    """
     facts = wh.table(FACTS)
-    marks = first_event_marks(facts.select("bug_id", "fields", "utc_datetime"), "bug_id", "utc_datetime",
-                              F.col("fields") == N.FIELD_COMMENT, lo, hi)
-    hit = facts.where(F.col("comment_num").isNull()).join(
-        marks.withColumnRenamed("_first_ts", "utc_datetime"), ["bug_id", "utc_datetime"], "left_semi")
-    changed = hit.select("utc_date_key").distinct()
-    rows = facts.join(changed, "utc_date_key", "left_semi")
-    wh.overwrite_partitions(FACTS, apply_marks(rows, marks, "bug_id", "utc_datetime", "comment_num")
-                            .select(*facts.columns), ["utc_date_key"])
+    comment = F.col("fields") == N.FIELD_COMMENT
+    seen = in_partitions(facts, lo, hi).where(comment & between_ts("utc_datetime", lo, hi))
+    seen = seen.groupBy("bug_id").agg(F.min("utc_datetime").alias("_seen"))
+    stored = wh.read(FIRST_COMMENT)
+    if stored is None:  # facts that were stored without it
+        stored = facts.where(comment).select("bug_id", F.col("utc_datetime").alias("first_ts"))
+    stored = stored.groupBy("bug_id").agg(F.min("first_ts").alias("_old"))
+    marks = join_keys(seen, stored, ["bug_id"], "left").select("bug_id", "_old", F.least("_seen", "_old").alias("_first"))
+    with materialised(marks) as marks:
+        dates = marks.select(F.explode(F.array("_old", "_first")).alias("t")).where(F.col("t").isNotNull()) \
+            .select(date_key(F.to_date("t")).alias("utc_date_key")).distinct()
+        rows = join_keys(semi_join_keys(facts, dates, ["utc_date_key"]), marks, ["bug_id"], "left")
+        right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
+        rows = rows.withColumn("_right", right)
+        changed = rows.where(~F.col("_right").eqNullSafe(F.col("comment_num"))).select("utc_date_key").distinct()
+        rows = semi_join_keys(rows, changed, ["utc_date_key"]).withColumn("comment_num", F.col("_right"))
+        wh.overwrite_partitions(FACTS, rows.select(*facts.columns), ["utc_date_key"])
+        wh.insert_new(FIRST_COMMENT, marks.select("bug_id", F.col("_first").alias("first_ts")), ["bug_id", "first_ts"])
 
 
 def number_comments(facts: DataFrame, lo, hi) -> DataFrame:
@@ -185,9 +205,9 @@ def conversion_rules(names: N.Names = N.Names()) -> dict:
         N.SUBMITTING_PATCH: patch,
         # the flag value is matched literally: "review-" or "review?" do not count
         N.PATCH_APPROVED: (fields == N.FIELD_FLAGS) & literal_contains("added_values", N.REVIEW_GRANTED) & patch,
-        N.CHANGE_PRODUCT: regex_contains(fields, "product"),
-        N.CHANGE_COMPONENT: regex_contains(fields, "component"),
-        N.CHANGE_STATUS: regex_contains(fields, "bug_status"),
+        N.CHANGE_PRODUCT: literal_contains(fields, "product"),
+        N.CHANGE_COMPONENT: literal_contains(fields, "component"),
+        N.CHANGE_STATUS: literal_contains(fields, "bug_status"),
         N.COMMENT_ONE: fields == N.FIELD_COMMENT,
     }
 
@@ -199,10 +219,13 @@ def conversions(facts: DataFrame, product: DataFrame, attachment: DataFrame, con
     Patch conversions take the team named like the bug's product (0 when none);
     the others store team 0.
     """
-    f = (windowed(facts, "utc_datetime", lo, hi)
-         .join(product.select("product_key", "product_name"), "product_key", "left")
-         # attachment_key is the attachment table's key, so this join does not fan out
-         .join(attachment.select("attachment_key", "ispatch"), "attachment_key", "left"))
+    f = windowed(facts, "utc_datetime", lo, hi).join(product.select("product_key", "product_name"), "product_key", "left")
+    # attachment_key is the attachment table's key, so this join does not fan out; most facts have
+    # none and stay out of it, as they would all be dealt to one task
+    has = F.col("attachment_key").isNotNull()
+    patches = attachment.select("attachment_key", "ispatch")
+    f = f.where(has).join(patches, "attachment_key", "left").unionByName(
+        f.where(~has).withColumn("ispatch", F.lit(None).cast(patches.schema["ispatch"].dataType)))
     rows = convert(f, conversion_rules(names))
     patch_rules = F.col("conversion_desc").isin(N.SUBMITTING_PATCH, N.PATCH_APPROVED)
     rows = rows.withColumn("_team_name", F.when(patch_rules, F.col("product_name")))
@@ -242,9 +265,10 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         names: N.Names = N.Names(), tz: str | None = None, offset=None,
         triage_thresholds_list: Sequence[int] = (10, 25, 50, 100)) -> None:
     """The bug topic for window ``[lo, hi]``; every step is idempotent."""
-    wh.upsert("bug_product", product_dim(src), ["product_key"])
-    wh.upsert("bug_component", component_dim(src), ["component_key"])
-    wh.upsert("bug_status", status_dim(src), ["status_key"])
+    # a member keeps the name under which it was first copied
+    wh.insert_new("bug_product", product_dim(src), ["product_key"])
+    wh.insert_new("bug_component", component_dim(src), ["component_key"])
+    wh.insert_new("bug_status", status_dim(src), ["status_key"])
     wh.insert_new(ATTACHMENT, extract_attachments(src, lo, hi, tz, offset), ["attachment_key"])
     wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
     raw = raw_in_window(wh.table(RAW), lo, hi)

@@ -108,14 +108,27 @@ def q_extract_log_join(spark, d):
 
 
 @register("extract_comment_log", """
-SELECT 'user' || c.conv_id || '@example.org' AS contributor_email, c.conv_id AS bug_id, c.turn,
-       'comment' AS fields, c.role AS status, length(c.text) AS n_chars
-FROM conversations c WHERE c.role = 'user'""")
+SELECT cu.c_name AS contributor_email, c.conv_id AS bug_id, c.turn, 'comment' AS fields, o.o_orderstatus AS status,
+       r.r_name AS product, n.n_name AS component, length(c.text) AS n_chars
+FROM conversations c JOIN orders o ON c.conv_id = o.o_orderkey
+JOIN customer cu ON o.o_custkey = cu.c_custkey
+JOIN nation n ON cu.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def q_extract_comment_log(spark, d):
-    cv = table(spark, d, "conversations").where(F.col("role") == "user")
-    return cv.select(user_email("conv_id").alias("contributor_email"), F.col("conv_id").alias("bug_id"),
-                     "turn", F.lit("comment").alias("fields"), F.col("role").alias("status"),
-                     F.length("text").cast("long").alias("n_chars"))
+    cv = table(spark, d, "conversations")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = broadcast_bounded(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"),
+                          known_rows=NATION_ROWS)
+    r = broadcast_bounded(table(spark, d, "region").select("r_regionkey", "r_name"), known_rows=REGION_ROWS)
+    j = (cv.join(o, F.col("conv_id") == F.col("o_orderkey"))
+         .join(c, F.col("o_custkey") == F.col("c_custkey"))
+         .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    return j.select(F.col("c_name").alias("contributor_email"), F.col("conv_id").alias("bug_id"), "turn",
+                    F.lit("comment").alias("fields"), F.col("o_orderstatus").alias("status"),
+                    F.col("r_name").alias("product"), F.col("n_name").alias("component"),
+                    F.length("text").cast("long").alias("n_chars"))
 
 
 @register("extract_account_rows", """
@@ -350,8 +363,8 @@ def q_conform_left_default(spark, d):
     region = table(spark, d, "region").select((F.col("r_regionkey") + 1).alias("region_key"), "r_name")
     return conform(raw, utc, [
         DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner"),
-        DimJoin(nation, {"nation_name": "n_name"}, {"nation_key": "nation_key"}, default={"nation_key": 0}, small=True),
-        DimJoin(region, {"region_name": "r_name"}, {"region_key": "region_key"}, small=True),
+        DimJoin(nation, {"nation_name": "n_name"}, {"nation_key": "nation_key"}, default={"nation_key": 0}),
+        DimJoin(region, {"region_name": "r_name"}, {"region_key": "region_key"}),
     ], calendar=cal, select=["contributor_key", "utc_datetime", "utc_date_key", "nation_key", "region_key",
                              "fields", "canonical"])
 
@@ -401,8 +414,8 @@ def q_conform_inner_dims(spark, d):
     region = table(spark, d, "region").select(F.col("r_regionkey").alias("topic_key"), "r_name")
     out = conform(raw, to_utc("ts", tz="America/New_York"), [
         DimJoin(cust, {"user_id": "contributor_key"}, {"contributor_key": "contributor_key"}, how="inner"),
-        DimJoin(nation, {"product_name": "n_name"}, {"product_key": "product_key"}, how="inner", small=True),
-        DimJoin(region, {"topic_name": "r_name"}, {"topic_key": "topic_key"}, how="inner", small=True),
+        DimJoin(nation, {"product_name": "n_name"}, {"product_key": "product_key"}, how="inner"),
+        DimJoin(region, {"topic_name": "r_name"}, {"topic_key": "topic_key"}, how="inner"),
     ])
     return out.select(F.lit(1).alias("cnt"), "contributor_key", "utc_datetime", "product_key", "topic_key",
                       "action", "canonical")

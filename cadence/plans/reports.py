@@ -134,7 +134,7 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         names: N.Names = N.Names(), tz: str | None = None, offset=None, four_in_4w: bool = True) -> None:
     wh.insert_new(RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY,
                   existing_filter=local_window(lo, hi))
-    wh.upsert("reports_campaign", campaign_dim(src), ["campaign_key"])
+    wh.insert_new("reports_campaign", campaign_dim(src), ["campaign_key"])
     raw = raw_in_window(wh.table(RAW), lo, hi)
     wh.insert_new("reports_activity", activity_members(raw, None), ["activity_name"])
     wh.insert_new("reports_location", location_members(raw, None),

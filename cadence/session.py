@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this library is written against. They are defaults only:
 # a cluster that already sets a key keeps its own value.
@@ -15,8 +17,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Partial (map-side) top-k for ``row_number() <= k`` filters up to this k.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
@@ -28,27 +28,29 @@ def get_spark(app: str = "cadence", master: str | None = None,
     """Return the active session or build one with :data:`DEFAULT_CONF`.
 
     ``master`` is only applied when given (tests pass ``local[*]``); on a cluster
-    the launcher decides.
+    the launcher decides. Defaults never replace a value that the launcher or the
+    active session's application has set; ``extra`` is set always.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    active = SparkSession.getActiveSession()
+    given = dict((active.sparkContext.getConf() if active else SparkConf()).getAll())
+    conf = {k: v for k, v in DEFAULT_CONF.items() if k not in given}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a fresh
-    scratch folder is created and registered.
+    Read from the session. Where nothing is configured a scratch folder is made in
+    local mode only (tests); on a cluster that folder would be another one on each
+    machine, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,20 +58,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="cadence-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master {sc.master})")
+        configured = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df):
+def _cut_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read
     it back.
 
     One job writes it (task failures are retried; no executor-local state), and the
     returned frame scans columnar files with statistics and filter pushdown, which a
-    ``Dataset.checkpoint`` (an RDD computed twice unless cached) would not give.
+    ``Dataset.checkpoint`` (an RDD computed twice unless cached) would not give. The
+    table stays until :func:`drop_cut_tables`, as frames may read it any time later;
+    where the end of its use is known, take :func:`materialised`.
     """
+    return _write_cut(df)[0]
+
+
+def _write_cut(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{_cut_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextlib.contextmanager
+def materialised(df: DataFrame) -> Iterator[DataFrame]:
+    """:func:`cut_lineage` for the length of a ``with`` block; the table is deleted after it."""
+    out, path = _write_cut(df)
+    try:
+        yield out
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def drop_cut_tables(spark: SparkSession) -> None:
+    """Delete every table this application has cut. Frames that read one are void then."""
+    _delete(spark, _cut_root(spark))

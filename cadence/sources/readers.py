@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +16,15 @@ from cadence.functions.timefn import between_ts
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A table stored as ``<root>/<name>`` (Parquet directory or file)."""
+    """A table stored as ``<root>/<name>``, or as ``<root>/<name>.parquet``. Only Spark
+    looks at the path, so any file system that it knows will do."""
     path = f"{root.rstrip('/')}/{name}"
-    if fmt == "parquet" and not name.endswith(".parquet"):
-        import os
-        if os.path.exists(path + ".parquet"):
-            path += ".parquet"
-    return spark.read.format(fmt).load(path)
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if fmt != "parquet" or name.endswith(".parquet") or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path + ".parquet")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
@@ -36,23 +39,30 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower)).option("upperBound", str(upper))
-                  .option("numPartitions", str(num_partitions or 8)))
+                  .option("numPartitions", str(num_partitions or spark.sparkContext.defaultParallelism)))
     return reader.load()
 
 
 class Sources:
-    """Named source tables of one system, resolved lazily from a root folder or a
-    dict of DataFrames (tests)."""
+    """Named source tables of one system, resolved lazily: from a dict of DataFrames,
+    else from a root folder, or over JDBC, where ``jdbc`` holds what :func:`read_jdbc`
+    takes for all tables and ``jdbc_partitions`` what it takes for single ones (unrun
+    here, as there is no database server)."""
 
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 frames: dict[str, DataFrame] | None = None, fmt: str = "parquet"):
+                 frames: dict[str, DataFrame] | None = None, fmt: str = "parquet",
+                 jdbc: dict | None = None, jdbc_partitions: dict[str, dict] | None = None):
         self.spark, self.root, self.frames, self.fmt = spark, root, dict(frames or {}), fmt
+        self.jdbc, self.jdbc_partitions = jdbc, jdbc_partitions or {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:
-            if self.root is None:
+            if self.jdbc is not None:
+                self.frames[name] = read_jdbc(self.spark, table=name, **self.jdbc, **self.jdbc_partitions.get(name, {}))
+            elif self.root is not None:
+                self.frames[name] = read_table(self.spark, self.root, name, self.fmt)
+            else:
                 raise KeyError(name)
-            self.frames[name] = read_table(self.spark, self.root, name, self.fmt)
         return self.frames[name]
 
 

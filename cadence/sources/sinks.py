@@ -4,38 +4,73 @@
   (first per key within the batch);
 * :meth:`Warehouse.upsert`: replace stored rows by key (last per key wins).
 
-Re-running a window is therefore idempotent. Upserts rewrite only the partitions
-the batch touches (dynamic partition overwrite); the new partition contents are
-first materialised in the reliable checkpoint folder, because a path cannot be
-overwritten while it is being read.
+Re-running a window is therefore idempotent. Every table has an entry (schema and
+folder) in the warehouse's ``_tables`` log. Tables are read with the stored schema: an
+empty first run leaves an empty table, and a partition column keeps its type. Upserts
+rewrite only the partitions the batch touches (dynamic partition overwrite, after the
+new contents are written to the checkpoint folder, as a path cannot be overwritten
+while it is being read). A table without partitions is written to a new folder, and
+the log switches to it; a failed write leaves the old one in place.
+
+Keys and partition values compare NULL-safely. The partition columns of a table must
+be functions of its key, for inserts and for upserts.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from cadence.operators.dedup import insert_if_absent, replace_by_key
-from cadence.session import cut_lineage
+from cadence.operators.keys import semi_join_keys
+from cadence.session import materialised
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _entry(self, name: str) -> dict | None:
+        """The table's newest log entry: ``{"version", "folder", "schema"}``."""
+        try:
+            rows = self.spark.read.schema("value string").text(f"{self.root}/_tables/{name}").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return max((json.loads(r["value"]) for r in rows), key=lambda x: x["version"], default=None)
+
+    def _log(self, name: str, version: int, folder: str, schema: T.StructType) -> None:
+        """A new entry; one small file, so that readers see all of it or nothing."""
+        line = json.dumps({"version": version, "folder": folder, "schema": schema.jsonValue()})
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/_tables/{name}")
+
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        entry = self._entry(name)
+        return f"{self.root}/{entry['folder'] if entry else name}"
 
-    def read(self, name: str) -> DataFrame | None:
+    def _parquet(self, path: str, schema: T.StructType | None) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.path(name))
+            return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(path)
         except AnalysisException as e:  # not written yet
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 
+    def read(self, name: str) -> DataFrame | None:
+        """The stored table (empty if only its entry exists), or a plain Parquet folder of that name."""
+        entry = self._entry(name)
+        if entry is None:
+            return self._parquet(f"{self.root}/{name}", None)
+        schema = T.StructType.fromJson(entry["schema"])
+        df = self._parquet(f"{self.root}/{entry['folder']}", schema)
+        return self.spark.createDataFrame([], schema) if df is None else df.select(*schema.names)
+
     def table(self, name: str, fallback: DataFrame | None = None) -> DataFrame:
         df = self.read(name)
         if df is None:
@@ -45,72 +80,62 @@ class Warehouse:
         return df
 
     def _write(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str] | None) -> None:
-        w = df.write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        entry = self._entry(name)
+        if entry is None:
+            self._log(name, 0, name, df.schema)
+        path = f"{self.root}/{entry['folder'] if entry else name}"
+        if not partition_by:
+            df.write.mode(mode).parquet(path)
+            return
+        # rows of a partition come together first (large ones are split): one task writes few files
+        df = df.hint("rebalance", *partition_by)
+        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
     def insert_new(self, name: str, incoming: DataFrame, key: Sequence[str], order: Sequence = (),
-                   partition_by: Sequence[str] | None = None, existing_filter: Column | None = None) -> DataFrame:
-        """Append the rows of ``incoming`` whose key is absent; returns those rows.
+                   partition_by: Sequence[str] | None = None, existing_filter: Column | None = None) -> None:
+        """Append the rows of ``incoming`` whose key is absent.
 
         Only stored rows that could share a key are compared: those passing
         ``existing_filter`` (e.g. the load window, when the key holds the time) and,
-        for a partitioned table, those in the partitions the batch touches (the
-        partition column must be a function of the key).
+        for a partitioned table, those in the partitions the batch touches. The batch
+        is written once and read for both, rather than evaluated twice.
 
         Appending next to the files being read is safe: the stored file list is
         fixed when the table is read, and stored files are never rewritten here, so
         a lost task recomputes from the same inputs.
         """
         existing = self.read(name)
-        if existing is not None:
-            incoming = incoming.select(*existing.columns)
-            existing = self._candidates(existing, incoming, partition_by, existing_filter)
-        fresh = insert_if_absent(existing, incoming, key, order)
-        self._write(fresh, name, "append", partition_by)
-        return fresh
-
-    @staticmethod
-    def _candidates(existing: DataFrame, incoming: DataFrame, partition_by, existing_filter) -> DataFrame:
+        if existing is None:
+            self._write(insert_if_absent(None, incoming, key, order), name, "append", partition_by)
+            return
         if existing_filter is not None:
             existing = existing.where(existing_filter)
-        if partition_by:
-            touched = incoming.select(*partition_by).distinct()
-            existing = existing.join(touched, list(partition_by), "left_semi")
-        return existing
+        incoming = incoming.select(*existing.columns)
+        if not partition_by:
+            self._write(insert_if_absent(existing, incoming, key, order), name, "append", None)
+            return
+        with materialised(incoming) as batch:
+            existing = semi_join_keys(existing, batch.select(*partition_by).distinct(), partition_by)
+            self._write(insert_if_absent(existing, batch, key, order), name, "append", partition_by)
 
     def upsert(self, name: str, incoming: DataFrame, key: Sequence[str], order: Sequence = (),
-               partition_by: Sequence[str] | None = None) -> DataFrame:
+               partition_by: Sequence[str] | None = None) -> None:
         """Replace by key; rewrites only the partitions present in ``incoming``."""
         existing = self.read(name)
-        if existing is None:
-            out = cut_lineage(replace_by_key(None, incoming, key, order))
-            self._write(out, name, "overwrite", partition_by)
-            return out
-        incoming = incoming.select(*existing.columns)
-        if partition_by:
-            touched = incoming.select(*partition_by).distinct()
-            existing = existing.join(touched, list(partition_by), "left_semi")
-        out = cut_lineage(replace_by_key(existing, incoming, key, order))
-        if partition_by:
-            prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            try:
-                self._write(out, name, "overwrite", partition_by)
-            finally:
-                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        else:
-            self._write(out, name, "overwrite", None)
-        return out
+        if existing is not None:
+            incoming = incoming.select(*existing.columns)
+        if not partition_by:
+            entry, folder = self._entry(name), f"{name}/v-{uuid.uuid4().hex}"
+            out = replace_by_key(existing, incoming, key, order)
+            out.write.parquet(f"{self.root}/{folder}")
+            self._log(name, entry["version"] + 1 if entry else 0, folder, out.schema)
+            return
+        with materialised(incoming) as batch:
+            if existing is not None:
+                existing = semi_join_keys(existing, batch.select(*partition_by).distinct(), partition_by)
+            self.overwrite_partitions(name, replace_by_key(existing, batch, key, order), partition_by)
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
         """Replace exactly the partitions present in ``df`` (after materialising it)."""
-        df = cut_lineage(df)
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            self._write(df, name, "overwrite", partition_by)
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
+        with materialised(df) as out:
+            self._write(out, name, "overwrite", partition_by)

@@ -2,8 +2,8 @@
 appended insert-if-absent to a warehouse table, one micro-batch at a time.
 
 Replaying a micro-batch after a failure adds nothing (the sink dedups by key),
-so together with the stream checkpoint the load is exactly-once. The stream
-checkpoint lives under the cluster's shared ``spark.checkpoint.dir``.
+so together with the stream checkpoint the load is exactly-once. The caller names
+the folder of that checkpoint, as it must be the same one after a restart.
 """
 
 from __future__ import annotations
@@ -14,13 +14,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cadence.session import ensure_checkpoint_dir
 from cadence.sources.sinks import Warehouse
 
 
 def load_stream(spark: SparkSession, landing: str, schema: StructType, wh: Warehouse, table: str,
                 key: Sequence[str], order: Sequence = (), partition_by: Sequence[str] | None = None,
-                fmt: str = "parquet", available_now: bool = True, checkpoint: str | None = None,
+                fmt: str = "parquet", available_now: bool = True, *, checkpoint: str,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the load; with ``available_now`` it processes what has landed and stops."""
     reader = spark.readStream.format(fmt).schema(schema)
@@ -31,7 +30,6 @@ def load_stream(spark: SparkSession, landing: str, schema: StructType, wh: Wareh
     def write_batch(batch, _epoch_id):
         wh.insert_new(table, batch, key, order, partition_by)
 
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{table}"
-    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

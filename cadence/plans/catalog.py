@@ -82,4 +82,4 @@ def q_active_is_new(spark, d):
 
 
 # query groups register themselves on import
-from cadence.plans import catalog_loads, catalog_conversions, catalog_jobs  # noqa: E402,F401
+from cadence.plans import catalog_loads, catalog_conversions, catalog_jobs, catalog_runs  # noqa: E402,F401

@@ -15,9 +15,9 @@ where every class is compared with the bucket's hub - the member with most compa
 over all its buckets - and not with everyone. Candidates are verified by the exact
 Jaccard similarity of their shingle sets; a hub's text is dealt in salted copies, so a
 hub of very many members is no hot key. After the components of these links, members
-of one bucket that still are in different components are compared pair by pair,
-except with the hub they already met: so no candidate pair between different groups
-stays unchecked.
+of one hub that still are in different components are compared where the hub's set
+does not rule it out (see ``_unmet``), so no candidate pair between different groups
+stays unchecked, and a large group of copies does not make all its pairs.
 
 Null and empty texts and texts without words have no shingles: each row is a class of
 its own, and kept. A text of one to four words has one shingle, all its words.
@@ -122,36 +122,96 @@ def _sign(bands: int, rows: int, size: int):
     return run
 
 
-def _verify(size: int, least: float):
+def _sets(batch: pa.RecordBatch, size: int, last: list):
+    """Row by row the shingle sets of hub and member; rows of one hub come together."""
+    for hub, ht, mt in zip(batch.column("hub").to_pylist(), batch.column("hub_text").to_pylist(), batch.column("text").to_pylist()):
+        if not last or last[0] != hub:
+            last[:] = [hub, wordhash.shingles(wordhash.words([ht])[0], size)]
+        yield last[1], wordhash.shingles(wordhash.words([mt])[0], size)
+
+
+def _overlap(size: int):
+    def run(batches):
+        last: list = []
+        for b in batches:
+            n = [(len(np.intersect1d(h, m, assume_unique=True)), len(h), len(m)) for h, m in _sets(b, size, last)]
+            c = np.asarray(n, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([b.column("hub"), b.column("member"), *[pa.array(c[:, i]) for i in range(3)]],
+                                             ["hub", "member", "shared", "hub_n", "n"])
+    return run
+
+
+def _novel(size: int, least: float):
+    """The member's shingles that its hub lacks, as many of the least as the prefix principle asks for."""
     def run(batches):
-        last, sets = None, {}
+        last: list = []
         for b in batches:
-            ok = []
-            for hub, ht, mt in zip(b.column("hub").to_pylist(), b.column("hub_text").to_pylist(), b.column("text").to_pylist()):
-                if hub != last:
-                    last, sets = hub, wordhash.shingles(wordhash.words([ht])[0], size)
-                x = wordhash.shingles(wordhash.words([mt])[0], size)
-                both = len(np.intersect1d(sets, x, assume_unique=True))
-                ok.append(both >= least * (len(sets) + len(x) - both) - 1e-12)
-            m = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("hub").filter(m), b.column("member").filter(m)], ["a", "b"])
+            at, out = [], []
+            for i, (h, m) in enumerate(_sets(b, size, last)):
+                new = np.setdiff1d(m, h, assume_unique=True)
+                must = max(1, int(np.ceil(least * len(m) - (len(m) - len(new)) - 1e-9)))
+                new = new[:max(0, len(new) - must + 1)]
+                at.append(np.full(len(new), i))
+                out.append(new)
+            at = pa.array(np.concatenate(at) if at else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("hub").take(at), b.column("member").take(at),
+                                              pa.array((np.concatenate(out) if out else np.zeros(0, U)).view(np.int64))], ["hub", "member", "shingle"])
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs ``(hub, member)`` whose texts are similar, as ``(a, b)``; written."""
-    pairs = stored(pairs.distinct())
-    salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("salts"))
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(hub, member, hub_text, text)`` for stored distinct pairs, a hub's text in salted copies."""
+    salts = stored(pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("salts")))
     hubs = salts.join(texts.withColumnsRenamed({"key": "hub", "text": "hub_text"}), "hub").select(
-        "hub", "salts", "hub_text", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    dealt = pairs.join(stored(salts), "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("salts")).cast("int").alias("salt"))
-    whole = dealt.join(texts.withColumnRenamed("key", "member"), "member").join(hubs.drop("salts"), ["hub", "salt"])
-    return stored(map_arrow(whole.select("hub", "member", "hub_text", "text"), _verify(size, least), "a binary, b binary"))
+        "hub", "hub_text", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt = pairs.join(salts, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("salts")).cast("int").alias("salt"))
+    whole = dealt.join(texts.withColumnRenamed("key", "member"), "member").join(hubs, ["hub", "salt"])
+    return whole.select("hub", "member", "hub_text", "text")
+
 
+def _measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Sizes and overlap of the distinct pairs' shingle sets; written."""
+    both = _with_texts(stored(pairs.distinct()), texts)
+    return stored(map_arrow(both, _overlap(size), "hub binary, member binary, shared bigint, hub_n bigint, n bigint"))
 
-def _near(n: str, m: str, least: float):
-    """Whether set sizes allow the similarity."""
-    return F.least(n, m) >= F.lit(least) * F.greatest(n, m)
+
+def _similar(measured: DataFrame, least: float) -> DataFrame:
+    union = F.col("hub_n") + F.col("n") - F.col("shared")
+    return measured.where(F.col("shared") >= F.lit(least) * union - 1e-9).select(F.col("hub").alias("a"), F.col("member").alias("b"))
+
+
+def _unmet(measured: DataFrame, group: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame | None:
+    """Pairs of one hub's members in different components that may still be similar.
+
+    With H the hub's set, two members share at most ``min(|u & H|, |v & H|)`` shingles of
+    H. Either that is enough by itself, which takes a v smaller than H if u is not similar
+    to H; or they share shingles that H lacks, and then, of these, one of the first by the
+    prefix principle. So copies that each differ from the hub in their own way make no pairs."""
+    own = measured.groupBy("hub").agg(F.first("hub_n").alias("n")).select("hub", F.col("hub").alias("member"), F.col("n").alias("shared"), "n")
+    every = measured.select("hub", "member", "shared", "n").unionByName(own)
+    every = every.join(group, F.col("member") == F.col("node"), "left").select("hub", "member", "shared", "n", F.coalesce("root", "member").alias("root"))
+    split = every.groupBy("hub").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("hub")
+    every = stored(every.join(stored(split), "hub"))
+    if every.isEmpty():
+        return None
+    others = every.where("hub != member")
+    novel = map_arrow(_with_texts(stored(others.select("hub", "member")), texts), _novel(size, least), "hub binary, member binary, shingle bigint")
+    novel = stored(novel.join(others.select("hub", "member", "n", "root"), ["hub", "member"]))
+    at = novel.groupBy("hub", "shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("hub", "shingle")
+    novel = stored(novel.join(stored(at), ["hub", "shingle"]))
+    ratio = F.least("a.n", "b.n") >= F.lit(least) * F.greatest("a.n", "b.n")
+    pairs = novel.alias("a").join(novel.alias("b"), ["hub", "shingle"]).where(F.col("a.root") < F.col("b.root")).where(ratio).select(
+        F.col("a.member").alias("hub"), F.col("b.member").alias("member"))
+    # what members of H alone can do: v has at most ``most`` shingles
+    most = F.floor(F.col("shared") * (1 + least) / least - F.col("n") + 1e-9)
+    u = others.withColumn("most", most).where(F.col("most") >= F.lit(least) * F.col("n"))
+    reach = u.groupBy("hub").agg(F.max("most").alias("reach"))
+    v = others.join(stored(reach), "hub").where(F.col("n") <= F.col("reach"))
+    core = u.alias("a").join(v.alias("b"), "hub").where(
+        (F.col("a.root") != F.col("b.root")) & (F.col("b.n") <= F.col("a.most")) & ratio
+        & (F.col("b.shared") * (1 + least) + 1e-9 >= F.lit(least) * (F.col("a.n") + F.col("b.n")))).select(
+        F.least("a.member", "b.member").alias("hub"), F.greatest("a.member", "b.member").alias("member"))
+    return pairs.unionByName(core)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -163,36 +223,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = base.schema["doc_id"].dataType.simpleString()
     signed = stored(map_arrow(base, _sign(bands, rows, shingle), f"doc_id {id_type}, digest string, key binary, n bigint, bands array<bigint>"))
     has = signed.where("n > 0")
-    classes = stored(has.groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"),
+    classes = stored(has.groupBy("key").agg(F.first("bands").alias("bands"),
                                             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("r")).select(
-        "key", "n", "bands", F.col("r.doc_id").alias("rep_id"), F.col("r.digest").alias("rep_digest")))
-    each = classes.select("key", "n", F.explode("bands").alias("band"))
+        "key", "bands", F.col("r.doc_id").alias("rep_id"), F.col("r.digest").alias("rep_digest")))
+    each = classes.select("key", F.explode("bands").alias("band"))
     shared = each.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     met = stored(each.join(shared, "band"))
     central = met.groupBy("key").agg(F.sum("size").alias("company"))
-    met = stored(met.join(central, "key"))
-    hubs = met.groupBy("band").agg(F.max(F.struct("company", "key", "n")).alias("h")).select("band", F.col("h.key").alias("hub"), F.col("h.n").alias("hub_n"))
-    hubs = stored(hubs)
-    first = met.join(hubs, "band").where(F.col("key") != F.col("hub")).where(_near("n", "hub_n", similarity)).select("hub", F.col("key").alias("member"))
+    met = met.join(central, "key")
+    hubs = stored(met.groupBy("band").agg(F.max(F.struct("company", "key")).alias("h")).select("band", F.col("h.key").alias("hub")))
+    first = met.join(hubs, "band").where(F.col("key") != F.col("hub")).select("hub", F.col("key").alias("member"))
     need = classes.join(met.select("key").distinct(), "key", "left_semi").select("key", F.col("rep_id").alias("doc_id"), F.col("rep_digest").alias("digest"))
     texts = base.join(need, base["doc_id"].eqNullSafe(need["doc_id"]) & (base["digest"] == need["digest"])).select("key", "text")
     texts = stored(texts.groupBy("key").agg(F.first("text").alias("text")))
-    links = _links(first, texts, shingle, similarity)
-    tried, found = first, links
-    group = stored(components(found))
-    # what one hub could not join: pairs of one bucket whose components differ
-    left = met.select("band", "key", "n").join(group, F.col("key") == F.col("node"), "left").select(
-        "band", "key", "n", F.coalesce("root", "key").alias("root"))
-    split = left.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
-    left = stored(left.join(split, "band"))
-    a, b = left.alias("a"), left.alias("b")
-    rest = a.join(b, "band").where("a.root < b.root").where(_near("a.n", "b.n", similarity)).select(
-        F.col("a.key").alias("hub"), F.col("b.key").alias("member"))
-    rest = rest.distinct().join(tried.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y")).distinct(),
-                                (F.least("hub", "member") == F.col("x")) & (F.greatest("hub", "member") == F.col("y")), "left_anti")
-    more = _links(rest, texts, shingle, similarity)
-    if not more.isEmpty():
-        group = stored(components(found.unionByName(more)))
+    measured = _measured(first, texts, shingle)
+    links = _similar(measured, similarity)
+    group = stored(components(links))
+    rest = _unmet(measured, group, texts, shingle, similarity)
+    if rest is not None:
+        more = stored(_similar(_measured(rest, texts, shingle), similarity))
+        if not more.isEmpty():
+            group = stored(components(links.unionByName(more)))
+    return _result(signed, has, classes, group)
+
+
+def _result(signed: DataFrame, has: DataFrame, classes: DataFrame, group: DataFrame) -> DataFrame:
     rooted = classes.join(group, F.col("key") == F.col("node"), "left").select("key", "rep_id", "rep_digest", F.coalesce("root", "key").alias("root"))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("rep_id").isNull(), "rep_id", "rep_digest")).alias("r"))
     named = stored(rooted.select("key", "root").join(best, "root").select("key", F.col("r.rep_id").alias("class_id"), F.col("r.rep_digest").alias("keep")))
@@ -204,10 +259,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are kept, one for each group, all columns as they are. Of
     rows equal in id and text one is kept, unless the text has no words."""
-    keep = near_duplicates(docs, id_col, text_col, **how).where("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
-    keep = stored(keep.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")))
-    marked = docs.withColumn("__text_digest", F.sha2(text_or_empty(text_col), 256))
-    kept = marked.join(keep, marked[id_col].eqNullSafe(keep["__id"]) & (marked["__text_digest"] == keep["__digest"]))
-    has_words = F.lower(text_or_empty(text_col)).rlike(r"[a-z0-9\x{80}-\x{10ffff}]")
-    words, none = kept.where(has_words), kept.where(~has_words)
-    return words.dropDuplicates(["__id", "__digest"]).unionByName(none).select(*docs.columns)
+    def row_key(id_, digest):
+        return F.concat_ws("|", F.coalesce(id_.cast("string"), F.lit("")), id_.isNull().cast("string"), digest)
+
+    kept = near_duplicates(docs, id_col, text_col, **how).where("kept")
+    kept = stored(kept.select(row_key(F.col("doc_id"), F.col("digest")).alias("__row")).distinct())
+    text = text_or_empty(text_col)
+    has_words = F.lower(text).rlike(r"[a-z0-9\x{80}-\x{10ffff}]")
+    marked = docs.withColumns({"__row": row_key(F.col(id_col), F.sha2(text, 256)),
+                               "__own": F.when(~has_words, F.monotonically_increasing_id())})
+    return marked.join(kept, "__row").dropDuplicates(["__row", "__own"]).select(*docs.columns)

@@ -51,11 +51,14 @@ def test_near_duplicate_groups(spark):
     docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
     extra, r = [], random.Random(1)
     base = words(200, 77).split()
-    for k in range(150):  # all near the base, hardly any near each other
+    for k in range(150):  # most near the base, hardly any near each other
         w = list(base)
-        for _ in range(3):
+        for _ in range(r.choice([3, 3, 6, 9])):
             w[r.randrange(200)] = f"w{r.random()}"
         extra.append(" ".join(w))
+        if k % 10 == 0:  # near that one, not near the base
+            w[r.randrange(200)] = "twin"
+            extra.append(" ".join(w))
     texts = dict(zip(docs.doc_id.tolist(), docs.text)) | {10_000 + k: t for k, t in enumerate([*extra, " ".join(base)])}
     sets = {i: frozenset(wordhash.shingles(wordhash.words([t])[0], 5).tolist()) for i, t in texts.items()}
     by, links = collections.defaultdict(list), set()

@@ -122,8 +122,14 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
     if distinct_of:
         # one row per (group, value, bucket); after the hop one row per (group, Monday, value)
         bk = bkeys + [distinct_of]
-        buckets = base.groupBy(*bk).agg(F.max(ts).alias("_max"), F.min(ts).alias("_min"))
-        hop = hop_explode(buckets, "_max", mondays, span)
+        buckets = base.where(F.col(distinct_of).isNotNull()).groupBy(*bk).agg(F.max(ts).alias("_max"), F.min(ts).alias("_min"))
+        if method == "auto" and not (span.months and span.days):
+            # only buckets of groups that reach the least threshold somewhere are exploded, to such Mondays only
+            reached = _reached_by_distinct(buckets, group, distinct_of, mondays, span, th[0])
+            buckets = semi_join_keys(buckets, reached.select(*group).distinct(), group)
+            hop = semi_join_keys(hop_explode(buckets, "_max", mondays, span), reached, group + [AS_OF])
+        else:
+            hop = hop_explode(buckets, "_max", mondays, span)
         per_value = hop.groupBy(*group, AS_OF, distinct_of).agg(F.min("_min").alias("_first"),
                                                                 F.max("_max").alias("_last"))
         agg = [F.count(F.lit(1)).alias("cnt"), F.max("_last").alias("utc_datetime")]
@@ -259,6 +265,17 @@ def trailing_distinct(facts: DataFrame, keys: Sequence[str] | str, ts: str, mond
     base = facts.where(relevant_rows(F.col(ts), mondays, span))
     buckets = (base.select(*keys, F.col(ts), *day_bucket_cols(ts))
                .groupBy(*keys, "_bucket_day", "_bucket_midnight").agg(F.max(ts).alias("_rep")))
+    islands = _islands(buckets, keys, mondays, span)
+    out = islands.select(*keys, F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
+    if mondays.df is not None:
+        listed = broadcast_bounded(mondays.df, known_rows=mondays.max_rows)
+        out = out.join(listed, AS_OF, "left_semi")
+    return out
+
+
+def _islands(buckets: DataFrame, keys: list[str], mondays: Mondays, span: Span) -> DataFrame:
+    """Runs of Mondays (``_from``, ``_to``) in which ``keys`` are seen, overlapping ones merged,
+    from one row per (keys, day bucket) with a time ``_rep`` of the bucket."""
     lo, hi = F.lit(mondays.first), F.lit(mondays.last)
     runs = (buckets
             .select(*keys, F.greatest(first_monday_at_or_after(F.col("_rep")), lo).alias("_from"),
@@ -268,12 +285,23 @@ def trailing_distinct(facts: DataFrame, keys: Sequence[str] | str, ts: str, mond
     reach = F.max("_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(reach.isNull() | (F.col("_from") > reach), 1).otherwise(0)
     runs = runs.withColumn("_island", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    islands = runs.groupBy(*keys, "_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
-    out = islands.select(*keys, F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
-    if mondays.df is not None:
-        listed = broadcast_bounded(mondays.df, known_rows=mondays.max_rows)
-        out = out.join(listed, AS_OF, "left_semi")
-    return out
+    return runs.groupBy(*keys, "_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+
+
+def _reached_by_distinct(buckets: DataFrame, group: list[str], value: str, mondays: Mondays, span: Span,
+                         min_count: int) -> DataFrame:
+    """(group, ``as_of``) where at least ``min_count`` distinct values count: +1 where a run of
+    Mondays of (group, value) begins and -1 after its end, summed in date order; only the
+    segments that reach the count are exploded."""
+    islands = _islands(buckets.select(*group, value, F.col("_max").alias("_rep")), [*group, value], mondays, span)
+    changes = islands.select(*group, F.explode(F.array(
+        F.struct(F.col("_from").alias("d"), F.lit(1).alias("delta")),
+        F.struct(F.date_add("_to", 7).alias("d"), F.lit(-1).alias("delta")))).alias("_c"))
+    points = changes.groupBy(*group, F.col("_c.d").alias("_d")).agg(F.sum("_c.delta").alias("_delta"))
+    w = Window.partitionBy(*group).orderBy("_d")
+    seg = points.select(*group, "_d", F.sum("_delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cnt"),
+                        F.lead("_d").over(w).alias("_next")).where((F.col("_cnt") >= min_count) & F.col("_next").isNotNull())
+    return seg.select(*group, F.explode(F.sequence("_d", F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))).alias(AS_OF))
 
 
 def _trailing_distinct_by_explode(facts: DataFrame, keys: list[str], ts: str, mondays: Mondays,

@@ -320,9 +320,9 @@ def _support_facts(spark, d):
     src = support_sources(spark, d)
     raw = support.raw_facts(src, JOB_LO, JOB_HI, SUPPORT_NAMES)
     contributor, product, topic = _support_dims(spark, src)
-    cal = calendar(raw.select(F.to_date(F.col("local_datetime") + F.col("tz_offset")).alias("utc_date_only")))
-    # stored once and read by the five conversion branches, as the job does with its table
-    return cut_lineage(support.conform_facts(raw, contributor, cal, product, topic)), cal
+    # stored once and read by the five conversion branches and for the calendar, as the job does with its tables
+    facts = cut_lineage(support.conform_facts(raw, contributor, None, product, topic))
+    return facts, calendar(facts.select(F.to_date("utc_datetime").alias("utc_date_only")))
 
 
 @register("support_job_facts", "WITH" + _SUPPORT_SOURCES_SQL + "," + _SUPPORT_FACTS_SQL + "\nSELECT * FROM sfacts")
@@ -379,8 +379,8 @@ def q_support_job_conversions(spark, d):
     dims = (conversion, source, team)
     account = support.account_conversion(facts, *dims, JOB_LO, JOB_HI, SUPPORT_NAMES, max_len=SUPPORT_CANON_LEN)
     # the single-edit rows as stored (deduplicated on the fact key) feed the yearly threshold
-    kb = pick_per_key(support.single_conversion(facts, *dims, JOB_LO, JOB_HI, N.SUPPORT_KB, N.EDIT_ONE_KB,
-                                                SUPPORT_NAMES), FACT_KEY)
+    kb = cut_lineage(pick_per_key(support.single_conversion(facts, *dims, JOB_LO, JOB_HI, N.SUPPORT_KB, N.EDIT_ONE_KB,
+                                                            SUPPORT_NAMES), FACT_KEY))
     l10n = support.single_conversion(facts, *dims, JOB_LO, JOB_HI, N.SUPPORT_L10N, N.L10N_ONE_KB, SUPPORT_NAMES)
     mondays = calendar_mondays(cal, JOB_LO, JOB_HI)
     answers = facts.where(F.col("action") == N.SUPPORT_FORUM_ANSWER)

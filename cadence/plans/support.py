@@ -109,7 +109,7 @@ def raw_facts(src: Sources, lo, hi, names: N.Names = N.Names(), tz=None, offset=
     return out.select(*RAW_COLS)
 
 
-def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, product: DataFrame,
+def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame | None, product: DataFrame,
                   topic: DataFrame) -> DataFrame:
     """``support_facts``: product and topic are inner joins by name, so a fact whose
     product or topic name is not a dim member is dropped."""

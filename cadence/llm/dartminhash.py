@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.llm import wordhash
@@ -142,20 +142,25 @@ def _overlap(size: int):
 
 
 def _novel(size: int, least: float):
-    """The member's shingles that its hub lacks, as many of the least as the prefix principle asks for."""
+    """The member's shingles that its hub lacks, their number, and how many of the rarest of
+    them the prefix principle asks for: whoever is similar has one of these."""
     def run(batches):
         last: list = []
         for b in batches:
-            at, out = [], []
+            at, out, many, asked = [], [], [], []
             for i, (h, m) in enumerate(_sets(b, size, last)):
                 new = np.setdiff1d(m, h, assume_unique=True)
                 must = max(1, int(np.ceil(least * len(m) - (len(m) - len(new)) - 1e-9)))
-                new = new[:max(0, len(new) - must + 1)]
-                at.append(np.full(len(new), i))
-                out.append(new)
-            at = pa.array(np.concatenate(at) if at else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("hub").take(at), b.column("member").take(at),
-                                              pa.array((np.concatenate(out) if out else np.zeros(0, U)).view(np.int64))], ["hub", "member", "shingle"])
+                if len(new) >= must:
+                    at.append(np.full(len(new), i))
+                    out.append(new)
+                    many.append(np.full(len(new), len(new)))
+                    asked.append(np.full(len(new), len(new) - must + 1))
+            c = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, many, asked)]
+            rows = pa.array(c[0])
+            yield pa.RecordBatch.from_arrays([b.column("hub").take(rows), b.column("member").take(rows),
+                                              pa.array((np.concatenate(out) if out else np.zeros(0, U)).view(np.int64)), pa.array(c[1]), pa.array(c[2])],
+                                             ["hub", "member", "shingle", "many", "asked"])
     return run
 
 
@@ -185,22 +190,34 @@ def _unmet(measured: DataFrame, group: DataFrame, texts: DataFrame, size: int, l
 
     With H the hub's set, two members share at most ``min(|u & H|, |v & H|)`` shingles of
     H. Either that is enough by itself, which takes a v smaller than H if u is not similar
-    to H; or they share shingles that H lacks, and then, of these, one of the first by the
-    prefix principle. So copies that each differ from the hub in their own way make no pairs."""
+    to H. Or they share shingles that H lacks, and then, by the prefix principle, one of the
+    rarest of these. What a copy has changed in its own way is rarest and meets nobody, so
+    copies that each differ from the hub by themselves make no pairs."""
     own = measured.groupBy("hub").agg(F.first("hub_n").alias("n")).select("hub", F.col("hub").alias("member"), F.col("n").alias("shared"), "n")
     every = measured.select("hub", "member", "shared", "n").unionByName(own)
     every = every.join(group, F.col("member") == F.col("node"), "left").select("hub", "member", "shared", "n", F.coalesce("root", "member").alias("root"))
-    split = every.groupBy("hub").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("hub")
+    split = every.groupBy("hub").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+    split = split.where("lo != hi and size > 2").select("hub")  # of two, both were compared
     every = stored(every.join(stored(split), "hub"))
     if every.isEmpty():
         return None
     others = every.where("hub != member")
-    novel = map_arrow(_with_texts(stored(others.select("hub", "member")), texts), _novel(size, least), "hub binary, member binary, shingle bigint")
-    novel = stored(novel.join(others.select("hub", "member", "n", "root"), ["hub", "member"]))
+    novel = stored(map_arrow(_with_texts(stored(others.select("hub", "member")), texts), _novel(size, least),
+                             "hub binary, member binary, shingle bigint, many bigint, asked bigint"))
+    often = novel.groupBy("hub", "shingle").agg(F.count("*").alias("often")).where("often > 1")
+    novel = novel.join(stored(often), ["hub", "shingle"])
+    # the member's shingles by rarity; those that nobody else has come first and are not in the table any more
+    own_first = Window.partitionBy("hub", "member")
+    rank = F.row_number().over(own_first.orderBy("often", "shingle")) + F.col("many") - F.count("*").over(own_first)
+    novel = novel.withColumn("rank", rank).where("rank <= asked").withColumn("after", F.col("many") - F.col("rank"))
+    novel = stored(novel.join(others.select("hub", "member", "shared", "n", "root"), ["hub", "member"]))
     at = novel.groupBy("hub", "shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("hub", "shingle")
     novel = stored(novel.join(stored(at), ["hub", "shingle"]))
     ratio = F.least("a.n", "b.n") >= F.lit(least) * F.greatest("a.n", "b.n")
-    pairs = novel.alias("a").join(novel.alias("b"), ["hub", "shingle"]).where(F.col("a.root") < F.col("b.root")).where(ratio).select(
+    # if this is the first shingle that both have and the hub lacks, so many can follow at most
+    most = F.least("a.shared", "b.shared") + 1 + F.least("a.after", "b.after")
+    enough = most * (1 + least) + 1e-9 >= F.lit(least) * (F.col("a.n") + F.col("b.n"))
+    pairs = novel.alias("a").join(novel.alias("b"), ["hub", "shingle"]).where(F.col("a.root") < F.col("b.root")).where(ratio & enough).select(
         F.col("a.member").alias("hub"), F.col("b.member").alias("member"))
     # what members of H alone can do: v has at most ``most`` shingles
     most = F.floor(F.col("shared") * (1 + least) / least - F.col("n") + 1e-9)
@@ -243,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if rest is not None:
         more = stored(_similar(_measured(rest, texts, shingle), similarity))
         if not more.isEmpty():
-            group = stored(components(links.unionByName(more)))
+            group = stored(components(group.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)))
     return _result(signed, has, classes, group)
 
 

@@ -1,12 +1,13 @@
 """Benchmark decontamination with spaced seeds.
 
-Fixed masks choose token positions and ignore the others between them. Every window
-of a benchmark item under every mask gives a seed hash; so does every window of every
+Masks choose token positions and ignore the others between them. Every window of a
+benchmark item under every mask gives a seed hash; so does every window of every
 document. Equal hashes are hits: an item, and a diagonal on which document and item
-are aligned. The hit is verified on the whole diagonal: the best aligned segment, with
-substitutions counted against it, must have ``min_tokens`` equal tokens (all of them,
-if the item has fewer) and the least identity. So a passage is found though single
-words were replaced.
+are aligned. The hit is verified on the whole diagonal: any aligned segment with
+``min_tokens`` equal tokens (all of them, if the item has fewer) and the least identity
+is an overlap; the one with the most equal tokens is reported. So a passage is found
+though single words were replaced. The masks follow from the two thresholds and miss
+no such segment (``seed_weight``).
 
 The benchmark is the stated query set: it is read in blocks of bounded size (by hash
 of the item), each broadcast and held against all documents. Items shorter than a
@@ -19,6 +20,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +31,38 @@ from cadence.llm import wordhash
 from cadence.llm.common import map_arrow, slices, text_or_empty
 from cadence.llm.wordhash import U, mix
 
-# Positions looked at (1) and ignored (0).
-MASKS = ("11101011", "1101001101", "110010110001", "1010110101")
-MIN_TOKENS, IDENTITY, MISMATCH = 13, 0.8, -2.0
+MIN_TOKENS, IDENTITY = 13, 0.8
+#: Positions a mask looks at, at most; lower thresholds need masks of fewer.
+MOST_WEIGHT = 8
 #: Characters of benchmark text in a broadcast block.
 BLOCK_CHARS = 8_000_000
 FILTER_BITS = 20
 SLICE_CHARS = 1 << 20
 
 
-def masks_for(lengths) -> dict[int, np.ndarray]:
-    """Mask number -> positions; numbers from 100 on are the windows of whole short items."""
-    span = max(map(len, MASKS))
-    out = {i: np.flatnonzero(np.asarray(list(m)) == "1") for i, m in enumerate(MASKS)}
-    return out | {100 + n: np.arange(n) for n in sorted({int(n) for n in lengths if 0 < n < span})}
+def seed_weight(min_tokens: int, identity: float) -> int:
+    """The most positions w that a mask may look at so that no overlap is missed.
+
+    An overlap with m replaced tokens has e >= max(min_tokens, m * identity / (1 - identity))
+    equal ones, in m + 1 runs. These make m // 2 + 1 pairs of neighbours (or single runs),
+    so two neighbouring runs hold w tokens if (w - 1) * (m // 2 + 1) < e. From some m on
+    that follows from the identity alone."""
+    least, t = max(1, min_tokens), Fraction(str(identity))
+    if t >= 1:
+        return min(MOST_WEIGHT, least)
+    odds = t / (1 - t)
+    for k in range(MOST_WEIGHT - 1, 0, -1):
+        if k < 2 * odds and all(k * (m // 2 + 1) < max(least, -(-m * odds // 1)) for m in range(int(k / (odds - Fraction(k, 2))) + 2)):
+            return k + 1
+    return 1
+
+
+def masks_for(lengths, min_tokens: int = MIN_TOKENS, identity: float = IDENTITY) -> dict[int, np.ndarray]:
+    """Mask number -> positions: w in a row, or w around one replaced token.
+    Numbers from 100 on are the windows of whole short items."""
+    w = seed_weight(min_tokens, identity)
+    out = {a: np.delete(np.arange(w + 1), a or w) for a in range(w)}
+    return out | {100 + n: np.arange(n) for n in sorted({int(n) for n in lengths if 0 < n <= w})}
 
 
 def seeds(hashes: np.ndarray, number: int, positions: np.ndarray) -> np.ndarray:
@@ -56,14 +76,28 @@ def seeds(hashes: np.ndarray, number: int, positions: np.ndarray) -> np.ndarray:
     return mix(h)
 
 
+def segment(eq: np.ndarray, identity: Fraction) -> tuple[int, int, int]:
+    """``(equal, aligned, start)`` of the segment with the most equal tokens among those of the least identity.
+
+    A segment has it if ``equal - identity * aligned`` summed up to its end is not below the sum
+    up to its start; for each end the earliest such start leaves out the fewest equal tokens."""
+    equal = np.concatenate([[0], np.cumsum(eq)])
+    run = identity.denominator * equal - identity.numerator * np.arange(len(equal))
+    start = np.searchsorted(-np.minimum.accumulate(run), -run)
+    end = int((equal - equal[start]).argmax())
+    at = np.flatnonzero(eq[start[end]:end]) + start[end]
+    return (len(at), int(at[-1] - at[0]) + 1, int(at[0])) if len(at) else (0, 0, 0)
+
+
 class Index:
     """Seeds of a block of items: sorted hashes with item and position, and a bitmap that rules most others out."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], min_tokens: int = MIN_TOKENS, identity: float = IDENTITY):
+        self.min_tokens, self.identity = min_tokens, Fraction(str(identity))
         self.ids = [i for i, _ in items]
         hashes, first = wordhash.words([t or "" for _, t in items])
         self.words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
-        self.masks = masks_for(map(len, self.words))
+        self.masks = masks_for(map(len, self.words), min_tokens, identity)
         self.table = {}
         for number, positions in self.masks.items():
             own = [(k, seeds(w, number, positions)) for k, w in enumerate(self.words)
@@ -91,25 +125,19 @@ class Index:
                 out.append(np.stack([item[to], p - at[to]], axis=1))
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
-    def overlaps(self, hashes: np.ndarray, lo: int, hi: int, diagonals: np.ndarray,
-                 min_tokens: int, identity: float) -> Iterator[tuple]:
+    def overlaps(self, hashes: np.ndarray, lo: int, hi: int, diagonals: np.ndarray) -> Iterator[tuple]:
         """Verified ``(item id, equal, aligned, start)`` in the document of words lo to hi, the best of each item."""
         best: dict = {}
         for k, d in diagonals.tolist():
             w = self.words[k]
             a, b = max(lo, d), min(hi, d + len(w))
-            eq = hashes[a:b] == w[a - d:b - d]
-            run = np.concatenate([[0.0], np.cumsum(np.where(eq, 1.0, MISMATCH))])
-            rise = run - np.minimum.accumulate(run)
-            end = int(rise.argmax())
-            start = int(run[:end + 1].argmin()) if end else 0
-            equal = int(eq[start:end].sum())
-            if equal >= min(min_tokens, len(w)) and equal >= identity * (end - start) and equal > best.get(k, (0,))[0]:
-                best[k] = (equal, end - start, a + start - lo)
+            found = segment(hashes[a:b] == w[a - d:b - d], self.identity)
+            if found[0] >= max(1, min(self.min_tokens, len(w))) and found[0] > best.get(k, (0,))[0]:
+                best[k] = (found[0], found[1], a + found[2] - lo)
         for k, x in sorted(best.items()):
             yield (k, *x)
 
-    def hits(self, texts: list[str], min_tokens: int, identity: float) -> Iterator[tuple]:
+    def hits(self, texts: list[str]) -> Iterator[tuple]:
         """``(text number, item number, equal, aligned, start)`` over many texts."""
         for t0, t1 in slices(texts, SLICE_CHARS):
             hashes, first = wordhash.words(texts[t0:t1])
@@ -122,11 +150,12 @@ class Index:
             z = np.searchsorted(first, np.minimum(d[:, 1] + length, len(hashes)) - 1, side="right") - 1
             for t in np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(a, z)])).tolist():
                 mine = d[(a <= t) & (z >= t)]
-                for found in self.overlaps(hashes, int(first[t]), int(first[t + 1]), mine, min_tokens, identity):
+                for found in self.overlaps(hashes, int(first[t]), int(first[t + 1]), mine):
                     yield (t0 + t, *found)
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, min_tokens: int = MIN_TOKENS, identity: float = IDENTITY,
+           block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
     """Indexes of the benchmark, block by block; one block is on the driver at a time."""
     items = benchmark.select(F.col(id_col).alias("item_id"), text_or_empty(text_col).alias("text"))
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
@@ -134,14 +163,14 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int =
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
         if part:
-            yield Index([(r["item_id"], r["text"]) for r in part])
+            yield Index([(r["item_id"], r["text"]) for r in part], min_tokens, identity)
 
 
-def _find(shared, min_tokens: int, identity: float, id_type: pa.DataType):
+def _find(shared, id_type: pa.DataType):
     def run(batches):
         index = shared.value
         for b in batches:
-            rows = list(index.hits(b.column("text").to_pylist(), min_tokens, identity))
+            rows = list(index.hits(b.column("text").to_pylist()))
             c = np.asarray(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(c[:, 0])), pa.array([index.ids[i] for i in c[:, 1]], id_type),
@@ -160,18 +189,18 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type, out = to_arrow_type(items.schema["item_id"].dataType), None
-    for index in blocks(benchmark, item_col, item_text_col, block_chars):
+    for index in blocks(benchmark, item_col, item_text_col, min_tokens, identity, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        one = map_arrow(rows, _find(shared, min_tokens, identity, id_type), sql)
+        one = map_arrow(rows, _find(shared, id_type), sql)
         out = one if out is None else out.unionByName(one)
     return docs.sparkSession.createDataFrame([], sql) if out is None else out
 
 
-def _clean(shared, column: int, min_tokens: int, identity: float):
+def _clean(shared, column: int):
     def run(batches):
         for b in batches:
             texts = [t or "" for t in b.column(column).to_pylist()]
-            bad = {h[0] for h in shared.value.hits(texts, min_tokens, identity)}
+            bad = {h[0] for h in shared.value.hits(texts)}
             yield b.filter(pa.array([i not in bad for i in range(b.num_rows)], pa.bool_()))
     return run
 
@@ -181,7 +210,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that overlap with an item; all columns as they are."""
     out = docs
-    for index in blocks(benchmark, item_col, item_text_col, block_chars):
+    for index in blocks(benchmark, item_col, item_text_col, min_tokens, identity, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        out = map_arrow(out, _clean(shared, docs.columns.index(text_col), min_tokens, identity), docs.schema)
+        out = map_arrow(out, _clean(shared, docs.columns.index(text_col)), docs.schema)
     return out

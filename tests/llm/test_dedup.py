@@ -181,3 +181,47 @@ def test_decontamination_tolerates_substitutions(spark):
         assert got == want
         left = {x["doc_id"] for x in decontam.decontaminate(df, bench, block_chars=block).collect()}
         assert left == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def qualifies(eq, need: int, identity: float) -> bool:
+    c = np.concatenate([[0], np.cumsum(eq)]).astype(int)
+    return any(c[z] - c[a] >= need and (c[z] - c[a]) * 1000 >= round(identity * 1000) * (z - a) for a in range(len(eq)) for z in range(a + 1, len(eq) + 1))
+
+
+def test_any_qualifying_segment_is_an_overlap():
+    # 13 verbatim words, then 30 of which 70% agree: no whole passage at 0.8, but its beginning is
+    item = [f"w{i}" for i in range(43)]
+    index = decontam.Index([(1, " ".join(item))])
+    text = " ".join("zz" if i >= 13 and i % 10 in (3, 6, 9) else x for i, x in enumerate(item))
+    assert [h[:2] for h in index.hits([text])] == [(0, 0)]
+    r = random.Random(4)
+    for n, share in ((14, 0.15), (16, 0.2), (20, 0.2), (25, 0.25), (60, 0.25), (100, 0.25), (13, 0.05), (8, 0.05)):
+        item = [f"w{i}" for i in range(n)]
+        index = decontam.Index([(1, " ".join(item))])
+        eqs = [np.asarray([r.random() >= share for _ in item]) for _ in range(150)]
+        got = {h[0] for h in index.hits([" ".join(x if e else "zz" for x, e in zip(item, eq)) for eq in eqs])}
+        assert got == {i for i, eq in enumerate(eqs) if qualifies(eq, min(13, n), 0.8)}
+
+
+@pytest.mark.parametrize("need, identity", [(13, 0.8), (8, 0.6), (5, 0.9), (13, 1.0), (10, 0.75), (3, 0.5)])
+def test_masks_miss_no_pattern(need, identity):
+    # the best score (equal * (1 - identity) - replaced * identity) of a pattern without a mask's window, by its last positions
+    masks = list(decontam.masks_for([], need, identity).values())
+    span = max(int(m[-1]) for m in masks) + 1
+    up, down = round(1000 * (1 - identity)), -round(1000 * identity)
+    best, todo = {(0, 0): 0}, [(0, 0)]
+    for _ in range(300):
+        new = {}
+        for last, n in todo:
+            for bit in (0, 1):
+                bits = (last << 1 | bit) & ((1 << span) - 1)
+                if any(all(bits >> (int(m[-1]) - int(p)) & 1 for p in m) for m in masks):
+                    continue
+                state, score = (bits & ((1 << (span - 1)) - 1), min(need, n + bit)), best[last, n] + (up if bit else down)
+                if score > best.get(state, -10**9):
+                    best[state] = new[state] = score
+        todo = list(new)
+        assert all(x < 0 for (_, n), x in best.items() if n == need)
+        if not todo:
+            break
+    assert not todo  # no better pattern is left: the proof is complete

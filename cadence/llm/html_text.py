@@ -9,6 +9,10 @@ where it dives back to zero; blocks whose best window is well below the page's b
 or that are mostly links, are left out. Where the page marks its article
 (``article`` or ``main``), only lines inside count and all blocks there are kept.
 
+End tags that HTML allows to leave out are implied: the body, or anything else that is
+not allowed in it, ends the head; a block ends an open paragraph; list items, options,
+terms, table rows and cells end their like. ``svg`` and ``math`` may be empty elements.
+
 Character references are decoded once; white space inside a line becomes one space;
 kept lines are joined by a line feed. Nulls, empty pages and pages without text give
 an empty string. Nothing is capped; time and memory are linear in the page. Repeated
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +51,23 @@ MARKS = frozenset("ad ads advert advertisement advertising adverts banner breadc
                   "toolbar widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 CONTENT = frozenset(("article", "main"))
+FOREIGN, HEAD = frozenset(("svg", "math")), frozenset(("head",))
+# End tags that may be left out: what a start tag ends, and the elements beyond which it does not reach.
+HEAD_PARTS = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
+CELLS = frozenset("table td th caption".split())
+ITEM_SCOPE = CELLS | frozenset("article aside blockquote button center details dialog dir dl fieldset figure footer form header main menu nav ol section select ul".split())
+PARAGRAPH = (frozenset(("p",)), CELLS | {"button"})
+IMPLIED = ({"li": (frozenset(("li",)), ITEM_SCOPE), "option": (frozenset(("option",)), frozenset(("select", "optgroup"))),
+            "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",))), "tr": (frozenset(("tr", "td", "th", "caption")), frozenset(("table",)))}
+           | {x: (frozenset(("dt", "dd")), ITEM_SCOPE) for x in ("dt", "dd")} | {x: (frozenset(("td", "th", "caption")), frozenset(("table",))) for x in ("td", "th")}
+           | {x: (frozenset("tbody thead tfoot tr td th caption".split()), frozenset(("table",))) for x in ("tbody", "thead", "tfoot")})
+ENDS_PARAGRAPH = BLOCKS - frozenset("html head body title legend caption tbody td tfoot th thead tr".split())
+#: Where the search for an end tag's element stops; for other names at a table's cells.
+END_SCOPE = ({"p": PARAGRAPH[1], "li": ITEM_SCOPE - {"li"}, "dt": ITEM_SCOPE, "dd": ITEM_SCOPE, "table": frozenset()}
+             | {x: frozenset(("table",)) for x in "tbody thead tfoot tr td th caption".split()})
+#: Start tags that end an svg or math element which is never closed.
+BREAKS_OUT = re.compile(r"<(?:article|aside|b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|footer|h[1-6]|head|header|hr|i|img|li|main|menu|nav|ol|p|"
+                        r"pre|ruby|s|section|small|span|strong|sub|sup|table|tt|u|ul|var)(?=[\s/>])", re.I)
 SPACE = re.compile(r"\s+")
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -70,6 +92,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     linked = 0
     links = inside = 0
     open_: list[tuple[str, bool]] = []  # open elements that matter: (name, drops its content)
+    n_open: Counter = Counter()
     dropping = 0
 
     def end_line() -> None:
@@ -81,11 +104,32 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             now.clear()
             linked = 0
 
+    def close(ends: frozenset, scope: frozenset, outermost: bool = True) -> None:
+        """Close the outermost (or innermost) open element named in ``ends``, and all in it."""
+        nonlocal dropping, inside
+        found = None
+        if any(n_open[x] for x in ends):
+            for i in range(len(open_) - 1, -1, -1):
+                if open_[i][0] in ends:
+                    found = i
+                    if not outermost:
+                        break
+                elif open_[i][0] in scope:
+                    break
+        while found is not None and len(open_) > found:
+            x, drops = open_.pop()
+            n_open[x] -= 1
+            dropping -= drops
+            if x in CONTENT and not drops and not dropping:
+                inside = max(0, inside - 1)
+
     at, n = 0, len(page)
     while at < n:
         m = TAG.search(page, at)
         if m is None or m.start() > at:
             text = page[at:m.start() if m else n]
+            if open_ and open_[-1][0] == "head" and text.strip():
+                close(HEAD, frozenset())
             if not dropping:
                 now.append(text)
                 linked += len(text.strip()) if links else 0
@@ -96,12 +140,21 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if not name:
             continue
         if not m.group(1):
+            if n_open["head"] and name not in HEAD_PARTS:
+                close(HEAD, frozenset())
+            if name in FOREIGN and m.group(3).endswith("/"):
+                continue
             if name in RAW:  # its content is no markup; it ends at its end tag
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = close.end() if close else n
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                out_of = BREAKS_OUT.search(page, at) if not end and name in FOREIGN else None
+                at = end.end() if end else out_of.start() if out_of else n
                 continue
             if name in BLOCKS and not dropping:
                 end_line()
+            if name in IMPLIED:
+                close(*IMPLIED[name])
+            if name in ENDS_PARAGRAPH:
+                close(*PARAGRAPH)
             elif name == "br" and not dropping:
                 now.append(" ")
             if name in VOID or m.group(3).endswith("/"):
@@ -112,21 +165,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                     end_line()
                     out.extend([("", 0, inside > 0)] * WINDOW)
                 dropping += 1
-            if drops or name in _MARKABLE or name in CONTENT:
+            if drops or name in TRACKED:
                 open_.append((name, drops))
+                n_open[name] += 1
             links += name == "a" and not dropping
             inside += name in CONTENT and not dropping
         else:
             if name in BLOCKS and not dropping:
                 end_line()
-            if any(name == x for x, _ in open_):
-                while open_:
-                    x, drops = open_.pop()
-                    dropping -= drops
-                    if x in CONTENT and not drops and not dropping:
-                        inside = max(0, inside - 1)
-                    if x == name:
-                        break
+            close(frozenset((name,)), END_SCOPE.get(name, CELLS), outermost=False)
             if name == "a" and not dropping:
                 links = max(0, links - 1)
     end_line()
@@ -135,6 +182,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 _MARKABLE = frozenset("div section ul ol aside article main header nav footer form table span p blockquote dl figure details "
                       "button select option label menu dialog head li".split())
+TRACKED = _MARKABLE | CONTENT | CELLS | frozenset("caption center dd dir dt fieldset optgroup tbody tfoot thead tr".split())
 
 
 def keep(lines: list[tuple[str, int, bool]]) -> np.ndarray:

@@ -33,6 +33,22 @@ def test_pages_without_an_article_element():
     assert html_text.main_text("<div " * 2000 + "x" + "</div>" * 5) in ("", "x")
 
 
+def test_end_tags_that_may_be_left_out():
+    text = "Running text of the article. "
+    for page, want in (
+            (f"<html><head><title>T</title><meta charset=utf-8><body><p>{text}</html>", text),
+            (f"<head><title>T</title><p>{text}", text), (f"<head><title>T</title>{text}", text),
+            (f"<body><article><p class=notice>Note<p>{text}<h2>More</h2></article>", f"{text}\nMore"),
+            (f"<div><p class=ad>Buy<div>{text}</div></div>", text),
+            (f"<ul><li class=ad>Buy<li>{text}<li>two</ul><p>end", f"{text}\ntwo\nend"),
+            (f"<dl><dt class=x>{text}<dd><span class=ad>Buy</span><dd>{text}</dl>", f"{text}\n{text}"),
+            (f"<table><tr><td><p class=ad>Buy<td>{text}<tr><td><div class=ad>Buy<tr><td>{text}</table>", f"{text}\n{text}"),
+            (f"<ul><li class=menu>m<ul><li>n</ul>o<li>{text}</ul>", text),
+            (f"<p>a <svg width=1 /> b<p>{text}<svg><path/></svg>", f"a b\n{text}"), (f"<p>a <math/>{text}", f"a {text}"),
+            (f"<div><svg><path d=1><p>{text}</div>", text)):
+        assert html_text.main_text(page) == "\n".join(x.strip() for x in want.split("\n")), page
+
+
 def test_nulls(spark):
     df = spark.createDataFrame([(None, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(0, "", 0), (1, "x", 1), (1, "x", 1)]

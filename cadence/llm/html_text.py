@@ -2,11 +2,12 @@
 
 Markup is stripped to lines, one per block element; what is never article text
 (scripts, styles, forms, navigation, page headers and footers, sidebars, adverts,
-notices, reader comments, by element, role or class) leaves empty lines in its place.
-Over the lines' text lengths, links counted apart, sums are taken in a sliding window
-of WINDOW lines. A block starts where the window sum surges (becomes positive) and ends
-where it dives back to zero; blocks whose best window is well below the page's best,
-or that are mostly links, are left out. Where the page marks its article
+notices, reader comments, by element, role or class) leaves empty lines in its place,
+unless the lines before and after stand in the element's own container: it does not
+split that one. Over the lines' text lengths, links counted apart, sums are taken in a
+sliding window of WINDOW lines. A block starts where the window sum surges (becomes
+positive) and ends where it dives back to zero; blocks that are mostly links are left
+out, whatever their length beside others. Where the page marks its article
 (``article`` or ``main``), only lines inside count and all blocks there are kept.
 
 End tags that HTML allows to leave out are implied: the body, or anything else that is
@@ -33,8 +34,6 @@ from pyspark.sql import functions as F
 from cadence.llm.common import map_arrow
 
 WINDOW = 3
-#: A block is kept if its best window has this share of the page's best one.
-LEAST_SHARE = 0.25
 #: A block is left out if links hold more than this share of its text.
 MOST_LINKS = 0.6
 
@@ -51,6 +50,7 @@ MARKS = frozenset("ad ads advert advertisement advertising adverts banner breadc
                   "toolbar widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 CONTENT = frozenset(("article", "main"))
+CONTAINERS = frozenset("article blockquote center details div fieldset figure main section td th".split())
 FOREIGN, HEAD = frozenset(("svg", "math")), frozenset(("head",))
 # End tags that may be left out: what a start tag ends, and the elements beyond which it does not reach.
 HEAD_PARTS = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
@@ -91,15 +91,22 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     now: list[str] = []
     linked = 0
     links = inside = 0
-    open_: list[tuple[str, bool]] = []  # open elements that matter: (name, drops its content)
+    open_: list[tuple[str, bool, int]] = []  # open elements that matter: (name, drops its content, number of its container)
+    n_containers = before = 0  # before: the container of the last line
+    gap: set[int] = set()  # the containers of what was dropped since
     n_open: Counter = Counter()
     dropping = 0
 
     def end_line() -> None:
-        nonlocal linked
+        nonlocal linked, before
         if now:
             text = SPACE.sub(" ", html.unescape("".join(now))).strip()
             if text:
+                here = open_[-1][2] if open_ else 0
+                if gap and gap != {before} or gap and before != here:
+                    out.extend([("", 0, inside > 0)] * WINDOW)
+                gap.clear()
+                before = here
                 out.append((text, linked, inside > 0))
             now.clear()
             linked = 0
@@ -117,7 +124,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 elif open_[i][0] in scope:
                     break
         while found is not None and len(open_) > found:
-            x, drops = open_.pop()
+            x, drops, _ = open_.pop()
             n_open[x] -= 1
             dropping -= drops
             if x in CONTENT and not drops and not dropping:
@@ -163,10 +170,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if drops:
                 if not dropping:
                     end_line()
-                    out.extend([("", 0, inside > 0)] * WINDOW)
+                    gap.add(open_[-1][2] if open_ else 0)
                 dropping += 1
             if drops or name in TRACKED:
-                open_.append((name, drops))
+                n_containers += name in CONTAINERS
+                open_.append((name, drops, n_containers if name in CONTAINERS else open_[-1][2] if open_ else 0))
                 n_open[name] += 1
             links += name == "a" and not dropping
             inside += name in CONTENT and not dropping
@@ -201,7 +209,7 @@ def keep(lines: list[tuple[str, int, bool]]) -> np.ndarray:
     out = np.zeros(len(size), bool)
     linked = np.fromiter((x for _, x, _ in lines), np.int64, len(lines))
     for a, b in zip(surge, dive):
-        if article or (window[a:b].max() >= LEAST_SHARE * window.max() and linked[a:b].sum() <= MOST_LINKS * size[a:b].sum()):
+        if article or linked[a:b].sum() <= MOST_LINKS * size[a:b].sum():
             out[a:b] = True
     return out & (size > 0)
 

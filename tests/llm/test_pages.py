@@ -49,6 +49,19 @@ def test_end_tags_that_may_be_left_out():
         assert html_text.main_text(page) == "\n".join(x.strip() for x in want.split("\n")), page
 
 
+def test_short_parts_beside_long_ones():
+    long_, short = "Running text of the article. " * 14, "A closing paragraph after an advert. " * 5
+    lines = [long_.strip()] * 3 + [short.strip(), "A heading", "one", "two"]
+    tail = f"<p>{short}<div class=ad>Buy</div><h2>A heading</h2><div class=ad>Buy</div><ul><li>one<li>two</ul>"
+    for page in (f"<body><div>{f'<p>{long_}' * 3}<div class=ad>Buy</div>{tail}</div></body>",
+                 f"<body>{f'<p>{long_}' * 3}<form>Mail</form>{tail}</body>",
+                 f"<body><div>{f'<p>{long_}' * 3}</div><aside>x</aside><div>{tail}</div></body>"):
+        assert html_text.main_text(page).split("\n") == lines
+    # a dropped element that stands between containers still parts them: the second is links only
+    assert html_text.main_text(f"<div><p>{long_}</div><div class=ad>Buy</div><div><a href='/1'>first link</a></div>") == long_.strip()
+    assert html_text.main_text(f"<div><p>{long_}<div><aside>x</aside></div></div><div><a href='/1'>first link</a></div>") == long_.strip()
+
+
 def test_nulls(spark):
     df = spark.createDataFrame([(None, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(0, "", 0), (1, "x", 1), (1, "x", 1)]

@@ -7,8 +7,10 @@ unless the lines before and after stand in the element's own container: it does
 split that one. Over the lines' text lengths, links counted apart, sums are taken in a
 sliding window of WINDOW lines. A block starts where the window sum surges (becomes
 positive) and ends where it dives back to zero; blocks that are mostly links are left
-out, whatever their length beside others. Where the page marks its article
-(``article`` or ``main``), only lines inside count and all blocks there are kept.
+out, whatever their length beside others. This runs on every page. The edges of
+``article`` and ``main`` part blocks, and text inside them weighs OUTSIDE times that
+outside: blocks outside are left out only where none of them has a window of a like
+weight, and blocks inside are kept, links or not, unless a window outside is denser.
 
 End tags that HTML allows to leave out are implied: the body, or anything else that is
 not allowed in it, ends the head; a block ends an open paragraph; list items, options,
@@ -36,6 +38,8 @@ from cadence.llm.common import map_arrow
 WINDOW = 3
 #: A block is left out if links hold more than this share of its text.
 MOST_LINKS = 0.6
+#: How many times text outside article and main is outweighed by text inside.
+OUTSIDE = 4
 
 # Elements by what they do to lines.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -93,20 +97,21 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     links = inside = 0
     open_: list[tuple[str, bool, int]] = []  # open elements that matter: (name, drops its content, number of its container)
     n_containers = before = 0  # before: the container of the last line
+    was_inside = False
     gap: set[int] = set()  # the containers of what was dropped since
     n_open: Counter = Counter()
     dropping = 0
 
     def end_line() -> None:
-        nonlocal linked, before
+        nonlocal linked, before, was_inside
         if now:
             text = SPACE.sub(" ", html.unescape("".join(now))).strip()
             if text:
                 here = open_[-1][2] if open_ else 0
-                if gap and gap != {before} or gap and before != here:
+                if (inside > 0) != was_inside or gap and (gap != {before} or before != here):
                     out.extend([("", 0, inside > 0)] * WINDOW)
                 gap.clear()
-                before = here
+                before, was_inside = here, inside > 0
                 out.append((text, linked, inside > 0))
             now.clear()
             linked = 0
@@ -196,20 +201,26 @@ TRACKED = _MARKABLE | CONTENT | CELLS | frozenset("caption center dd dir dt fiel
 def keep(lines: list[tuple[str, int, bool]]) -> np.ndarray:
     """Which lines lie between surge and dive of a kept block."""
     size = np.fromiter((len(t) for t, _, _ in lines), np.int64, len(lines))
-    marked_ = np.fromiter((x for _, _, x in lines), bool, len(lines))
-    article = bool((size[marked_] > 0).any())
-    if article:
-        size = np.where(marked_, size, 0)
-    if not len(size) or not size.any():
+    linked = np.fromiter((x for _, x, _ in lines), np.int64, len(lines))
+    inside = np.fromiter((x for _, _, x in lines), bool, len(lines))
+    if not size.any():
         return np.zeros(len(size), bool)
-    total = np.concatenate([[0], np.cumsum(size)])
-    window = total[np.minimum(np.arange(len(size)) + WINDOW, len(size))] - total[:-1]
+
+    def windows(x: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(x)])
+        return total[np.minimum(np.arange(len(x)) + WINDOW, len(x))] - total[:-1]
+
+    window, plain = windows(size), windows(np.maximum(size - linked, 0))
     surge = np.flatnonzero((window > 0) & np.concatenate([[True], window[:-1] == 0]))
     dive = np.flatnonzero((window > 0) & np.concatenate([window[1:] == 0, [True]])) + 1
+    # a block's lines with text are all inside or all outside: the edges of article and main part blocks
+    blocks = [(a, b, bool((inside[a:b] & (size[a:b] > 0)).any()), linked[a:b].sum() > MOST_LINKS * size[a:b].sum(), plain[a:b].max())
+              for a, b in zip(surge, dive)]
+    best_in = max((x for *_, within, _, x in blocks if within), default=0)
+    best_out = max((x for *_, within, links, x in blocks if not within and not links), default=0)
     out = np.zeros(len(size), bool)
-    linked = np.fromiter((x for _, x, _ in lines), np.int64, len(lines))
-    for a, b in zip(surge, dive):
-        if article or linked[a:b].sum() <= MOST_LINKS * size[a:b].sum():
+    for a, b, within, links, _ in blocks:
+        if (within and best_in >= best_out) or (not links and (within or OUTSIDE * best_out >= best_in)):
             out[a:b] = True
     return out & (size > 0)
 

@@ -62,6 +62,21 @@ def test_short_parts_beside_long_ones():
     assert html_text.main_text(f"<div><p>{long_}<div><aside>x</aside></div></div><div><a href='/1'>first link</a></div>") == long_.strip()
 
 
+def test_article_elements_weigh_but_do_not_decide():
+    text, teaser = "Running text of the page, in plain divisions. " * 10, "Teaser of another page. "
+    main = f"<div><p>{text}<p>{text}<div class=ad>Buy</div><p>Closing.</div>"
+    card = f"<article><h3><a href='/1'>A rather long title of another page</a></h3><p><a href='/1'>{teaser}</a></article>"
+    kept = "\n".join([text.strip()] * 2 + ["Closing."])
+    assert html_text.main_text(f"<body>{main}{card * 4}</body>") == html_text.main_text(f"<body>{card * 4}{main}</body>") == kept
+    plain = f"<article><p>{teaser}</article>"
+    assert kept in html_text.main_text(f"<body>{plain * 4}{main}</body>")
+    # where the article holds the text, what stands outside is left out, and its links stay
+    links = "<aside>x</aside><ul><li><a href='/1'>first source</a><li><a href='/2'>second source</a></ul>"
+    page = f"<body><div>Site of the day</div><article><p>{text}<p>{text}{links}</article><div>Made by us</div></body>"
+    assert html_text.main_text(page) == "\n".join([text.strip()] * 2 + ["first source", "second source"])
+    assert html_text.main_text(f"<body><main><p>{text}</main><div><p>{text}</div></body>") == "\n".join([text.strip()] * 2)
+
+
 def test_nulls(spark):
     df = spark.createDataFrame([(None, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.extract(df).collect()) == [(0, "", 0), (1, "x", 1), (1, "x", 1)]

@@ -1,7 +1,7 @@
 """Language identification by mixture inference.
 
 Model: per language the probabilities of hashed letter trigrams, learned from a
-bounded sample of the labelled rows. A document is a mixture of the languages: its
+bounded sample of each language's distinct texts. A document is a mixture of the languages: its
 trigrams are drawn from ``sum_k p_k P_k``. Expectation-maximisation estimates the
 proportions p; the languages it keeps are chosen by penalised likelihood (BIC over
 growing sets of the strongest languages, with the number of trigrams divided by
@@ -27,10 +27,8 @@ from cadence.llm.common import map_arrow, text_or_empty
 
 #: Trigram classes of the model.
 BUCKETS = 1 << 15
-#: Bound of the training sample: about so many documents for each language.
+#: Bound of the training sample: about so many distinct texts for each language, all if it has fewer.
 TRAIN_DOCS = 4000
-#: Languages with fewer labelled rows in all than this share of the labels are noise.
-MIN_SHARE = 0.0005
 PENALTY, EM_STEPS, EM_STOP, OVERLAP = 1.0, 40, 1e-4, 3
 UNKNOWN = "und"
 
@@ -70,19 +68,24 @@ def _counts(batches):
 def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities, from ``labelled`` (text, lang).
 
-    Of each language about ``train_docs`` documents are taken, by a hash of the text;
-    their whole texts count. To the driver go at most BUCKETS counts a language."""
-    labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
-    have = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(k for k, n in have.items() if n >= MIN_SHARE * sum(have.values()))
+    Every language that has a text with a letter is learned. Of each about ``train_docs``
+    distinct texts are taken (all, if it has fewer), by a hash of the text at a rate from
+    the number of distinct ones; their whole texts count once. To the driver go at most
+    BUCKETS counts a language."""
+    labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("digest"))
+    have = {r["lang"]: r["n"] for r in labelled.groupBy("lang", "digest").agg(F.lit(1).alias("x")).groupBy("lang").agg(F.count("x").alias("n")).collect()}
+    langs = sorted(have)
     if not langs:
         return [], np.zeros((0, BUCKETS))
-    unit = (F.xxhash64("text") % 1_000_000 + 1_000_000) % 1_000_000 / 1e6
-    keep = functools.reduce(Column.__or__, [(F.col("lang") == k) & (unit < train_docs / have[k]) for k in langs])
-    counted = map_arrow(labelled.where(keep), _counts, "lang string, bucket int, n bigint")
+    rates = labelled.sparkSession.createDataFrame([(k, min(1.0, train_docs / have[k])) for k in langs], "lang string, rate double")
+    unit = F.shiftrightunsigned("digest", 11) / float(1 << 53)
+    sample = labelled.join(F.broadcast(rates), "lang").where(unit < F.col("rate")).select("text", "lang").distinct()  # a row a language
+    counted = map_arrow(sample, _counts, "lang string, bucket int, n bigint")
+    at = {k: i for i, k in enumerate(langs)}
     m = np.zeros((len(langs), BUCKETS))
     for r in counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
-        m[langs.index(r["lang"]), r["bucket"]] = r["n"]
+        m[at[r["lang"]], r["bucket"]] = r["n"]
     langs, m = [k for k, x in zip(langs, m) if x.any()], m[m.any(axis=1)]
     base = m.sum(axis=0) + 0.5  # smoothing towards what all languages have together
     m += 50.0 * base / base.sum()

@@ -92,3 +92,20 @@ def test_a_single_owner_decides_not_its_number_of_documents(spark):
     # where repositories are bounded, the four copies of one text are one
     bounded = {r["doc_id"]: r["n_live"] for r in secret_scan.scan(df, max_repos=2).collect()}
     assert [bounded[i] for i in (0, 4, 10, 13)] == [0, 0, 1, 1]
+
+
+def test_rare_languages_and_copies_are_learned(spark):
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    one = {k: list(docs.text[docs.lang == k].unique()) for k in ("en", "fr", "de")}
+    many = spark.range(20_000).selectExpr("concat('some English words, number ', id) text", "'en' lang")
+    rows = [(x, "en") for x in one["en"][:50]] + [(x, "fr") for x in one["fr"][:4]] + [(x, "de") for x in one["de"][:2]]
+    few = spark.createDataFrame(rows, "text string, lang string")
+    copies = few.where("lang = 'de'").crossJoin(spark.range(2_000)).select("text", "lang")  # 2 texts in 4,002 rows
+    langs, log_p = langid.learn(many.unionByName(few).unionByName(copies).unionByName(
+        spark.createDataFrame([("123", "xx"), (None, "yy")], "text string, lang string")), train_docs=100)
+    assert langs == ["de", "en", "fr"]
+    for k in ("fr", "de"):
+        right = [langs[int(langid.infer(log_p, langid.trigrams(x)).argmax())] == k for x in one[k][10:40]]
+        assert np.mean(right) > 0.8, k
+    alone = langid.learn(few.where("lang = 'de'"), train_docs=100)[1]
+    assert np.allclose(alone, langid.learn(copies.where("lang = 'de'"), train_docs=100)[1])  # copies add nothing

@@ -20,13 +20,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="cadence-test-")
-
-
-def ts(s):
-    import datetime as dt
-    return dt.datetime.fromisoformat(s)
-
-
-def d(s):
-    import datetime as dt
-    return dt.date.fromisoformat(s)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cadence.plans import names as N
-from conftest import d, ts
+from dates import d, ts
 
 NAMES = N.Names()
 

@@ -2,7 +2,7 @@ import os
 
 from cadence import cli
 from cadence.sources.sinks import Warehouse
-from conftest import ts
+from dates import ts
 from source_rows import bug_sources, conversion_dim, source_dim, team_dim
 
 

@@ -5,7 +5,7 @@ from cadence.operators.dedup import insert_if_absent, replace_by_key
 from cadence.operators.joins import lookup_const, with_const_lookups
 from cadence.operators.rules import fan_out_rules
 from cadence.sources.sinks import Warehouse
-from conftest import ts
+from dates import ts
 
 
 def test_insert_if_absent_and_replace(spark):

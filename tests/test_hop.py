@@ -3,7 +3,7 @@ import random
 
 from cadence.functions.timefn import QUARTER, YEAR, Span
 from cadence.operators.hop import (calendar_mondays, every_monday, hop_explode, monday_bounds, monday_frame)
-from conftest import d, ts
+from dates import d, ts
 
 
 def brute(facts, mondays, span):

@@ -16,7 +16,7 @@ from cadence.operators.windows import threshold_rollup
 from cadence.plans import aggregate, bugs, reports
 from cadence.sources.readers import Sources, read_table
 from cadence.sources.sinks import Warehouse
-from conftest import d, ts
+from dates import d, ts
 
 LO, HI = "2014-06-01 00:00:00", "2014-06-02 00:00:00"
 

@@ -13,7 +13,7 @@ from cadence.operators.windows import threshold_rollup
 from cadence.plans import bugs
 from cadence.sources.readers import Sources
 from cadence.sources.sinks import Warehouse
-from conftest import ts
+from dates import ts
 from source_rows import bug_sources
 
 SF = "/root/testdata/sf0.001"

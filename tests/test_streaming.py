@@ -2,7 +2,7 @@ import os
 
 from cadence.sources.sinks import Warehouse
 from cadence.streaming import load_stream
-from conftest import ts
+from dates import ts
 
 SCHEMA = "email string, local_datetime timestamp_ntz, fields string, bug_id long"
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cadence.functions.text import concat_strict, left_chars, literal_contains, regex_contains
 from cadence.functions.timefn import (between_ts, calendar_attributes, date_key, hours_offset, mysql_week,
                                       offset_column, to_utc, ymd_month_name)
-from conftest import d, ts
+from dates import d, ts
 
 
 def test_week_zero_and_first_sunday(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cadence.plans import aggregate, bugs, hosting, names as N, reports, support
 from cadence.sources.readers import Sources
 from cadence.sources.sinks import Warehouse
-from conftest import d, ts
+from dates import d, ts
 from source_rows import (NAMES, bug_sources, conversion_dim, hosting_sources, report_sources, source_dim,
                          support_sources, team_dim)
 

@@ -4,7 +4,7 @@ from cadence.functions.timefn import QUARTER, YEAR
 from cadence.operators.aggregates import group_ordered_list
 from cadence.operators.hop import every_monday
 from cadence.operators.windows import first_event_flag, first_time_flag, threshold_rollup, trailing_distinct
-from conftest import d, ts
+from dates import d, ts
 
 MON = "2014-06-30 00:00:00"
 

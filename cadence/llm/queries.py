@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import (dartminhash, decontam, embed_dedup, html_text, langid, packing,
-                         secret_scan, suffix_dedup, tokencount, warc_build)
+from cadence.llm import (dartminhash, decontam, embed_dedup, fim, html_text, langid, packing,
+                         secret_scan, suffix_dedup, tokencount, toxicity, warc_build, whitening)
 from cadence.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,18 @@ def op9_warc_derivatives(spark, sf_dir):
 @query
 def op10_pca_tiles(spark, sf_dir):
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_skip_list_fim(spark, sf_dir):
+    return fim.digests(fim.transform(read(spark, sf_dir, "documents")))
+
+
+@query
+def op12_jacobi_davidson(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_nonnegative_pu(spark, sf_dir):
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

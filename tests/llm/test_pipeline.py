@@ -11,7 +11,7 @@ from cadence.llm import queries
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "benchmark_decontamination", "secret_scan", "best_fit_packing"]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cadence.functions.timefn import YEAR, Span, shift_back
 from cadence.operators.hop import calendar_mondays
 from cadence.operators.dedup import insert_if_absent
-from cadence.plans.common import CALENDAR, CONTRIBUTOR_FACTS, in_partitions
+from cadence.plans.common import CALENDAR, CONTRIBUTOR_FACTS, stored_between
 from cadence.plans.snapshot import SNAPSHOT_KEY, active_snapshot, flag_new
 from cadence.sources.sinks import Warehouse
 
@@ -29,7 +29,7 @@ def snapshot_window(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim:
     mondays = calendar_mondays(wh.table(CALENDAR), lo, hi)
     if mondays.empty:
         return None
-    facts = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, span)
+    facts = stored_between(wh, CONTRIBUTOR_FACTS, mondays.first, mondays.last, span)
     new = active_snapshot(facts, conversion_dim, team_dim, source_dim, mondays, span)
     stored = wh.read(ACTIVE)
     # up to the last date whose trailing span still holds the window's last Monday

@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.text import concat_strict, literal_contains
-from cadence.functions.timefn import QUARTER, Span, between_ts, date_key, offset_column
+from cadence.functions.timefn import QUARTER, Span, date_key, offset_column
 from cadence.operators.conform import DimJoin, conform
 from cadence.operators.hop import Mondays, calendar_mondays
 from cadence.operators.keys import join_keys, semi_join_keys
 from cadence.operators.windows import first_event_flag, threshold_rollup
 from cadence.plans import names as N
-from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
-                                  update_calendar, update_contributors, utc_of_raw)
-from cadence.plans.conversions import Team, attach_keys, convert, key_by_threshold
+from cadence.plans.common import (CONTRIBUTOR_FACTS, insert_raw, key_range, load_keys, raw_in_window, store_conversions,
+                                  stored_between, update_calendar, update_contributors, utc_of_raw)
+from cadence.plans.conversions import FACT_KEY, Team, attach_keys, convert, key_by_threshold
 from cadence.session import materialised
 from cadence.sources.readers import Sources, any_in_window, copy_columns, windowed
 from cadence.sources.sinks import Warehouse
@@ -149,35 +149,61 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, status
                       F.lit(None).cast("int").alias("comment_num"))
 
 
-def renumber_comments(wh: Warehouse, lo, hi) -> None:
-    """Store ``comment_num = 0`` at the first comment of the bugs commented on in
-    ``[lo, hi]`` and clear it where an older comment, loaded later, took its place.
+def first_comments(wh: Warehouse, batch: DataFrame) -> DataFrame:
+    """First comment times of the bugs in ``batch`` (conformed facts): ``_old`` as stored before it
+    (NULL if none is), ``_first`` with the batch's own comments.
 
-    ``FIRST_COMMENT`` holds the first time of each bug as seen so far (the least of its
-    rows), so only the window's partitions are read for comments, and of the facts only
-    the dates of a bug's first comment, old and new; partitions where no flag changes
-    are not rewritten. A conversion that was stored for the earlier first comment stays,
-    as stored conversions are never withdrawn.
+    ``FIRST_COMMENT`` holds the first time of each bug as seen so far (the least of its rows), so
+    the history is not read again. What is compared is the batch, not a range of UTC times: a load
+    takes a window of local times, whose UTC times may lie outside it.
     """
-    facts = wh.table(FACTS)
-    comment = F.col("fields") == N.FIELD_COMMENT
-    seen = in_partitions(facts, lo, hi).where(comment & between_ts("utc_datetime", lo, hi))
-    seen = seen.groupBy("bug_id").agg(F.min("utc_datetime").alias("_seen"))
     stored = wh.read(FIRST_COMMENT)
     if stored is None:  # facts that were stored without it
-        stored = facts.where(comment).select("bug_id", F.col("utc_datetime").alias("first_ts"))
+        facts = wh.read(FACTS)
+        comments = (batch.limit(0) if facts is None else facts).where(F.col("fields") == N.FIELD_COMMENT)
+        stored = comments.select("bug_id", F.col("utc_datetime").alias("first_ts"))
     stored = stored.groupBy("bug_id").agg(F.min("first_ts").alias("_old"))
-    marks = join_keys(seen, stored, ["bug_id"], "left").select("bug_id", "_old", F.least("_seen", "_old").alias("_first"))
-    with materialised(marks) as marks:
-        dates = marks.select(F.explode(F.array("_old", "_first")).alias("t")).where(F.col("t").isNotNull()) \
-            .select(date_key(F.to_date("t")).alias("utc_date_key")).distinct()
-        rows = join_keys(semi_join_keys(facts, dates, ["utc_date_key"]), marks, ["bug_id"], "left")
-        right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
-        rows = rows.withColumn("_right", right)
-        changed = rows.where(~F.col("_right").eqNullSafe(F.col("comment_num"))).select("utc_date_key").distinct()
-        rows = semi_join_keys(rows, changed, ["utc_date_key"]).withColumn("comment_num", F.col("_right"))
-        wh.overwrite_partitions(FACTS, rows.select(*facts.columns), ["utc_date_key"])
-        wh.insert_new(FIRST_COMMENT, marks.select("bug_id", F.col("_first").alias("first_ts")), ["bug_id", "first_ts"])
+    seen = batch.groupBy("bug_id").agg(F.min(F.when(F.col("fields") == N.FIELD_COMMENT, F.col("utc_datetime"))).alias("_seen"))
+    return join_keys(seen, stored, ["bug_id"], "left").select("bug_id", "_old", F.least("_seen", "_old").alias("_first"))
+
+
+def with_first_comments(facts: DataFrame, marks: DataFrame) -> DataFrame:
+    """``facts`` with ``comment_num = 0`` at the first comment of the bugs that ``marks`` knows, and nowhere else of them."""
+    rows = join_keys(facts, marks.select("bug_id", "_first"), ["bug_id"], "left")
+    right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
+    return rows.withColumn("comment_num", right).select(*facts.columns)
+
+
+def moved_marks(marks: DataFrame) -> DataFrame:
+    """The marks that are new or have moved to an older comment."""
+    return marks.where(F.col("_first").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_first")))
+
+
+def restate_facts(wh: Warehouse, moved: DataFrame) -> None:
+    """Set and clear ``comment_num`` on stored facts where a mark moved. Only the dates of old and
+    new marks are read, and only those on which a flag changes are rewritten."""
+    dates = moved.select(F.explode(F.array("_old", "_first")).alias("t")).where(F.col("t").isNotNull()) \
+        .select(date_key(F.to_date("t")).alias("utc_date_key"))
+    bounds = dates.agg(F.min("utc_date_key"), F.max("utc_date_key")).first()
+    if bounds[0] is None:
+        return
+    facts = semi_join_keys(wh.table(FACTS, between=tuple(bounds)), dates.distinct(), ["utc_date_key"])
+    marks = moved.select("bug_id", "_first")
+    rows = join_keys(facts, marks, ["bug_id"], "left")
+    right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
+    changed = rows.where(~right.eqNullSafe(F.col("comment_num"))).select("utc_date_key").distinct()
+    with materialised(changed) as changed:
+        if not changed.isEmpty():
+            wh.overwrite_partitions(FACTS, with_first_comments(semi_join_keys(facts, changed, ["utc_date_key"]), marks), ["utc_date_key"])
+
+
+def withdrawn(moved: DataFrame, conversion_dim: DataFrame, names: N.Names = N.Names()) -> DataFrame:
+    """Keys of the conversions stored for first comments that are no longer the first ones."""
+    gone = moved.where(F.col("_old").isNotNull()).select(
+        concat_strict(names.bug_url, F.col("bug_id")).alias("canonical"), F.col("_old").alias("utc_datetime"),
+        date_key(F.to_date("_old")).alias("utc_date_key"),
+        F.explode(F.array(F.lit(names.file_featured_bug), F.lit(N.FILING_A_BUG))).alias("conversion_desc"))
+    return gone.join(conversion_dim.select("conversion_desc", "conversion_key"), "conversion_desc").drop("conversion_desc")
 
 
 def number_comments(facts: DataFrame, lo, hi) -> DataFrame:
@@ -213,13 +239,14 @@ def conversion_rules(names: N.Names = N.Names()) -> dict:
 
 
 def conversions(facts: DataFrame, product: DataFrame, attachment: DataFrame, conversion_dim: DataFrame,
-                source_dim: DataFrame, team_dim: DataFrame, lo, hi, names: N.Names = N.Names()) -> DataFrame:
-    """All single-action bug conversions of ``[lo, hi]`` (UTC) in one pass.
+                source_dim: DataFrame, team_dim: DataFrame, lo=None, hi=None, names: N.Names = N.Names()) -> DataFrame:
+    """All single-action bug conversions of ``facts`` (in ``[lo, hi]`` UTC, if given) in one pass.
 
     Patch conversions take the team named like the bug's product (0 when none);
     the others store team 0.
     """
-    f = windowed(facts, "utc_datetime", lo, hi).join(product.select("product_key", "product_name"), "product_key", "left")
+    f = facts if lo is None else windowed(facts, "utc_datetime", lo, hi)
+    f = f.join(product.select("product_key", "product_name"), "product_key", "left")
     # attachment_key is the attachment table's key, so this join does not fan out; most facts have
     # none and stay out of it, as they would all be dealt to one task
     has = F.col("attachment_key").isNotNull()
@@ -261,6 +288,31 @@ def triage_thresholds(contributor_facts: DataFrame, conversion_dim: DataFrame, m
 
 # ---------------------------------------------------------------- job
 
+def load_batch(wh: Warehouse, facts: DataFrame, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
+               lo, hi, names: N.Names = N.Names()) -> None:
+    """Store the facts of one load and the conversions that follow from it.
+
+    Conversions are those of the batch, whatever its UTC times, and of stored facts at a first
+    comment that the batch moved or made known. Where an older comment arrives, the "filing"
+    conversions of the former first comment are withdrawn and those of the older one stored,
+    by one write: in whichever order windows are loaded, the same conversions are stored.
+    The marks are stored last, so that a job lost on the way finds them as they were and does all of it again.
+    """
+    with materialised(facts) as batch, materialised(first_comments(wh, batch)) as marks:
+        flagged = with_first_comments(batch, marks)
+        wh.insert_new(FACTS, flagged, FACTS_KEY, partition_by=["utc_date_key"], within=load_keys(lo, hi))
+        with materialised(moved_marks(marks)) as moved:
+            restate_facts(wh, moved)
+            first = moved.select("bug_id", F.col("_first").alias("utc_datetime"))
+            bounds = first.agg(F.min("utc_datetime"), F.max("utc_datetime")).first()
+            if bounds[0] is not None:
+                flagged = flagged.unionByName(semi_join_keys(stored_between(wh, FACTS, *bounds), first, ["bug_id", "utc_datetime"]))
+            rows = conversions(flagged, wh.table("bug_product"), wh.table(ATTACHMENT), conversion_dim, source_dim, team_dim, names=names)
+            wh.exchange(CONTRIBUTOR_FACTS, rows, withdrawn(moved, conversion_dim, names), FACT_KEY,
+                        ["conversion_key", "canonical", "utc_datetime"], ["utc_date_key"], within=load_keys(lo, hi))
+            wh.insert_new(FIRST_COMMENT, moved.select("bug_id", F.col("_first").alias("first_ts")), ["bug_id", "first_ts"])
+
+
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
         names: N.Names = N.Names(), tz: str | None = None, offset=None,
         triage_thresholds_list: Sequence[int] = (10, 25, 50, 100)) -> None:
@@ -269,24 +321,22 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     wh.insert_new("bug_product", product_dim(src), ["product_key"])
     wh.insert_new("bug_component", component_dim(src), ["component_key"])
     wh.insert_new("bug_status", status_dim(src), ["status_key"])
-    wh.insert_new(ATTACHMENT, extract_attachments(src, lo, hi, tz, offset), ["attachment_key"])
-    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
-    raw = raw_in_window(wh.table(RAW), lo, hi)
+    wh.insert_new(ATTACHMENT, extract_attachments(src, lo, hi, tz, offset).withColumn("key_range", F.expr("attachment_key div 100000")),
+                  ["attachment_key"], partition_by=["key_range"])
+    raw = insert_raw(wh, RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, lo, hi)
     cal = update_calendar(wh, raw)
     contributor = update_contributors(wh, [
         raw.select(F.col("contributor_email").alias("email")),
         raw_in_window(wh.table(ATTACHMENT), lo, hi).select("email")])
     facts = conform_facts(raw, contributor, cal, wh.table("bug_status"), wh.table("bug_product"),
                           wh.table("bug_component"), names)
-    wh.insert_new(FACTS, facts, FACTS_KEY, partition_by=["utc_date_key"])
-    renumber_comments(wh, lo, hi)
-    store_conversions(wh, conversions(in_partitions(wh.table(FACTS), lo, hi), wh.table("bug_product"),
-                                      wh.table(ATTACHMENT), conversion_dim, source_dim, team_dim, lo, hi, names))
+    load_batch(wh, facts, conversion_dim, source_dim, team_dim, lo, hi, names)
     mondays = calendar_mondays(wh.table("utc_date_only"), lo, hi)
     if not mondays.empty:
-        cf = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, QUARTER)
-        store_conversions(wh, triage_thresholds(cf, conversion_dim, mondays, triage_thresholds_list, names))
+        cf = stored_between(wh, CONTRIBUTOR_FACTS, mondays.first, mondays.last, QUARTER)
+        store_conversions(wh, triage_thresholds(cf, conversion_dim, mondays, triage_thresholds_list, names),
+                          within=key_range(mondays.first, mondays.last, QUARTER))
 
 
 __all__ = ["extract_attachments", "extract_activity", "extract_comments", "extract_accounts", "raw_facts",
-           "conform_facts", "number_comments", "renumber_comments", "conversions", "triage_thresholds", "run"]
+           "conform_facts", "number_comments", "load_batch", "conversions", "triage_thresholds", "run"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import datetime as _dt
 
-from cadence.functions.timefn import Span, add_offset, between_ts, date_key_between
+from cadence.functions.timefn import Span, add_offset, between_ts, date_key, date_key_between
 from cadence.operators.dims import add_members, calendar
 from cadence.plans.conversions import FACT_KEY
 from cadence.sources.sinks import Warehouse
@@ -47,22 +47,47 @@ def update_calendar(wh: Warehouse, raw_window: DataFrame) -> DataFrame:
     return wh.table(CALENDAR)
 
 
-def store_conversions(wh: Warehouse, rows: DataFrame, replace: bool = False) -> DataFrame:
-    """Write ``contributor_facts`` rows: insert-if-absent, or replace by key."""
+def store_conversions(wh: Warehouse, rows: DataFrame, replace: bool = False, within: tuple | None = None) -> None:
+    """Write ``contributor_facts`` rows: insert-if-absent, or replace by key. ``within``: a range of
+    date keys that holds all rows, where the caller knows one."""
     if replace:
-        return wh.upsert(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"])
-    return wh.insert_new(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"])
+        wh.upsert(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"])
+    else:
+        wh.insert_new(CONTRIBUTOR_FACTS, rows, FACT_KEY, partition_by=["utc_date_key"], within=within)
+
+
+def key_range(lo, hi, span: Span | None = None, pad_days: int = 0) -> tuple[int, int]:
+    """The ``yyyyMMdd`` keys of the UTC dates in ``[lo - span, hi]``, widened by ``pad_days``."""
+    pad = pad_days + (span.max_days() if span is not None else 0)
+    ends = (_dt.datetime.fromisoformat(str(lo)) - _dt.timedelta(days=pad), _dt.datetime.fromisoformat(str(hi)) + _dt.timedelta(days=pad_days))
+    return tuple(t.year * 10000 + t.month * 100 + t.day for t in ends)
+
+
+def load_keys(lo, hi) -> tuple[int, int]:
+    """Date keys that a load of the local window ``[lo, hi]`` can give: an offset is less than a day."""
+    return key_range(lo, hi, pad_days=1)
+
+
+def stored_between(wh: Warehouse, name: str, lo, hi, span: Span | None = None) -> DataFrame:
+    """Stored rows of the UTC dates in ``[lo - span, hi]`` (a superset of the rows a time
+    predicate keeps); no other partition is listed."""
+    return in_partitions(wh.table(name, between=key_range(lo, hi, span)), lo, hi, span)
 
 
 def in_partitions(df: DataFrame, lo, hi, span: Span | None = None, col: str = "utc_date_key") -> DataFrame:
-    """Partition filter on the ``yyyyMMdd`` key for UTC times in ``[lo - span, hi]``
-    (a superset of the rows a time predicate keeps; prunes whole partitions)."""
+    """Filter on the ``yyyyMMdd`` key for UTC times in ``[lo - span, hi]``."""
     pad = span.max_days() if span is not None else 0
     lo_t = _dt.datetime.fromisoformat(str(lo)) - _dt.timedelta(days=pad)
     return df.where(date_key_between(col, lo_t, hi))
 
 
-def local_window(lo, hi):
-    """Predicate on stored raw rows for the load window (the local time is part of
-    every raw key, so only these rows can conflict with a re-extracted batch)."""
-    return between_ts("local_datetime", lo, hi)
+#: Raw tables are partitioned by the date of the local time, which is part of every raw key.
+LOCAL_DATE = "local_date_key"
+
+
+def insert_raw(wh: Warehouse, name: str, rows: DataFrame, key: Sequence[str], lo, hi) -> DataFrame:
+    """Store the extracted rows of the local window ``[lo, hi]`` that are new, and return all stored
+    rows of the window. Only the window's dates are listed and compared."""
+    rows = rows.withColumn(LOCAL_DATE, date_key(F.to_date("local_datetime")))
+    wh.insert_new(name, rows, key, partition_by=[LOCAL_DATE], within=key_range(lo, hi), existing_filter=between_ts("local_datetime", lo, hi))
+    return raw_in_window(wh.table(name, between=key_range(lo, hi)), lo, hi)

@@ -17,7 +17,7 @@ from cadence.operators.conform import DimJoin, conform
 from cadence.operators.dims import add_members, distinct_members, map_attribute
 from cadence.operators.joins import lookup_const
 from cadence.plans import names as N
-from cadence.plans.common import (in_partitions, local_window, raw_in_window, store_conversions, update_calendar,
+from cadence.plans.common import (insert_raw, load_keys, store_conversions, stored_between, update_calendar,
                                   update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, convert
 from cadence.sources.readers import Sources, windowed
@@ -97,8 +97,7 @@ def conversions(facts: DataFrame, repo: DataFrame, conversion_dim: DataFrame, so
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame,
         team_dim: DataFrame, repo_teams: DataFrame | None = None, names: N.Names = N.Names(),
         tz: str | None = None, offset=None) -> None:
-    wh.insert_new(RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
-    raw = raw_in_window(wh.table(RAW), lo, hi)
+    raw = insert_raw(wh, RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY, lo, hi)
     wh.insert_new("hosting_org", org_members(raw, None), ["github_org_name"])
     repos = repo_members(raw, None).withColumn("team_key", F.lit(None).cast("long"))
     wh.insert_new("hosting_repo", repos, ["github_repo_name"])
@@ -108,7 +107,7 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     contributor = update_contributors(wh, [raw.select("email")])
     cal = update_calendar(wh, raw)
     wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("hosting_org"), wh.table("hosting_repo")),
-                  FACTS_KEY, partition_by=["utc_date_key"])
-    store_conversions(wh, conversions(in_partitions(wh.table(FACTS), lo, hi), wh.table("hosting_repo"),
+                  FACTS_KEY, partition_by=["utc_date_key"], within=load_keys(lo, hi))
+    store_conversions(wh, conversions(stored_between(wh, FACTS, lo, hi), wh.table("hosting_repo"),
                                       conversion_dim, source_dim,
                                       lo, hi, names), replace=True)

@@ -20,7 +20,7 @@ from cadence.operators.dims import add_members, distinct_members
 from cadence.operators.joins import lookup_const
 from cadence.operators.windows import trailing_window
 from cadence.plans import names as N
-from cadence.plans.common import (in_partitions, local_window, raw_in_window, store_conversions, update_calendar,
+from cadence.plans.common import (insert_raw, load_keys, store_conversions, stored_between, update_calendar,
                                   update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS
 from cadence.sources.readers import Sources, copy_columns, windowed
@@ -132,10 +132,8 @@ def four_in_four_weeks(facts: DataFrame, conversion_dim: DataFrame, team_dim: Da
 
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
         names: N.Names = N.Names(), tz: str | None = None, offset=None, four_in_4w: bool = True) -> None:
-    wh.insert_new(RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY,
-                  existing_filter=local_window(lo, hi))
+    raw = insert_raw(wh, RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY, lo, hi)
     wh.insert_new("reports_campaign", campaign_dim(src), ["campaign_key"])
-    raw = raw_in_window(wh.table(RAW), lo, hi)
     wh.insert_new("reports_activity", activity_members(raw, None), ["activity_name"])
     wh.insert_new("reports_location", location_members(raw, None),
                   ["location_name", "longitude", "latitude"])
@@ -143,12 +141,10 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
     cal = update_calendar(wh, raw)
     facts = conform_facts(raw, contributor, cal, wh.table("reports_activity"), source_dim,
                           wh.table("reports_campaign"), wh.table("reports_location"))
-    wh.insert_new(FACTS, facts, FACTS_COLS, partition_by=["utc_date_key"])
-    stored = in_partitions(wh.table(FACTS), lo, hi, Span.weeks(8))
-    store_conversions(wh, trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 8, N.ONE_IN_8_WEEKS, names),
-                      replace=True)
-    store_conversions(wh, trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 4, N.ONE_IN_4_WEEKS, names),
-                      replace=True)
+    wh.insert_new(FACTS, facts, FACTS_COLS, partition_by=["utc_date_key"], within=load_keys(lo, hi))
+    stored = stored_between(wh, FACTS, lo, hi, Span.weeks(8))
+    rows = trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 8, N.ONE_IN_8_WEEKS, names).unionByName(
+        trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 4, N.ONE_IN_4_WEEKS, names))
     if four_in_4w:
-        store_conversions(wh, four_in_four_weeks(stored, conversion_dim, team_dim, lo, hi, names=names),
-                          replace=True)
+        rows = rows.unionByName(four_in_four_weeks(stored, conversion_dim, team_dim, lo, hi, names=names))
+    store_conversions(wh, rows, replace=True)

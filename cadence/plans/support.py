@@ -23,7 +23,7 @@ from cadence.operators.hop import Mondays, calendar_mondays
 from cadence.operators.joins import lookup_const, with_const_lookups
 from cadence.operators.windows import threshold_rollup
 from cadence.plans import names as N
-from cadence.plans.common import (CONTRIBUTOR_FACTS, in_partitions, local_window, raw_in_window, store_conversions,
+from cadence.plans.common import (CONTRIBUTOR_FACTS, insert_raw, key_range, load_keys, store_conversions, stored_between,
                                   update_calendar, update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, key_by_threshold
 from cadence.sources.readers import Sources, windowed
@@ -171,8 +171,7 @@ def yearly_threshold(rows: DataFrame, conversion_dim, source_dim, team_dim, mond
 
 def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_dim: DataFrame, team_dim: DataFrame,
         names: N.Names = N.Names(), tz=None, offset=None, account_action: str | None = None) -> None:
-    wh.insert_new(RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, existing_filter=local_window(lo, hi))
-    raw = raw_in_window(wh.table(RAW), lo, hi)
+    raw = insert_raw(wh, RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, lo, hi)
     contributor = update_contributors(wh, [raw.select("email")])
     wh.insert_new("support_product", add_members(None, distinct_members(
         raw, "extra_product", rename={"extra_product": "product_name"}), "product_name", "product_key"),
@@ -181,19 +180,18 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         raw, "extra_topic", rename={"extra_topic": "topic_name"}), "topic_name", "topic_key"), ["topic_name"])
     cal = update_calendar(wh, raw)
     wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("support_product"), wh.table("support_topic")),
-                  [c for c in FACTS_COLS if c != "cnt"], partition_by=["utc_date_key"])
-    facts = in_partitions(wh.table(FACTS), lo, hi)
-    store_conversions(wh, account_conversion(facts, conversion_dim, source_dim, team_dim, lo, hi, names,
-                                             account_action), replace=True)
-    store_conversions(wh, single_conversion(facts, conversion_dim, source_dim, team_dim, lo, hi, N.SUPPORT_KB,
-                                            N.EDIT_ONE_KB, names))
-    store_conversions(wh, single_conversion(facts, conversion_dim, source_dim, team_dim, lo, hi, N.SUPPORT_L10N,
-                                            N.L10N_ONE_KB, names))
+                  [c for c in FACTS_COLS if c != "cnt"], partition_by=["utc_date_key"], within=load_keys(lo, hi))
+    facts = stored_between(wh, FACTS, lo, hi)
+    dims = conversion_dim, source_dim, team_dim
+    store_conversions(wh, account_conversion(facts, *dims, lo, hi, names, account_action), replace=True)
+    singles = single_conversion(facts, *dims, lo, hi, N.SUPPORT_KB, N.EDIT_ONE_KB, names).unionByName(
+        single_conversion(facts, *dims, lo, hi, N.SUPPORT_L10N, N.L10N_ONE_KB, names))
+    store_conversions(wh, singles, within=key_range(lo, hi))
     mondays = calendar_mondays(wh.table("utc_date_only"), lo, hi)
     if mondays.empty:
         return
-    cf = in_partitions(wh.table(CONTRIBUTOR_FACTS), mondays.first, mondays.last, YEAR)
-    facts = in_partitions(wh.table(FACTS), mondays.first, mondays.last, YEAR)
+    cf = stored_between(wh, CONTRIBUTOR_FACTS, mondays.first, mondays.last, YEAR)
+    facts = stored_between(wh, FACTS, mondays.first, mondays.last, YEAR)
 
     def rows_of(name):
         key = conversion_dim.where(F.col("conversion_desc") == name).select("conversion_key")
@@ -206,4 +204,4 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
                                            (5,), N.L10N_N_KB, names))
     out = out.unionByName(yearly_threshold(answers, conversion_dim, source_dim, team_dim, mondays, (4, 10),
                                            N.N_FORUM_ANSWERS, names))
-    store_conversions(wh, out)
+    store_conversions(wh, out, within=key_range(mondays.first, mondays.last, YEAR))

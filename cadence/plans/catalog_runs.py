@@ -5,6 +5,7 @@ returns the stored conversions under natural names; the oracle states the names
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,51 @@ def q_bug_job_run(spark, d):
     return _named(wh, conversion, source, team)
 
 
+# Offsets (UTC minus local time, in hours) of a source two hours ahead of UTC and of one eight hours behind it.
+ZONE_HOURS = (-2, 8)
+ZONE_WINDOWS = [("1997-03-01 00:00:00", "1997-03-31 00:00:00"), ("1997-01-01 00:00:00", "1997-02-01 00:00:00"),
+                ("1997-02-01 00:00:00", "1997-03-01 00:00:00")]
+_FILED = ["Filing a bug NATION_3", "Creating bug tracker account", "Filing a bug", "Change product 1 bug", "Change component 1 bug",
+          "Change status 1 bug", "Comment 1 bug"]
+
+
+def _zone_sql(hours: int) -> str:
+    raw = J._RAW_SQL.partition("facts AS (")[0].rstrip().rstrip(",")
+    raw = raw.replace("longdescs l", "notes l")
+    return f"""
+SELECT * FROM (WITH {J._SOURCES_SQL},
+notes AS (SELECT l_orderkey AS bug_id, l_suppkey AS who, l_shipdate + to_hours(l_linenumber * 5) AS bug_when FROM lineitem), {raw},
+facts AS (SELECT contributor_email AS email, local_datetime + to_hours({hours}) AS utc_datetime, fields, bug_id, product FROM raw),
+firsts AS (SELECT bug_id, min(utc_datetime) AS first_ts FROM facts WHERE fields = 'comment' GROUP BY bug_id),
+f AS (SELECT facts.*, first_ts IS NOT NULL AS first FROM facts
+      LEFT JOIN firsts ON firsts.bug_id = facts.bug_id AND first_ts = utc_datetime),
+rows AS (SELECT *, unnest([CASE WHEN first AND product = 'NATION_3' THEN 'Filing a bug NATION_3' END,
+    CASE WHEN fields = 'Creating bug tracker account' THEN fields END, CASE WHEN first THEN 'Filing a bug' END,
+    CASE WHEN contains(fields, 'product') THEN 'Change product 1 bug' END, CASE WHEN contains(fields, 'component') THEN 'Change component 1 bug' END,
+    CASE WHEN contains(fields, 'bug_status') THEN 'Change status 1 bug' END, CASE WHEN fields = 'comment' THEN 'Comment 1 bug' END]) AS conversion_desc FROM f)
+SELECT DISTINCT {hours} AS zone_hours, email, conversion_desc, 'https://bugs.example.org/show_bug.cgi?id=' || bug_id AS canonical, utc_datetime, 1 AS cnt,
+       CAST(strftime(utc_datetime, '%Y%m%d') AS INTEGER) AS utc_date_key FROM rows WHERE conversion_desc IS NOT NULL)"""
+
+
+@register("bug_job_zone", "\nUNION ALL ".join(_zone_sql(h) for h in ZONE_HOURS))
+def q_bug_job_zone(spark, d):
+    """Sources ahead of UTC and behind it, loaded by three windows, the latest first: first comments move twice."""
+    out = None
+    for hours in ZONE_HOURS:
+        wh, src = scratch_warehouse(spark), J.bug_sources(spark, d)
+        li = table(spark, d, "lineitem")
+        later = F.make_dt_interval(F.lit(0), (F.col("l_linenumber") * 5).cast("int"))
+        src.frames["longdescs"] = li.select(F.col("l_orderkey").alias("bug_id"), F.col("l_suppkey").alias("who"), (F.col("l_shipdate") + later).alias("bug_when"))
+        src.frames["attachments"] = src["attachments"].where(F.lit(False))
+        conversion, source = _dim(spark, "conversion_key", "conversion_desc", _FILED), _dim(spark, "source_key", "source_name", ["bugs"])
+        for lo, hi in ZONE_WINDOWS:
+            bugs.run(wh, src, lo, hi, conversion, source, J._teams(spark, d), names=J.NAMES, offset=dt.timedelta(hours=hours))
+        rows = _named(wh, conversion, source, J._teams(spark, d)).select(
+            F.lit(hours).alias("zone_hours"), "email", "conversion_desc", "canonical", "utc_datetime", "cnt", "utc_date_key")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 TRIAGE = ["Change status 1 bug", "Comment 1 bug", "Change product 1 bug", "Change component 1 bug",
           *[f"Help triage {n} bugs per quarter" for n in (10, 25, 50, 100)]]
 _TRIAGE_SQL = "\nUNION ALL ".join(f"""

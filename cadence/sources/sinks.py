@@ -30,8 +30,8 @@ import urllib.parse
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.operators.dedup import anti_join_keys, insert_if_absent, replace_by_key
@@ -71,7 +71,12 @@ class Warehouse:
         versions = [v for v in self._names(f"{self.root}/_tables/{name}", False) if v.endswith(".json") and not v.startswith((".", "_"))]
         if not versions:
             return None
-        return json.loads(self.spark.read.text(f"{self.root}/_tables/{name}/{versions[-1]}", wholetext=True).first()[0])
+        fs, where = self._fs(f"{self.root}/_tables/{name}/{versions[-1]}")
+        stream = fs.open(where)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _log(self, name: str, entry: dict) -> None:
         """A new entry, written aside and renamed, so that readers see all of it or nothing."""
@@ -92,12 +97,10 @@ class Warehouse:
 
     def _plain(self, name: str) -> DataFrame | None:
         """A Parquet folder that no job of the warehouse wrote."""
-        try:
-            return self.spark.read.parquet(self.path(name))
-        except AnalysisException as e:  # not written yet
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        fs, where = self._fs(self.path(name))
+        if not fs.exists(where) or all(f.startswith("_batch=") for f in self._names(self.path(name), True) + self._names(self.path(name), False)):
+            return None  # not written yet, or only staged
+        return self.spark.read.parquet(self.path(name))
 
     def _rows(self, name: str, entry: dict, parts: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(entry["schema"])
@@ -139,8 +142,9 @@ class Warehouse:
             # rows of a partition come together first (large ones are split): one task writes few files
             df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
             return {p: batch for p in self._partition_dirs(path, len(partition_by))}
-        df.write.parquet(path)
-        return {} if self.spark.read.schema(df.schema).parquet(path).isEmpty() else {"": batch}
+        rows = Observation()
+        df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return {"": batch} if rows.get["n"] else {}
 
     def _state(self, name: str, df: DataFrame, partition_by: Sequence[str] | None) -> dict:
         """The newest entry, or that of a new table; a plain folder's rows become its first batch."""
@@ -204,7 +208,7 @@ class Warehouse:
         full = [p for p in added if len(entry["parts"].get(p, [])) >= MAX_BATCHES]
         if full:  # one batch in place of many, the new rows among them
             now = entry | {"parts": {p: [*entry["parts"][p], added[p]] for p in full}}
-            whole = self._stage(self._rows(name, now, full), name, entry["partition_by"])
+            whole = self._stage(self._rows(name, now, full).hint("rebalance"), name, entry["partition_by"])
             added = {p: b for p, b in added.items() if p not in full} | whole
         self._commit(name, entry, added, full)
 
@@ -235,6 +239,8 @@ class Warehouse:
         with materialised(retract.select(*dict.fromkeys([*retract_key, *partition_by])).distinct()) as gone:
             entry = self._state(name, incoming, partition_by)
             shrink = self._touched(entry, gone)
+            if shrink:  # those in which it names a row that is stored
+                shrink = self._touched(entry, semi_join_keys(self._rows(name, entry, shrink), gone, retract_key))
             if not shrink:
                 self.insert_new(name, incoming, key, partition_by=partition_by, within=within)
                 return

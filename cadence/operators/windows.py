@@ -153,19 +153,11 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
             buckets = base.groupBy(*bkeys).agg(*bagg)
         lists_by_runs = concat == "list" and method == "auto" and not (span.months and span.days)
         if lists_by_runs:
-            # qualifying (group, Monday) pairs come from the cheap run counts; only buckets of
-            # groups that qualify somewhere are exploded, and only qualifying Mondays kept
-            # the same bucket table feeds the counts and the lists (one aggregation, reused)
+            # the run counts say which Mondays qualify; a Monday's list is a slice of its group's texts,
+            # so neither buckets nor texts are copied to the Mondays they count for
             counts = _counts_by_runs(buckets.select(*group, "_n", F.col("_max").alias("_rep")), group, mondays,
                                      span, th[0])
-            buckets = semi_join_keys(buckets, counts.select(*group).distinct(), group)
-            hop = semi_join_keys(hop_explode(buckets, "_max", mondays, span), counts.select(*group, AS_OF),
-                                 group + [AS_OF])
-            lists = hop.groupBy(*group, AS_OF).agg(
-                F.sum("_nn").alias("_nn"),
-                _join_sorted(F.collect_list(F.struct(F.col("_min"), F.col("_s"))), "_min", "_s", max_len)
-                .alias("canonical"))
-            out = join_keys(counts, lists, group + [AS_OF])
+            out = _listed_by_slices(counts, buckets, group, mondays, span, max_len)
         else:
             hop = hop_explode(buckets, "_max", mondays, span)
             agg = [F.sum("_n").alias("cnt"), F.max("_max").alias("utc_datetime")]
@@ -174,7 +166,7 @@ def threshold_rollup(facts: DataFrame, group: Sequence[str] | str, ts: str, mond
                         _join_sorted(F.collect_list(F.struct(F.col("_min"), F.col("_s"))), "_min", "_s", max_len)
                         .alias("canonical")]
             out = hop.groupBy(*group, AS_OF).agg(*agg)
-        if concat == "list":
+        if concat == "list" and not lists_by_runs:
             out = out.withColumn("canonical", F.when(F.col("_nn") > 0, F.col("canonical"))).drop("_nn")
         elif concat == "repeat":
             out = out.withColumn("canonical", F.array_join(F.array_repeat(F.col(canon), F.col("cnt").cast("int")), ","))
@@ -231,6 +223,31 @@ def _counts_by_runs(buckets: DataFrame, group: list[str], mondays: Mondays, span
     return out
 
 
+def _listed_by_slices(counts: DataFrame, buckets: DataFrame, group: list[str], mondays: Mondays, span: Span,
+                      max_len: int | None) -> DataFrame:
+    """``counts`` (group, Monday) with ``canonical``, the ordered list of the texts ``_s`` of the
+    buckets that count for the Monday.
+
+    Every group becomes one row, its buckets' texts in time order; those that count for a
+    Monday lie side by side in it, from the first bucket not before ``D - span`` to the last
+    not after ``D``. A list can begin only where a week's buckets cease to count. So of the
+    buckets that cease on one Monday only those are kept that begin within the first
+    ``max_len`` characters: a group's row holds at most that much text a week, however many facts it has.
+    """
+    kept = buckets.where(F.col("_s").isNotNull()).select(*group, "_min", "_max", "_s")
+    if max_len is not None:
+        kept = kept.withColumn("_to", F.least(last_monday_counting(F.col("_max"), span), F.lit(mondays.last)))
+        before = Window.partitionBy(*group, "_to").orderBy("_min").rowsBetween(Window.unboundedPreceding, -1)
+        kept = kept.withColumn("_at", F.coalesce(F.sum(F.char_length("_s") + 1).over(before), F.lit(0))).where(F.col("_at") <= max_len)
+    texts = kept.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_min", "_max", "_s"))).alias("_texts"))
+    out = join_keys(counts, texts, group, "left")
+    until = F.col(AS_OF).cast("timestamp_ntz")
+    since = shift_back(until, span)
+    own = F.transform(F.filter("_texts", lambda x: x["_max"].between(since, until)), lambda x: x["_s"])
+    listed = F.array_join(own, ",") if max_len is None else F.substring(F.array_join(own, ","), 1, max_len)
+    return out.withColumn("canonical", F.when(F.size(own) > 0, listed)).drop("_texts")
+
+
 def _threshold_by_runs(facts: DataFrame, group: list[str], ts: str, mondays: Mondays, span: Span,
                        th: list[int], repeat_of: str | None) -> DataFrame:
     """Count thresholds (optionally with a repeat list) from :func:`_counts_by_runs`."""

@@ -24,6 +24,12 @@ def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str, ignor
     return dim.where(match).select(F.min(value_col).alias(value_col)).scalar()
 
 
+def least_keys(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
+    """``dim`` reduced to one key a name, the least, as :func:`lookup_const` takes it: joining on
+    the name then neither multiplies facts nor depends on how a key is looked up."""
+    return dim.groupBy(name_col).agg(F.min(key_col).alias(key_col))
+
+
 def with_const_lookups(df: DataFrame, lookups: dict[str, Column]) -> DataFrame:
     """Add constant-row lookups as columns and drop rows where any is missing.
 

@@ -281,6 +281,26 @@ def q_snapshot_job_run(spark, d):
     return wh.table(aggregate.ACTIVE)
 
 
+@register("snapshot_job_late_facts", ORACLE["active_is_new"])
+def q_snapshot_job_late_facts(spark, d):
+    """The weekly job over facts that arrive late: the later half of them first, with its snapshot,
+    then the earlier half. Only the weeks that changed are read again."""
+    from cadence.plans.catalog import HIST_HI, HIST_LO, history_warehouse
+
+    facts, conversion, team, source, cal = history_warehouse(spark, d)
+    facts = facts.withColumn("utc_date_key", date_key(F.to_date("utc_datetime")))
+    wh = scratch_warehouse(spark)
+    wh.insert_new("utc_date_only", cal, ["utc_date_only"])
+    middle = "1996-12-30 00:00:00"
+    key = ["contributor_key", "conversion_key", "utc_datetime", "o_orderkey"]
+    for half, windows in ((F.col("utc_datetime") >= F.lit(middle).cast("timestamp_ntz"), [(middle, HIST_HI)]),
+                          (F.col("utc_datetime") < F.lit(middle).cast("timestamp_ntz"), [(HIST_LO, middle), (middle, HIST_HI)])):
+        wh.insert_new("contributor_facts", facts.where(half), key, partition_by=["utc_date_key"])
+        for lo, hi in windows:
+            aggregate.run(wh, lo, hi, conversion, team, source)
+    return wh.table(aggregate.ACTIVE)
+
+
 @register("surrogate_keys", """
 SELECT count(*) AS members, count(*) AS keys FROM (
   SELECT DISTINCT n.n_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS a, CASE WHEN s_suppkey % 2 = 1 THEN s_acctbal END AS b

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import date_key
-from cadence.operators.joins import lookup_const, with_const_lookups
+from cadence.operators.joins import least_keys, lookup_const, with_const_lookups
 from cadence.operators.rules import fan_out_rules
 from cadence.sources.readers import windowed
 
@@ -47,9 +47,9 @@ def attach_keys(rows: DataFrame, conversion_dim: DataFrame, source_dim: DataFram
     """``contributor_facts`` columns for conversion rows named in ``desc``.
 
     A conversion or source missing from its dim gives no rows (as an inner join on
-    the constant dim row would).
+    the constant dim row would). Of several rows with one name the least key is taken.
     """
-    conv = conversion_dim.select(F.col("conversion_desc").alias("_cd"), "conversion_key")
+    conv = least_keys(conversion_dim, "conversion_desc", "conversion_key").withColumnRenamed("conversion_desc", "_cd")
     out = rows.join(conv, F.col(desc) == F.col("_cd"), "inner").drop("_cd")
     out = out.withColumn("source_key", lookup_const(source_dim, "source_name", source_name, "source_key")) \
              .where(F.col("source_key").isNotNull())
@@ -58,7 +58,7 @@ def attach_keys(rows: DataFrame, conversion_dim: DataFrame, source_dim: DataFram
         out = out.withColumn("team_key", lookup_const(team_dim, "team_name", team.fixed, "team_key")) \
                  .where(F.col("team_key").isNotNull())
     elif team.by_column is not None:
-        t = team_dim.select(F.col("team_name").alias("_tn"), F.col("team_key").alias("_tk"))
+        t = least_keys(team_dim, "team_name", "team_key").select(F.col("team_name").alias("_tn"), F.col("team_key").alias("_tk"))
         out = out.join(t, F.col(team.by_column) == F.col("_tn"), "left")
         tk = F.col("_tk") if team.default is None else F.coalesce(F.col("_tk"), F.lit(team.default))
         out = out.withColumn("team_key", tk.cast("long")).drop("_tn", "_tk")
@@ -83,5 +83,5 @@ def key_by_threshold(rows: DataFrame, conversion_dim: DataFrame, thresholds, nam
     target = F.lit(None).cast("string")
     for t in th:
         target = F.when(F.col("threshold") == t, F.lit(name_of(t))).otherwise(target)
-    conv = conversion_dim.select(F.col("conversion_desc").alias("_target"), "conversion_key")
+    conv = least_keys(conversion_dim, "conversion_desc", "conversion_key").withColumnRenamed("conversion_desc", "_target")
     return rows.withColumn("_target", target).join(conv, "_target").drop("_target")

@@ -15,7 +15,7 @@ from cadence.functions.text import left_chars
 from cadence.functions.timefn import offset_column
 from cadence.operators.conform import DimJoin, conform
 from cadence.operators.dims import add_members, distinct_members, map_attribute
-from cadence.operators.joins import lookup_const
+from cadence.operators.joins import least_keys, lookup_const
 from cadence.plans import names as N
 from cadence.plans.common import (insert_raw, load_keys, store_conversions, stored_between, update_calendar,
                                   update_contributors, utc_of_raw)
@@ -58,7 +58,7 @@ def assign_repo_teams(repo_dim: DataFrame, mapping: DataFrame, team_dim: DataFra
     """``team_key`` of each repository from a (team_name, repo_name) mapping, in one
     join (a team name missing from the team dim gives NULL). Repositories not in
     the mapping keep their current team."""
-    m = (mapping.join(team_dim.select("team_name", "team_key"), "team_name", "left")
+    m = (mapping.join(least_keys(team_dim, "team_name", "team_key"), "team_name", "left")
          .select(F.col("repo_name").alias("name"), F.col("team_key").alias("_mapped_team"),
                  F.lit(True).alias("_mapped")))
     cur = repo_dim if "team_key" in repo_dim.columns else repo_dim.withColumn("team_key", F.lit(None).cast("long"))
@@ -87,8 +87,7 @@ def conversions(facts: DataFrame, repo: DataFrame, conversion_dim: DataFrame, so
     f = windowed(facts, "utc_datetime", lo, hi).join(repo.select("github_repo_key", "team_key"), "github_repo_key")
     rows = convert(f, {N.SUBMITTING_PATCH: F.col("action") == N.HOSTING_PR_OPENED,
                        N.PATCH_MERGED: F.col("action") == N.HOSTING_COMMIT_AUTHOR})
-    conv = conversion_dim.select(F.col("conversion_desc"), "conversion_key")
-    rows = rows.join(conv, "conversion_desc")
+    rows = rows.join(least_keys(conversion_dim, "conversion_desc", "conversion_key"), "conversion_desc")
     rows = rows.withColumn("source_key", lookup_const(source_dim, "source_name", names.hosting_source, "source_key")) \
                .where(F.col("source_key").isNotNull())
     return rows.select(*FACT_COLUMNS)

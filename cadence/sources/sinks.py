@@ -225,11 +225,24 @@ class Warehouse:
             out = replace_by_key(self._rows(name, entry, near), batch, key, order)
             self._commit(name, entry, self._stage(out, name, entry["partition_by"]), near)
 
-    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        """Replace exactly the partitions present in ``df`` (which may read the table)."""
+    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str], clear: Sequence = ()) -> list[str]:
+        """Replace the partitions present in ``df`` (which may read the table), and empty those
+        with a value in ``clear`` that have no rows in it. Returns the partitions replaced."""
         entry = self._state(name, df, partition_by)
         added = self._stage(df.select(*T.StructType.fromJson(entry["schema"]).names), name, entry["partition_by"])
-        self._commit(name, entry, added, list(added))
+        kind = T.StructType.fromJson(entry["schema"])[entry["partition_by"][0]].dataType
+        emptied = [p for p in entry["parts"] if p not in added and _value(p.split("/")[0], kind) in set(clear)]
+        self._commit(name, entry, added, [*added, *emptied])
+        return [*added, *emptied]
+
+    def batches(self, name: str) -> dict | None:
+        """``{value: batches}`` of a table partitioned by one column: what a reader that has seen some of it has
+        still to read. None if no job of the warehouse wrote the table."""
+        entry = self._entry(name)
+        if entry is None:
+            return None
+        kind = T.StructType.fromJson(entry["schema"])[entry["partition_by"][0]].dataType
+        return {_value(p, kind): b for p, b in entry["parts"].items()}
 
     def exchange(self, name: str, incoming: DataFrame, retract: DataFrame, key: Sequence[str], retract_key: Sequence[str],
                  partition_by: Sequence[str], within: tuple | None = None) -> None:

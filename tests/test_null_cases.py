@@ -135,6 +135,21 @@ def test_duplicate_dim_name_takes_the_least_key(spark):
     assert [(r.k, r.none) for r in got.collect()] == [(3, None), (3, None)]
 
 
+def test_duplicate_names_give_one_row_wherever_a_key_is_looked_up(spark):
+    from cadence.plans.conversions import Team, attach_keys, key_by_threshold
+
+    t = spark.createDataFrame
+    conversion = t([(9, "c"), (2, "c"), (5, "n 4"), (4, "n 4"), (7, "n 10")], "conversion_key long, conversion_desc string")
+    team, source = t([(8, "t"), (3, "t")], "team_key long, team_name string"), t([(6, "s"), (1, "s")], "source_key long, source_name string")
+    rows = t([("u", ts("2014-06-01 00:00:00"), 1, 11, "c", "t")], "canonical string, utc_datetime timestamp_ntz, cnt int, contributor_key long, conversion_desc string, own string")
+    for how in (Team(by_column="own"), Team(fixed="t")):
+        assert [(r.conversion_key, r.source_key, r.team_key) for r in attach_keys(rows, conversion, source, "s", how, team).collect()] == [(2, 1, 3)]
+    found = t([(4,), (10,)], "threshold int")
+    for th in ((4,), (4, 10)):
+        got = key_by_threshold(found.where(F.col("threshold").isin(*th)), conversion, th, lambda n: f"n {n}").collect()
+        assert sorted((r.threshold, r.conversion_key) for r in got) == [(4, 4), (10, 7)][:len(th)]
+
+
 def test_renamed_product_keeps_its_first_name(spark, scratch):
     wh = Warehouse(spark, scratch)
     src = Sources(spark, frames=bug_sources(spark))

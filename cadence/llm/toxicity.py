@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import map_arrow, slices, stored, text_or_empty
@@ -194,13 +194,16 @@ def learn(texts: DataFrame, confirmed: DataFrame, prior: float, members: int = M
     p, q = F.col("pos") / F.col("n_pos"), F.col("unl") / F.col("n_unl")
     both = (F.col("pos") + F.col("unl") + 1) / (F.col("n_pos") + F.col("n_unl") + 2)
     z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / F.col("n_pos") + 1 / F.col("n_unl")))
-    chosen: dict[int, np.ndarray] = {}
-    for m in sides:
-        rows = rates.where((F.col("member") == m) & (z >= LEAST_Z)).orderBy(F.desc(z), "feature").select("feature").limit(FEATURES).collect()
-        chosen[m] = np.asarray([r["feature"] for r in rows], np.int64)
+    telling = Window.partitionBy("member").orderBy(F.desc("z"), "feature")  # a classifier has at most BUCKETS features
+    best = rates.select("member", "feature", z.alias("z")).where(F.col("z") >= LEAST_Z).withColumn("at", F.row_number().over(telling))
+    chosen: dict[int, list] = {m: [] for m in sides}
+    for r in best.where(F.col("at") <= FEATURES).orderBy("member", "at").select("member", "feature").collect():
+        chosen[r["member"]].append(r["feature"])
+    chosen = {m: np.asarray(f, np.int64) for m, f in chosen.items()}
     shared = sample.sparkSession.sparkContext.broadcast(chosen)  # at most FEATURES numbers a classifier
     held = map_arrow(sample.where(F.col("member").isin(sides)), _kept_features(shared), "member int, toxic int, held array<int>")
-    trained = map_arrow(held.repartition(members, "member"), _train(shared, prior), "feature int, weight double")
+    # more partitions than classifiers, so that two of them seldom meet in one
+    trained = map_arrow(held.repartition(8 * members, "member"), _train(shared, prior), "feature int, weight double")
     got = trained.groupBy("feature").agg(F.sum("weight").alias("w")).orderBy("feature").collect()
     f, w = np.asarray([r["feature"] for r in got], np.int64), np.asarray([r["w"] for r in got]) / len(sides)
     return f[1:], w[1:], float(w[0])

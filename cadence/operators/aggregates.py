@@ -46,6 +46,30 @@ def list_head(df: DataFrame, group: Sequence[str], ts: str, value: str, max_len:
     return out.drop("_salt")
 
 
+#: Values of a group that one task puts in order; a larger group is put together from fragments of as many.
+FRAGMENT_VALUES = 1 << 16
+
+
+def whole_lists(df: DataFrame, group: Sequence[str], ts: str, value: str, out: str = "canonical") -> DataFrame:
+    """``group`` -> its values joined by ',' in (ts, value) order, NULLs skipped, whatever their number.
+
+    Two levels: equal values are counted first; all are dealt to tasks by range, so that a task
+    holds a stretch of a group, whose fragments of at most FRAGMENT_VALUES different values become
+    strings; these few strings meet in one task and are joined in order. No task ever holds a
+    large group's values as rows; only its one result string is as long as it has to be.
+    """
+    group = list(group)
+    rows = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(ts).alias("_t"), F.col(value).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    rows = rows.repartitionByRange(*[F.col(g) for g in group], "_t", "_v").withColumn("_stretch", F.spark_partition_id())
+    place = Window.partitionBy(*group, "_stretch").orderBy("_t", "_v")
+    rows = rows.withColumn("_fragment", F.floor((F.row_number().over(place) - 1) / FRAGMENT_VALUES))
+    ordered = F.array_sort(F.collect_list(F.struct("_t", "_v", "_k")))
+    text = F.array_join(F.transform(ordered, lambda x: F.array_join(F.array_repeat(x["_v"], x["_k"].cast("int")), ",")), ",")
+    fragments = rows.groupBy(*group, "_stretch", "_fragment").agg(text.alias("_text"), F.min(F.struct("_t", "_v")).alias("_first"))
+    parts = F.array_sort(F.collect_list(F.struct("_first", "_text")))
+    return fragments.groupBy(*group).agg(F.array_join(F.transform(parts, lambda x: x["_text"]), ",").alias(out))
+
+
 def group_ordered_list(df: DataFrame, group: Sequence[str] | str, ts: str, value: str,
                        max_len: int | None = None, out: str = "canonical",
                        extra: Sequence[Column] = ()) -> DataFrame:
@@ -58,7 +82,13 @@ def group_ordered_list(df: DataFrame, group: Sequence[str] | str, ts: str, value
     """
     group = _cols(group)
     if max_len is None:
-        return df.groupBy(*group).agg(ordered_list(ts, value).alias(out), *extra)
+        # one small aggregation says whether any group is too large for a task to put in order at once
+        most = df.where(F.col(value).isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (most or 0) <= FRAGMENT_VALUES:
+            return df.groupBy(*group).agg(ordered_list(ts, value).alias(out), *extra)
+        every = df.groupBy(*group).agg(*extra) if extra else df.select(*group).distinct()
+        joined = join_keys(every, whole_lists(df, group, ts, value, out), group, "left")
+        return joined.select(*group, out, *[c for c in joined.columns if c not in group and c != out])
     lists = list_head(df, group, ts, value, max_len).groupBy(*group).agg(ordered_list(ts, value, max_len).alias(out))
     every = df.groupBy(*group).agg(*extra) if extra else df.select(*group).distinct()
     return join_keys(every, lists, group, "left")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import between_ts, calendar_attributes, date_key
 from cadence.operators.dedup import insert_if_absent
+from cadence.session import materialised
 
 UNKNOWN_KEY = 0
 
@@ -17,21 +19,54 @@ def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def surrogate_key(*cols) -> Column:
-    """Stable 64-bit key of a natural key (no coordination between writers).
+def surrogate_key(*cols, probe: int = 0, bits: int = 64) -> Column:
+    """Stable key of a natural key, ``bits`` wide (no coordination between writers).
 
     Each column is hashed after a mark whether it is NULL, as a NULL alone would leave
     the hash unchanged and its place in the key would be lost. 0 is reserved for the
-    "unknown" member, so a hash of 0 is moved to 1. See :func:`key_collisions`.
+    "unknown" member, so a hash of 0 is moved to 1. ``probe`` gives further keys of the
+    same member, for where the first is taken (:func:`number_members`).
     """
     each = [F.col(c) if isinstance(c, str) else c for c in cols]
-    h = F.xxhash64(*[x for c in each for x in (c.isNull(), c)])
+    h = F.xxhash64(*[x for c in each for x in (c.isNull(), c)], *([F.lit(probe)] if probe else []))
+    if bits < 64:
+        h = F.pmod(h, F.lit(1 << bits))
     return F.when(h == 0, F.lit(1).cast("long")).otherwise(h)
 
 
+@contextlib.contextmanager
+def number_members(members: DataFrame, natural: Sequence[str] | str, key_col: str, taken: DataFrame | None = None,
+                   bits: int = 64, probes: int = 64) -> Iterator[DataFrame]:
+    """``members`` (distinct natural keys) with a surrogate key that none of them shares and
+    that is not in ``taken`` (a column ``key_col`` of stored members), for a ``with`` block.
+
+    Every member proposes its hash. Of those that propose one key the first in natural
+    order takes it, unless it is taken already; the others propose their next hash. One round
+    is enough unless hashes collide; each is checked, and written before the next.
+    """
+    natural = _cols(natural)
+    with contextlib.ExitStack() as tables:
+        left, out = members.select(*natural), None
+        taken = members.sparkSession.createDataFrame([], f"{key_col} long") if taken is None else taken.select(key_col)
+        for probe in range(probes):
+            first = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_first() for c in natural])
+            offers = left.select(surrogate_key(*natural, probe=probe, bits=bits).alias(key_col), *natural)
+            offers = offers.withColumn("_nth", F.row_number().over(first))
+            used = taken.select(F.col(key_col).alias("_used")).distinct()
+            offers = offers.join(used, F.col(key_col) == F.col("_used"), "left")
+            offers = tables.enter_context(materialised(offers.withColumn("_won", (F.col("_nth") == 1) & F.col("_used").isNull())))
+            won, lost = offers.where("_won").select(key_col, *natural), offers.where("NOT _won").select(*natural)
+            out = won if out is None else out.unionByName(won)
+            if lost.isEmpty():
+                yield out
+                return
+            taken, left = taken.unionByName(won.select(key_col)), lost
+        raise ValueError(f"no free {bits}-bit keys after {probes} probes")
+
+
 def key_collisions(dim: DataFrame, key_col: str, natural: Sequence[str] | str) -> DataFrame:
-    """Surrogate keys that stand for more than one natural key, with their number. 64
-    bits make one unlikely below some 10^9 members, not impossible."""
+    """Surrogate keys that stand for more than one natural key, with their number.
+    :func:`number_members` gives none."""
     members = dim.select(key_col, *_cols(natural)).distinct()
     return members.groupBy(key_col).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
 

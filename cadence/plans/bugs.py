@@ -266,20 +266,20 @@ def triage_thresholds(contributor_facts: DataFrame, conversion_dim: DataFrame, m
     """Rows for "Help triage N bugs per quarter", as seen each Monday.
 
     As written, a group is (contributor, single-action conversion, bug), i.e. N
-    actions of one kind on one bug; ``distinct_bugs`` counts N distinct bugs per
-    (contributor, conversion) instead.
+    actions of one kind on one bug; ``distinct_bugs`` counts what the name says, N
+    distinct bugs of a contributor by any of the actions.
     """
     single = conversion_dim.where(F.col("conversion_desc").isin(*N.TRIAGE_SINGLE)).select("conversion_key")
     f = contributor_facts.join(single, "conversion_key", "left_semi") \
         .withColumnRenamed("conversion_key", "single_key")
     # source and team are the same for all rows of a contributor's bug conversions
-    group = ["contributor_key", "single_key", "source_key", "team_key"]
     if distinct_bugs:
-        r = threshold_rollup(f, group, "utc_datetime", mondays, span, thresholds, canon="canonical",
+        r = threshold_rollup(f, ["contributor_key"], "utc_datetime", mondays, span, thresholds, canon="canonical",
                              concat="list", distinct_of="canonical")
+        r = r.join(f.groupBy("contributor_key").agg(F.max("source_key").alias("source_key"), F.max("team_key").alias("team_key")), "contributor_key")
     else:
-        r = threshold_rollup(f, group + ["canonical"], "utc_datetime", mondays, span, thresholds,
-                             canon="canonical", concat="repeat")
+        r = threshold_rollup(f, ["contributor_key", "single_key", "source_key", "team_key", "canonical"], "utc_datetime", mondays, span,
+                             thresholds, canon="canonical", concat="repeat")
     r = key_by_threshold(r, conversion_dim, thresholds, names.triage)
     return r.select("canonical", "utc_datetime", F.lit(1).alias("cnt"),
                     date_key(F.to_date("utc_datetime")).alias("utc_date_key"),

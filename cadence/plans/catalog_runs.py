@@ -146,6 +146,29 @@ def q_triage_job(spark, d):
     return rows.join(conversion, "conversion_key").select("canonical", "utc_datetime", "contributor_key", "conversion_desc")
 
 
+_DISTINCT_SQL = "\nUNION ALL ".join(f"""
+SELECT string_agg(canonical, ',' ORDER BY t0, canonical) AS canonical, max(t1) AS utc_datetime, contributor_key, 'Help triage {n} bugs per quarter' AS conversion_desc
+FROM firsts GROUP BY contributor_key, d HAVING count(*) >= {n}""" for n in (10, 25, 50, 100))
+
+
+@register("triage_distinct_job", f"""
+WITH f AS (SELECT l_suppkey % 40 AS contributor_key, l_shipdate AS utc_datetime, 'bug-' || (l_orderkey % 90) AS canonical
+           FROM lineitem WHERE l_linenumber BETWEEN 1 AND 4),
+mondays AS (SELECT CAST(x AS DATE) AS d FROM range(TIMESTAMP '1997-01-06', TIMESTAMP '1997-04-01', INTERVAL 7 DAY) t(x)),
+firsts AS (SELECT contributor_key, m.d, canonical, min(utc_datetime) AS t0, max(utc_datetime) AS t1
+           FROM f JOIN mondays m ON f.utc_datetime BETWEEN CAST(m.d AS TIMESTAMP) - INTERVAL 3 MONTH AND CAST(m.d AS TIMESTAMP) GROUP BY ALL)
+{_DISTINCT_SQL}""")
+def q_triage_distinct_job(spark, d):
+    """N distinct bugs of a contributor in a quarter, by any of the four actions."""
+    li = table(spark, d, "lineitem").where(F.col("l_linenumber").between(1, 4))
+    facts = li.select((F.col("l_suppkey") % 40).alias("contributor_key"), F.col("l_linenumber").cast("long").alias("conversion_key"),
+                      F.col("l_shipdate").alias("utc_datetime"), F.concat(F.lit("bug-"), F.col("l_orderkey") % 90).alias("canonical"),
+                      F.lit(1).cast("long").alias("source_key"), F.lit(0).cast("long").alias("team_key"))
+    conversion = _dim(spark, "conversion_key", "conversion_desc", TRIAGE)
+    rows = bugs.triage_thresholds(facts, conversion, every_monday(J.JOB_LO, J.JOB_HI), names=J.NAMES, distinct_bugs=True)
+    return rows.join(conversion, "conversion_key").select("canonical", "utc_datetime", "contributor_key", "conversion_desc")
+
+
 # ------------------------------------------------------------------ code hosting
 
 _HOST_RAW = f"""

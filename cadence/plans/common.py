@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import datetime as _dt
 
 from cadence.functions.timefn import Span, add_offset, between_ts, date_key, date_key_between
-from cadence.operators.dims import add_members, calendar
+from cadence.operators.dedup import anti_join_keys
+from cadence.operators.dims import calendar, number_members
 from cadence.plans.conversions import FACT_KEY
 from cadence.sources.sinks import Warehouse
 
@@ -35,9 +36,19 @@ def update_contributors(wh: Warehouse, emails: Sequence[DataFrame]) -> DataFrame
     for df in emails:
         e = df.select(F.col("email")).where(F.col("email").isNotNull())
         members = e if members is None else members.unionByName(e)
-    members = members.distinct()
-    wh.insert_new(CONTRIBUTOR, add_members(None, members, "email", "contributor_key"), ["email"])
-    return wh.table(CONTRIBUTOR)
+    return insert_members(wh, CONTRIBUTOR, members.distinct(), ["email"], "contributor_key")
+
+
+def insert_members(wh: Warehouse, name: str, members: DataFrame, natural: Sequence[str], key_col: str, **more) -> DataFrame:
+    """Store the natural keys of ``members`` that the dim lacks, each under a surrogate key of its
+    own; ``more`` are further columns. Returns the dim."""
+    stored = wh.read(name)
+    fresh = members.select(*natural)
+    if stored is not None:
+        fresh = anti_join_keys(fresh, stored, natural)
+    with number_members(fresh, natural, key_col, stored) as keyed:
+        wh.insert_new(name, keyed.withColumns(more), natural)
+    return wh.table(name)
 
 
 def update_calendar(wh: Warehouse, raw_window: DataFrame) -> DataFrame:

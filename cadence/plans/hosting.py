@@ -17,7 +17,7 @@ from cadence.operators.conform import DimJoin, conform
 from cadence.operators.dims import add_members, distinct_members, map_attribute
 from cadence.operators.joins import least_keys, lookup_const
 from cadence.plans import names as N
-from cadence.plans.common import (insert_raw, load_keys, store_conversions, stored_between, update_calendar,
+from cadence.plans.common import (insert_members, insert_raw, load_keys, store_conversions, stored_between, update_calendar,
                                   update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, convert
 from cadence.sources.readers import Sources, windowed
@@ -97,9 +97,8 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         team_dim: DataFrame, repo_teams: DataFrame | None = None, names: N.Names = N.Names(),
         tz: str | None = None, offset=None) -> None:
     raw = insert_raw(wh, RAW, extract_activity(src, lo, hi, tz, offset), RAW_KEY, lo, hi)
-    wh.insert_new("hosting_org", org_members(raw, None), ["github_org_name"])
-    repos = repo_members(raw, None).withColumn("team_key", F.lit(None).cast("long"))
-    wh.insert_new("hosting_repo", repos, ["github_repo_name"])
+    insert_members(wh, "hosting_org", org_members(raw, None), ["github_org_name"], "github_org_key")
+    insert_members(wh, "hosting_repo", repo_members(raw, None), ["github_repo_name"], "github_repo_key", team_key=F.lit(None).cast("long"))
     if repo_teams is not None:
         wh.upsert("hosting_repo", assign_repo_teams(wh.table("hosting_repo"), repo_teams, team_dim),
                   ["github_repo_name"])

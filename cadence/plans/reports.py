@@ -20,7 +20,7 @@ from cadence.operators.dims import add_members, distinct_members
 from cadence.operators.joins import lookup_const
 from cadence.operators.windows import trailing_window
 from cadence.plans import names as N
-from cadence.plans.common import (insert_raw, load_keys, store_conversions, stored_between, update_calendar,
+from cadence.plans.common import (insert_members, insert_raw, load_keys, store_conversions, stored_between, update_calendar,
                                   update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS
 from cadence.sources.readers import Sources, copy_columns, windowed
@@ -134,13 +134,11 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         names: N.Names = N.Names(), tz: str | None = None, offset=None, four_in_4w: bool = True) -> None:
     raw = insert_raw(wh, RAW, extract_reports(src, lo, hi, names, tz, offset).select(*RAW_COLS), RAW_KEY, lo, hi)
     wh.insert_new("reports_campaign", campaign_dim(src), ["campaign_key"])
-    wh.insert_new("reports_activity", activity_members(raw, None), ["activity_name"])
-    wh.insert_new("reports_location", location_members(raw, None),
-                  ["location_name", "longitude", "latitude"])
+    activity = insert_members(wh, "reports_activity", activity_members(raw, None), ["activity_name"], "activity_key")
+    location = insert_members(wh, "reports_location", location_members(raw, None), ["location_name", "longitude", "latitude"], "location_key")
     contributor = update_contributors(wh, [raw.select("email")])
     cal = update_calendar(wh, raw)
-    facts = conform_facts(raw, contributor, cal, wh.table("reports_activity"), source_dim,
-                          wh.table("reports_campaign"), wh.table("reports_location"))
+    facts = conform_facts(raw, contributor, cal, activity, source_dim, wh.table("reports_campaign"), location)
     wh.insert_new(FACTS, facts, FACTS_COLS, partition_by=["utc_date_key"], within=load_keys(lo, hi))
     stored = stored_between(wh, FACTS, lo, hi, Span.weeks(8))
     rows = trailing_conversion(stored, conversion_dim, team_dim, lo, hi, 8, N.ONE_IN_8_WEEKS, names).unionByName(

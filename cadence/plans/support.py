@@ -18,12 +18,12 @@ from cadence.functions.text import blank_if_null, concat_strict
 from cadence.functions.timefn import YEAR, Span, date_key, offset_column
 from cadence.operators.aggregates import group_ordered_list
 from cadence.operators.conform import DimJoin, conform
-from cadence.operators.dims import add_members, distinct_members
+from cadence.operators.dims import distinct_members
 from cadence.operators.hop import Mondays, calendar_mondays
 from cadence.operators.joins import lookup_const, with_const_lookups
 from cadence.operators.windows import threshold_rollup
 from cadence.plans import names as N
-from cadence.plans.common import (CONTRIBUTOR_FACTS, insert_raw, key_range, load_keys, store_conversions, stored_between,
+from cadence.plans.common import (CONTRIBUTOR_FACTS, insert_members, insert_raw, key_range, load_keys, store_conversions, stored_between,
                                   update_calendar, update_contributors, utc_of_raw)
 from cadence.plans.conversions import FACT_COLUMNS, key_by_threshold
 from cadence.sources.readers import Sources, windowed
@@ -173,13 +173,12 @@ def run(wh: Warehouse, src: Sources, lo, hi, conversion_dim: DataFrame, source_d
         names: N.Names = N.Names(), tz=None, offset=None, account_action: str | None = None) -> None:
     raw = insert_raw(wh, RAW, raw_facts(src, lo, hi, names, tz, offset), RAW_KEY, lo, hi)
     contributor = update_contributors(wh, [raw.select("email")])
-    wh.insert_new("support_product", add_members(None, distinct_members(
-        raw, "extra_product", rename={"extra_product": "product_name"}), "product_name", "product_key"),
-        ["product_name"])
-    wh.insert_new("support_topic", add_members(None, distinct_members(
-        raw, "extra_topic", rename={"extra_topic": "topic_name"}), "topic_name", "topic_key"), ["topic_name"])
+    product = insert_members(wh, "support_product", distinct_members(raw, "extra_product", rename={"extra_product": "product_name"}),
+                             ["product_name"], "product_key")
+    topic = insert_members(wh, "support_topic", distinct_members(raw, "extra_topic", rename={"extra_topic": "topic_name"}),
+                           ["topic_name"], "topic_key")
     cal = update_calendar(wh, raw)
-    wh.insert_new(FACTS, conform_facts(raw, contributor, cal, wh.table("support_product"), wh.table("support_topic")),
+    wh.insert_new(FACTS, conform_facts(raw, contributor, cal, product, topic),
                   [c for c in FACTS_COLS if c != "cnt"], partition_by=["utc_date_key"], within=load_keys(lo, hi))
     facts = stored_between(wh, FACTS, lo, hi)
     dims = conversion_dim, source_dim, team_dim

@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block element; what is never article text
 (scripts, styles, forms, navigation, page headers and footers, sidebars, adverts,
-notices, reader comments, by element, role or class) leaves empty lines in its place,
+notices, reader comments, by element, role, class or style) leaves empty lines in its place,
 unless the lines before and after stand in the element's own container: it does not
-split that one. Over the lines' text lengths, links counted apart, sums are taken in a
+split that one. A role, class or style only weighs: an element that holds the densest text by far is text,
+whatever it is called (``Lines.spared``). Over the lines' text lengths, links counted apart, sums are taken in a
 sliding window of WINDOW lines. A block starts where the window sum surges (becomes
 positive) and ends where it dives back to zero; blocks that are mostly links are left
 out, whatever their length beside others. This runs on every page. The edges of
@@ -24,9 +25,11 @@ rows get equal results; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +54,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist cookie "
                   "cookies consent disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification popup "
                   "promo promoted promotion related replies respond share sharing sidebar sponsor sponsored social subscribe "
-                  "toolbar widget".split())
+                  "toolbar widget copyright masthead pager pagination".split())
+#: Words that say so only together: the header of a site, unlike that of an article, is none of its text.
+SITE, HEADER = frozenset("global site top".split()), "header"
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 CONTENT = frozenset(("article", "main"))
 CONTAINERS = frozenset("article blockquote center details div fieldset figure main section td th".split())
@@ -75,63 +80,151 @@ BREAKS_OUT = re.compile(r"<(?:article|aside|b|big|blockquote|body|br|center|code
 SPACE = re.compile(r"\s+")
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-WORD = re.compile(r"[A-Za-z0-9]+")
+WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")  # words of commentSection, too
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+FLAG = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
 
 
 def marked(attributes: str) -> bool:
     """Whether class, id or role says that the element is no article text."""
     for name, a, b, c in ATTRIBUTE.findall(attributes):
-        value, name = (a or b or c).lower(), name.lower()
-        if name in ("class", "id") and not MARKS.isdisjoint(WORD.findall(value)):
+        value, name = a or b or c, name.lower()
+        if name in ("class", "id"):
+            words = {w.lower() for w in WORD.findall(value)}
+            if not MARKS.isdisjoint(words) or HEADER in words and not SITE.isdisjoint(words):
+                return True
+        if name == "role" and value.strip().lower() in ROLES or name == "style" and HIDDEN.search(value):
             return True
-        if name == "role" and value.strip() in ROLES:
-            return True
-    return "hidden" in attributes.lower().split()
+    return bool(FLAG.search(ATTRIBUTE.sub(lambda m: " hidden " if m.group(1).lower() == "hidden" else " ", attributes)))
+
+
+class Lines:
+    """A page's lines, in page order: text, characters inside links, whether inside article or main, the
+    container they stand in, and the innermost marked element around them (0 is none). A line
+    without text (None) is a gap, where an element was dropped, or (-1 characters) the start of a marked one."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str | None, int, bool, int, int]] = []
+        #: Per marked element: the marked element around it, its container, first and last line.
+        self.outer, self.container, self.first, self.last = [0], [0], [0], [0]
+
+    def spared(self) -> set[int]:
+        """The marked elements that are text all the same: a name in a class says nothing against an
+        element that holds the page. One is spared if its densest window outweighs OUTSIDE times all that is
+        outside marked elements; then that of its lines is outside, and the marked elements in it are judged likewise."""
+        n = len(self.outer)
+        if n == 1:
+            return set()
+        size = np.fromiter((max(len(t) - x, 0) if t else 0 for t, x, *_ in self.items), np.int64, len(self.items))
+        total = np.concatenate([[0], np.cumsum(size)])
+        window = np.minimum(np.arange(len(size)) + WINDOW, len(size))
+        levels = [total[window] - total[:-1]]  # maxima over runs of 1, 2, 4, ... windows
+        while 2 ** len(levels) <= len(size):
+            half = 2 ** (len(levels) - 1)
+            levels.append(np.maximum(levels[-1][:-half], levels[-1][half:]))
+
+        def densest(a: int, b: int) -> int:
+            if b - a <= WINDOW:
+                return int(total[b] - total[a])
+            b -= WINDOW - 1
+            k = (b - a).bit_length() - 1
+            return int(max(levels[k][a], levels[k][b - 2 ** k]))
+
+        own: list[list[int]] = [[] for _ in range(n)]  # lengths of the lines that no marked element inside holds
+        content = [False] * n
+        for (t, _, inside, _, mark), length in zip(self.items, size.tolist()):
+            if t:
+                own[mark].append(length)
+                content[mark] = content[mark] or inside
+        inner: list[list[int]] = [[] for _ in range(n)]
+        for m in range(n - 1, 0, -1):
+            inner[self.outer[m]].append(m)
+            content[self.outer[m]] = content[self.outer[m]] or content[m]
+
+        def direct(m: int) -> int:
+            x = own[m]
+            return max((sum(x[i:i + WINDOW]) for i in range(max(1, len(x) - WINDOW + 1))), default=0)
 
+        def offer(marks: list[int]) -> None:
+            for m in marks:
+                heapq.heappush(heap, (not content[m], -int(total[self.last[m]] - total[self.first[m]]), m))
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """``(text, characters inside links, inside article or main)`` per line, in page order."""
-    out: list[tuple[str, int, bool]] = []
+        free, spared, heap = direct(0), set(), []
+        offer(inner[0])
+        while heap:  # what holds an article first, then by its text
+            m = heapq.heappop(heap)[2]
+            if densest(self.first[m], self.last[m]) > OUTSIDE * free:
+                spared.add(m)
+                free = max(free, direct(m))
+                offer(inner[m])
+        return spared
+
+    def kept(self) -> list[tuple[str, int, bool]]:
+        """``(text, characters inside links, inside article or main)`` per line that no marked element drops,
+        with WINDOW empty lines where what was dropped, or the edge of an article, parts blocks."""
+        spared = self.spared()
+        dropped = [0] * len(self.outer)  # the outermost element that drops it
+        for m in range(1, len(self.outer)):
+            dropped[m] = dropped[self.outer[m]] or (0 if m in spared else m)
+        out: list[tuple[str, int, bool]] = []
+        gap: set[int] = set()  # the containers of what was dropped since the last line
+        before, was_inside = 0, False
+        for text, linked, inside, container, mark in self.items:
+            if dropped[mark]:
+                gap.add(self.container[dropped[mark]])
+            elif text is None:
+                if linked == 0:
+                    gap.add(container)
+            else:
+                if inside != was_inside or gap and (gap != {before} or before != container):
+                    out.extend([("", 0, inside)] * WINDOW)
+                gap.clear()
+                before, was_inside = container, inside
+                out.append((text, linked, inside))
+        return out
+
+
+def lines_of(page: str) -> Lines:
+    """The page's lines; what elements drop by their name leaves a gap."""
+    found = Lines()
     now: list[str] = []
     linked = 0
-    links = inside = 0
-    open_: list[tuple[str, bool, int]] = []  # open elements that matter: (name, drops its content, number of its container)
-    n_containers = before = 0  # before: the container of the last line
-    was_inside = False
-    gap: set[int] = set()  # the containers of what was dropped since
-    n_open: Counter = Counter()
-    dropping = 0
+    links = inside = dropping = mark = 0
+    open_: list[tuple[str, bool, int, int]] = []  # open elements that matter: name, drops its content, container, mark around it
+    places: dict[str, list[int]] = defaultdict(list)  # where in them a name is
+    n_containers = 0
+    endless: set[str] = set()  # svg or math without any further end tag
 
     def end_line() -> None:
-        nonlocal linked, before, was_inside
+        nonlocal linked
         if now:
             text = SPACE.sub(" ", html.unescape("".join(now))).strip()
             if text:
-                here = open_[-1][2] if open_ else 0
-                if (inside > 0) != was_inside or gap and (gap != {before} or before != here):
-                    out.extend([("", 0, inside > 0)] * WINDOW)
-                gap.clear()
-                before, was_inside = here, inside > 0
-                out.append((text, linked, inside > 0))
+                found.items.append((text, linked, inside > 0, open_[-1][2] if open_ else 0, mark))
             now.clear()
             linked = 0
 
     def close(ends: frozenset, scope: frozenset, outermost: bool = True) -> None:
         """Close the outermost (or innermost) open element named in ``ends``, and all in it."""
-        nonlocal dropping, inside
-        found = None
-        if any(n_open[x] for x in ends):
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] in ends:
-                    found = i
-                    if not outermost:
-                        break
-                elif open_[i][0] in scope:
-                    break
-        while found is not None and len(open_) > found:
-            x, drops, _ = open_.pop()
-            n_open[x] -= 1
+        nonlocal dropping, inside, mark
+        here = [places[x] for x in ends if places[x]]
+        if not here:
+            return
+        bar = max((places[x][-1] for x in scope if x not in ends and places[x]), default=-1)
+        if outermost:
+            above = [p[bisect.bisect_right(p, bar)] for p in here if p[-1] > bar]
+            place = min(above, default=None)
+        else:
+            place = max(p[-1] for p in here)
+            place = place if place > bar else None
+        while place is not None and len(open_) > place:
+            x, drops, _, around = open_.pop()
+            places[x].pop()
             dropping -= drops
+            if around != mark:
+                end_line()
+                found.last[mark] = len(found.items)
+                mark = around
             if x in CONTENT and not drops and not dropping:
                 inside = max(0, inside - 1)
 
@@ -152,12 +245,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if not name:
             continue
         if not m.group(1):
-            if n_open["head"] and name not in HEAD_PARTS:
+            if places["head"] and name not in HEAD_PARTS:
                 close(HEAD, frozenset())
             if name in FOREIGN and m.group(3).endswith("/"):
                 continue
             if name in RAW:  # its content is no markup; it ends at its end tag
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                end = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                if not end:
+                    endless.add(name)
                 out_of = BREAKS_OUT.search(page, at) if not end and name in FOREIGN else None
                 at = end.end() if end else out_of.start() if out_of else n
                 continue
@@ -171,16 +266,26 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 now.append(" ")
             if name in VOID or m.group(3).endswith("/"):
                 continue
-            drops = name in DROPPED or (name == "header" and not inside) or (name not in ("html", "body") and name in _MARKABLE and bool(m.group(3)) and marked(m.group(3)))
+            drops = name in DROPPED or (name == "header" and not inside)
+            marks = not drops and not dropping and name in _MARKABLE and bool(m.group(3)) and marked(m.group(3))
+            container = open_[-1][2] if open_ else 0
+            if (drops or marks) and not dropping:
+                end_line()
             if drops:
                 if not dropping:
-                    end_line()
-                    gap.add(open_[-1][2] if open_ else 0)
+                    found.items.append((None, 0, inside > 0, container, mark))
                 dropping += 1
             if drops or name in TRACKED:
                 n_containers += name in CONTAINERS
-                open_.append((name, drops, n_containers if name in CONTAINERS else open_[-1][2] if open_ else 0))
-                n_open[name] += 1
+                places[name].append(len(open_))
+                open_.append((name, drops, n_containers if name in CONTAINERS else container, mark))
+            if marks:
+                mark = len(found.outer)
+                found.outer.append(open_[-1][3])
+                found.container.append(container)
+                found.first.append(len(found.items))
+                found.last.append(len(found.items))
+                found.items.append((None, -1, inside > 0, container, mark))  # a gap if it is dropped, however empty
             links += name == "a" and not dropping
             inside += name in CONTENT and not dropping
         else:
@@ -190,7 +295,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if name == "a" and not dropping:
                 links = max(0, links - 1)
     end_line()
-    return out
+    for _, _, _, around in reversed(open_):  # what was never closed
+        if around != mark:
+            found.last[mark], mark = len(found.items), around
+    return found
 
 
 _MARKABLE = frozenset("div section ul ol aside article main header nav footer form table span p blockquote dl figure details "
@@ -226,7 +334,7 @@ def keep(lines: list[tuple[str, int, bool]]) -> np.ndarray:
 
 
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
+    lines = lines_of(page or "").kept()
     return "\n".join(t for (t, _, _), k in zip(lines, keep(lines).tolist()) if k)
 
 

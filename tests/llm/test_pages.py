@@ -2,8 +2,10 @@
 
 import html
 import re
+import time
 
 import pandas as pd
+import pytest
 from helpers import SF
 
 from cadence.llm import html_text, warc_build
@@ -108,3 +110,39 @@ def test_warc_records(spark):
         exp["block"], exp["fields"] = bytes(exp["block"]), list(exp["fields"].items())
         assert got == exp
     assert sorted(r["record_id"] for r in made.collect()) == sorted(want)  # the same ids on each run
+
+
+SENTENCES = "This is a long sentence of the article, which says a lot of things about many topics. " * 3
+ARTICLE = f"<p>{SENTENCES}</p><p>{SENTENCES}</p><p>Short end.</p>"
+KEPT = [SENTENCES.strip()] * 2 + ["Short end."]
+LAYOUTS = {
+    "class of the layout": f'<div class="layout with-sidebar">{ARTICLE}<div class="sidebar"><p>Other things here</p></div></div>',
+    "class of the post": f'<main class="post comment-open">{ARTICLE}</main>',
+    "widgets in widgets": f'<div class="widget"><div class="promo"><article>{ARTICLE}</article></div><div class="related"><p>More of it</p></div></div>',
+    "names in camel case": f'<article>{ARTICLE}</article><div class="commentSection"><p>{SENTENCES}</p></div><div id="siteHeader">Slogan</div>',
+    "hidden": f'<article>{ARTICLE}</article><div style="color:red; display : none">{SENTENCES}</div><div hidden="">{SENTENCES}</div>',
+    "site header": f'<div class="site-header">Name and slogan</div><article>{ARTICLE}</article><ul class="pagination"><li>1</li></ul><div class="copyright">2020</div>',
+    "more comments than text": '<div class="sidebar-left"><div class="post">' + ARTICLE + '</div><div class="comments">'
+                               + f'<article class="comment"><p>{SENTENCES} {SENTENCES}</p></article>' * 5 + "</div></div>",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_marks_weigh_and_do_not_lose_the_page(name):
+    assert html_text.main_text(f"<html><body>{LAYOUTS[name]}</body></html>").split("\n") == KEPT
+
+
+def test_bounded_time():
+    start = time.process_time()
+    for unit in ("<p><div>", "<svg><p>x", '<div class="widget">text ', '<p class="ad"><li>x'):
+        html_text.main_text(unit * 40_000)
+    page = "<html><body><div class='widget'>" + ARTICLE * 9_300 + "</div></body></html>"
+    assert len(page) > 5_000_000 and html_text.main_text(page).count("\n") == 3 * 9_300 - 1
+    assert time.process_time() - start < 30
+
+
+def test_clashing_columns_and_odd_rows(spark):
+    rows = [(1, "u", f"<article>{ARTICLE}</article>", "x", 1), (1, None, None, "x", 2), (None, "u", "", "x", 3), (2, "v", "<b", None, None)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == sorted(
+        [("1", "\n".join(KEPT), len("\n".join(KEPT))), ("1", "", 0), ("None", "", 0), ("2", "", 0)])

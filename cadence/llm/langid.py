@@ -9,7 +9,7 @@ three, as overlapping trigrams are not independent). The prediction is the langu
 of the largest share, the score that share.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties between
-languages go to the alphabetically first. Rows with a null language are predicted,
+languages go to the alphabetically first. More than MAX_LANGUAGES languages are an error. Rows with a null language are predicted,
 never learned from; if there is nothing to learn from, every row is ``und``. Repeated
 rows get equal results; an empty table gives no rows; other columns are ignored.
 """
@@ -29,6 +29,8 @@ from cadence.llm.common import map_arrow, text_or_empty
 BUCKETS = 1 << 15
 #: Bound of the training sample: about so many distinct texts for each language, all if it has fewer.
 TRAIN_DOCS = 4000
+#: Bound of the languages learned: BUCKETS numbers each.
+MAX_LANGUAGES = 1000
 PENALTY, EM_STEPS, EM_STOP, OVERLAP = 1.0, 40, 1e-4, 3
 UNKNOWN = "und"
 
@@ -76,6 +78,8 @@ def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str],
         "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("digest"))
     have = {r["lang"]: r["n"] for r in labelled.groupBy("lang", "digest").agg(F.lit(1).alias("x")).groupBy("lang").agg(F.count("x").alias("n")).collect()}
     langs = sorted(have)
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"{len(langs)} language values; a model of at most {MAX_LANGUAGES} fits the driver")
     if not langs:
         return [], np.zeros((0, BUCKETS))
     rates = labelled.sparkSession.createDataFrame([(k, min(1.0, train_docs / have[k])) for k in langs], "lang string, rate double")
@@ -112,16 +116,18 @@ def infer(log_p: np.ndarray, grams: np.ndarray) -> np.ndarray:
     c = c[at].astype(np.float64)
     lp = log_p[:, at].T
     p = np.exp(lp - lp.max(axis=1, keepdims=True))
-    share, _ = mixture(p, c, np.full(k, 1 / k))
+    share, most = mixture(p, c, np.full(k, 1 / k))
     order = np.argsort(-share, kind="stable")
     best, best_cost = None, np.inf
+    penalty = PENALTY * np.log(max(c.sum() / OVERLAP, 2.0))
     for m in range(1, k + 1):
         chosen = order[:m]
-        if m > 1 and share[chosen[-1]] < 0.02:
+        # no set is likelier than all languages together, so from here on the penalty outweighs any gain
+        if m > 1 and (share[chosen[-1]] <= 0 or -2 * most / OVERLAP + penalty * (m - 1) >= best_cost):
             break
         part, ll = (np.ones(1), float(c @ np.log(np.maximum(p[:, chosen[0]], 1e-300)))) if m == 1 else \
             mixture(p[:, chosen], c, share[chosen] / share[chosen].sum())
-        cost = -2 * ll / OVERLAP + PENALTY * (m - 1) * np.log(max(c.sum() / OVERLAP, 2.0))
+        cost = -2 * ll / OVERLAP + penalty * (m - 1)
         if cost < best_cost:
             best, best_cost = np.zeros(k), cost
             best[chosen] = part

@@ -1,16 +1,16 @@
 """Secret scan with corpus-wide ownership frequency.
 
 One pass finds the candidate values of every text. Their hashes are then aggregated
-over the corpus by distinct owners: a value that several owners hold is a widely copied
-example, one that a single owner holds looks like that owner's live credential, in
-however many of its repositories it stands. A caller may bound the repositories too; a
-text that occurs in several of them then counts once. Only hashes, never values, leave
+over the corpus by distinct repositories and owners: a value that several owners hold is a widely
+copied example; one that a single owner holds looks like that owner's live credential, in
+however many of its repositories it stands, and so does one of which nearly all repositories are
+one owner's. A caller may bound the repositories too; a text that occurs in several of them then counts once. Only hashes, never values, leave
 the scan.
 
 Kinds: ``assign``, ``access`` and ``hex`` are given patterns and always reported.
 ``opaque`` candidates (long mixed tokens outside the others' spans) are reported only
 where ownership says live. A hash held by a third of the corpus is counted by partial
-aggregation first, per (hash, owner), (hash, text) and (hash, repository); the join that brings the
+aggregation first, per (hash, owner, repository), and per (hash, text) where repositories are bounded; the join that brings the
 verdicts back is an equi-join that Spark may split on skew.
 
 Null texts are empty and have no spans. A null repository or owner counts as one
@@ -40,6 +40,8 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 #: An opaque candidate: this long, with a digit and letters of both cases.
 OPAQUE = re.compile(r"[A-Za-z0-9+/_-]{24,}")
 MAX_OWNERS = 1
+#: Or one owner's share of the repositories that hold a value, from which on it is that owner's own.
+OWNER_SHARE = 0.9
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -96,24 +98,29 @@ def _of_kind(i: int):
     return lambda span: span["kind"] == i
 
 
-def live_values(found: DataFrame, max_owners: int, max_repos: int | None) -> DataFrame:
-    """Per value hash: ``live``, whether few enough owners (and repositories, if bounded) hold it."""
-    def distinct(rows: DataFrame, col: str, most: int) -> DataFrame:
-        return rows.groupBy("value", col).agg(F.lit(1).alias("x")).groupBy("value").agg((F.count("x") <= most).alias("live"))
-    owners = distinct(found, "owner", max_owners)
+def live_values(found: DataFrame, max_owners: int, max_repos: int | None, owner_share: float = OWNER_SHARE) -> DataFrame:
+    """Per value hash: ``n_owners`` and ``n_repos``, the distinct owners and repositories that hold it, and ``live``:
+    whether it is some owner's own. That is so where few enough owners hold it, or where one owner's repositories are
+    at least ``owner_share`` of all that do. With ``max_repos`` there must be few repositories too (copies of a text count once)."""
+    once = found.groupBy("value", "owner", "repo").agg(F.lit(1).alias("x"))
+    own = once.groupBy("value", "owner").agg(F.count("x").alias("n"))
+    held = own.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repos"), F.max("n").alias("most"))
+    live = (F.col("n_owners") <= max_owners) | (F.col("most") >= F.lit(owner_share) * F.col("n_repos"))
+    held = held.select("value", "n_owners", "n_repos", live.alias("live"))
     if max_repos is None:
-        return owners
-    once = found.groupBy("value", "text_sha256").agg(F.min("repo").alias("repo"))
-    repos = distinct(once, "repo", max_repos).withColumnRenamed("live", "few")
-    return owners.join(repos, "value").select("value", (F.col("live") & F.col("few")).alias("live"))
+        return held
+    texts = found.groupBy("value", "text_sha256").agg(F.min("repo").alias("repo")).groupBy("value", "repo").agg(F.lit(1).alias("x"))
+    few = texts.groupBy("value").agg((F.count("x") <= max_repos).alias("few"))
+    return held.join(few, "value").withColumn("live", F.col("live") & F.col("few")).drop("few")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id",
-         owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repos: int | None = None) -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied.
+         owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repos: int | None = None,
+         owner_share: float = OWNER_SHARE) -> DataFrame:
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, n_owners, n_repos.
 
-    ``n_live`` counts the spans whose value at most ``max_owners`` owners (and
-    ``max_repos`` repositories, if given) hold, ``n_copied`` those held by more."""
+    ``n_live`` counts the spans whose value is an owner's own (:func:`live_values`), ``n_copied`` the
+    others; ``n_owners`` and ``n_repos`` are those of the most widely held value reported (0 without any)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(repo_col).cast("string").alias("repo"),
                        F.col(owner_col).cast("string").alias("owner"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -121,9 +128,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
                                             f"base_sha256 string, text_sha256 string, found {_FOUND_SQL}"))
     held = ["part", "row", "repo", "owner", "text_sha256"]
     each = scanned.select(*held, F.explode("found").alias("f")).select(*held, "f.*")
-    live = live_values(each, max_owners, max_repos)
+    live = live_values(each, max_owners, max_repos, owner_share)
     judged = each.join(live, "value").where(F.col("live") | (F.col("kind") < 3)).groupBy("part", "row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("s"))  # one document's spans
+        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("s"),  # one document's spans
+        F.max("n_owners").alias("n_owners"), F.max("n_repos").alias("n_repos"))
     text = F.array_join(F.transform("s", lambda x: F.concat_ws(
         ":", F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
     out = scanned.join(judged, ["part", "row"], "left")
@@ -132,7 +140,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     return out.withColumn("s", zero).select(
         "doc_id", *[count(_of_kind(i)).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])],
         "base_sha256", text.alias("spans"), count(lambda x: x["live"]).alias("n_live"),
-        count(lambda x: ~x["live"]).alias("n_copied"))
+        count(lambda x: ~x["live"]).alias("n_copied"), *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_owners", "n_repos")])
 
 
 REDACTED = "[redacted]"
@@ -160,7 +168,7 @@ def _redact(text_at: int, spans_at: int, chars_at: int | None):
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", chars_col: str = "n_chars",
-           max_owners: int = MAX_OWNERS, max_repos: int | None = None) -> DataFrame:
+           max_owners: int = MAX_OWNERS, max_repos: int | None = None, owner_share: float = OWNER_SHARE) -> DataFrame:
     """``docs`` with every live-looking span replaced, all columns else as they are (``chars_col``,
     where there is one, follows the text). Rows meet their spans by the text's digest, as
     equal texts have equal spans and values."""
@@ -169,7 +177,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     found = map_arrow(rows, _scan, f"doc_id string, repo string, owner string, part int, row bigint, base_sha256 string, text_sha256 string, found {_FOUND_SQL}")
     held = ["doc_id", "repo", "owner", "text_sha256"]
     each = stored(found.where(F.size("found") > 0)).select(*held, F.explode("found").alias("f")).select(*held, "f.*")
-    live = live_values(each, max_owners, max_repos).where("live").select("value")
+    live = live_values(each, max_owners, max_repos, owner_share).where("live").select("value")
     spans = each.select("doc_id", "start", "end", "value").distinct().join(live, "value").groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     marked = docs.withColumn("__digest", F.sha2(text_or_empty(text_col), 256))

@@ -109,3 +109,44 @@ def test_rare_languages_and_copies_are_learned(spark):
         assert np.mean(right) > 0.8, k
     alone = langid.learn(few.where("lang = 'de'"), train_docs=100)[1]
     assert np.allclose(alone, langid.learn(copies.where("lang = 'de'"), train_docs=100)[1])  # copies add nothing
+
+
+def test_values_against_a_plain_count_of_the_whole_table(spark):
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    spans = {}
+    for r in docs.itertuples():
+        base = secret_scan.base_spans(r.text or "")
+        spans[r.doc_id] = sorted(base + secret_scan.opaque_spans(r.text or "", base))
+    holders: dict = {}
+    for r in docs.itertuples():
+        for *_, v in spans[r.doc_id]:
+            holders.setdefault(v, set()).add((r.source, r.doc_id))
+    owners = {v: len({o for o, _ in h}) for v, h in holders.items()}
+    most = {v: max(sum(x == o for x, _ in h) for o, _ in h) for v, h in holders.items()}
+    live = {v: owners[v] <= 1 or most[v] >= 0.9 * len(holders[v]) for v in holders}
+    got = {r["doc_id"]: r for r in secret_scan.scan(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    assert len(got) == len(docs) and any(live.values()) and not all(live.values())
+    for r in docs.itertuples():
+        told = [s for s in spans[r.doc_id] if s[1] < 3 or live[s[3]]]
+        x = got[r.doc_id]
+        assert x["spans"] == ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e, _ in told)
+        assert (x["n_live"], x["n_copied"]) == (sum(live[v] for *_, v in told), sum(not live[v] for *_, v in told))
+        assert (x["n_owners"], x["n_repos"]) == (max((owners[v] for *_, v in told), default=0), max((len(holders[v]) for *_, v in told), default=0))
+
+
+def test_one_owner_with_nearly_all_repositories(spark):
+    rows = [(i, f"token = abcdefgh{i % 2}", "a") for i in range(40)] + [(50, "token = abcdefgh0", "b")] + [(60 + i, "token = abcdefgh1", "c") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secret_scan.scan(df).collect()}
+    assert (got[0]["n_live"], got[0]["n_owners"], got[0]["n_repos"]) == (1, 2, 21)  # 20 of 21 are one owner's
+    assert (got[1]["n_live"], got[1]["n_copied"], got[1]["n_repos"]) == (0, 1, 29)
+
+
+def test_a_small_share_of_a_long_text_is_kept(spark):
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    langs, log_p = langid.learn(spark.createDataFrame(docs[["text", "lang"]]))
+    one = {k: " ".join(docs.text[docs.lang == k].dropna()) for k in ("en", "fr")}
+    for n_en, n_fr in ((100_000, 3_000), (300_000, 4_500)):
+        text = (one["en"] * 9)[:n_en] + " " + (one["fr"] * 2)[:n_fr]
+        share = dict(zip(langs, langid.infer(log_p, langid.trigrams(text))))
+        assert abs(share["fr"] - n_fr / (n_en + n_fr)) < 0.01 and share["fr"] > 0

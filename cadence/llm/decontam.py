@@ -9,8 +9,13 @@ is an overlap; the one with the most equal tokens is reported. So a passage is f
 though single words were replaced. The masks follow from the two thresholds and miss
 no such segment (``seed_weight``).
 
-The benchmark is the stated query set: it is read in blocks of bounded size (by hash
-of the item), each broadcast and held against all documents. Items shorter than a
+Hits that follow one another on a diagonal are one: a hit is looked up only where the one
+before it on its diagonal is none, so a word or phrase repeated in text and item gives
+hits by the sum of their lengths, not by the product. Positions are taken in portions of
+bounded hits, and an item is done with once no diagonal can beat the best one found.
+
+The benchmark is the stated query set: its distinct texts are read in blocks (by hash), each
+broadcast and held against all documents; the ids of items are joined to the hits. Items shorter than a
 mask use contiguous windows of their own length. Null and empty texts match nothing,
 nor do items without words. Repeated rows each get their result, repeated items are
 reported each. Ties between segments go to the leftmost. Empty tables give no rows.
@@ -37,6 +42,10 @@ MOST_WEIGHT = 8
 #: Characters of benchmark text in a broadcast block.
 BLOCK_CHARS = 8_000_000
 FILTER_BITS = 20
+#: Hits expanded at a time.
+PORTION = 1 << 21
+#: Stands for the seed before the first.
+NONE = np.zeros(1, U)
 SLICE_CHARS = 1 << 20
 
 
@@ -104,35 +113,62 @@ class Index:
                    if len(w) > positions[-1] and (number < 100 or len(w) == number - 100)]
             if own:
                 h = np.concatenate([s for _, s in own])
+                before = np.concatenate([np.concatenate([NONE, s[:-1]]) for _, s in own])
                 item = np.repeat([k for k, _ in own], [len(s) for _, s in own])
                 at = np.concatenate([np.arange(len(s)) for _, s in own])
-                order = np.argsort(h, kind="stable")
+                order = np.lexsort((before, h))
+                h, before = h[order], before[order]
+                # entries by hash, and by the hash before them: (hash, hash before) as one rising number
+                kinds, group = np.unique(before), np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+                pair = group * (len(kinds) + 1) + np.searchsorted(kinds, before)
                 bits = np.zeros(1 << FILTER_BITS, bool)
                 bits[(h >> U(64 - FILTER_BITS)).astype(np.int64)] = True
-                self.table[number] = (h[order], item[order], at[order], bits)
+                self.table[number] = (h, item[order], at[order], bits, kinds, group, pair)
 
     def diagonals(self, hashes: np.ndarray) -> np.ndarray:
-        """Distinct ``(position of a hit, item, document position - item position)`` in a word sequence."""
-        out = []
-        for number, (h, item, at, bits) in self.table.items():
+        """Distinct ``(item, document position - item position)`` on which a word sequence has a hit."""
+        out, longest = np.zeros(0, np.int64), max(map(len, self.words), default=0)
+        wide = len(hashes) + longest + 1  # a diagonal and its item as one number
+        for number, (h, item, at, bits, kinds, group, pair) in self.table.items():
             s = seeds(hashes, number, self.masks[number])
             pos = np.flatnonzero(bits[(s >> U(64 - FILTER_BITS)).astype(np.int64)])
             lo, hi = np.searchsorted(h, s[pos]), np.searchsorted(h, s[pos], side="right")
-            n = hi - lo
-            if n.any():
-                to = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                p = np.repeat(pos, n)
-                out.append(np.stack([item[to], p - at[to]], axis=1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            pos, lo, hi = pos[hi > lo], lo[hi > lo], hi[hi > lo]
+            if not len(pos):
+                continue
+            # of these, the entries whose own predecessor equals the text's go on a hit that is known
+            prior = np.where(pos > 0, s[np.maximum(pos - 1, 0)], NONE)
+            kind = np.searchsorted(kinds, prior)
+            known = (pos > 0) & (kinds[np.minimum(kind, len(kinds) - 1)] == prior) & (kind < len(kinds))
+            key = group[lo] * (len(kinds) + 1) + kind
+            skip = np.where(known, np.searchsorted(pair, key), lo)
+            upto = np.where(known, np.searchsorted(pair, key, side="right"), lo)
+            first, size = np.concatenate([lo, upto]), np.concatenate([skip - lo, hi - upto])
+            p = np.concatenate([pos, pos])
+            p, first, size = p[size > 0], first[size > 0], size[size > 0]
+            done = np.concatenate([[0], np.cumsum(size)])
+            for a, z in _portions(done):
+                n = size[a:z]
+                to = np.repeat(first[a:z], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                out = np.unique(np.concatenate([out, item[to] * wide + np.repeat(p[a:z], n) - at[to] + longest]))
+        return np.stack([out // wide, out % wide - longest], axis=1)
 
     def overlaps(self, hashes: np.ndarray, lo: int, hi: int, diagonals: np.ndarray) -> Iterator[tuple]:
-        """Verified ``(item id, equal, aligned, start)`` in the document of words lo to hi, the best of each item."""
+        """Verified ``(item, equal, aligned, start)`` in the document of words lo to hi, the best of each item."""
         best: dict = {}
+        own, most = np.unique(hashes[lo:hi]), {}
         for k, d in diagonals.tolist():
+            reach = best.get(k, (0,))[0]
+            if reach and most[k] <= reach:
+                continue
             w = self.words[k]
+            if k not in most:  # no diagonal has more equal tokens than the item has words that the document holds
+                most[k] = int(np.isin(w, own).sum())
             a, b = max(lo, d), min(hi, d + len(w))
+            if b - a <= reach:
+                continue
             found = segment(hashes[a:b] == w[a - d:b - d], self.identity)
-            if found[0] >= max(1, min(self.min_tokens, len(w))) and found[0] > best.get(k, (0,))[0]:
+            if found[0] >= max(1, min(self.min_tokens, len(w))) and found[0] > reach:
                 best[k] = (found[0], found[1], a + found[2] - lo)
         for k, x in sorted(best.items()):
             yield (k, *x)
@@ -154,27 +190,41 @@ class Index:
                     yield (t0 + t, *found)
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, min_tokens: int = MIN_TOKENS, identity: float = IDENTITY,
+def _portions(done: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of entries of about PORTION hits together, from the running count of hits."""
+    a = 0
+    while a < len(done) - 1:
+        z = max(a + 1, int(np.searchsorted(done, done[a] + PORTION, side="right")) - 1)
+        yield a, z
+        a = z
+
+
+def _item_key(text_col):
+    return F.sha2(text_col, 256)
+
+
+def blocks(benchmark: DataFrame, text_col: str, min_tokens: int = MIN_TOKENS, identity: float = IDENTITY,
            block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
-    """Indexes of the benchmark, block by block; one block is on the driver at a time."""
-    items = benchmark.select(F.col(id_col).alias("item_id"), text_or_empty(text_col).alias("text"))
+    """Indexes of the benchmark's distinct texts by their SHA-256, block by block. Copies of a text count
+    once, so a block has about ``block_chars`` characters, or those of one longer text."""
+    items = benchmark.select(text_or_empty(text_col).alias("text")).distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n = int(total // block_chars) + 1
+    n = int(2 * total // block_chars) + 1
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).select(_item_key(F.col("text")).alias("k"), "text").orderBy("k").collect()
         if part:
-            yield Index([(r["item_id"], r["text"]) for r in part], min_tokens, identity)
+            yield Index([(r["k"], r["text"]) for r in part], min_tokens, identity)
 
 
-def _find(shared, id_type: pa.DataType):
+def _find(shared):
     def run(batches):
         index = shared.value
         for b in batches:
             rows = list(index.hits(b.column("text").to_pylist()))
             c = np.asarray(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(c[:, 0])), pa.array([index.ids[i] for i in c[:, 1]], id_type),
-                 *[pa.array(c[:, i]) for i in (2, 3, 4)]], ["doc_id", "item_id", "n_equal", "n_aligned", "start_word"])
+                [b.column("doc_id").take(pa.array(c[:, 0])), pa.array([index.ids[i] for i in c[:, 1]], pa.string()),
+                 *[pa.array(c[:, i]) for i in (2, 3, 4)]], ["doc_id", "__item", "n_equal", "n_aligned", "start_word"])
     return run
 
 
@@ -183,17 +233,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   identity: float = IDENTITY, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per contaminated row and item: doc_id, item_id, n_equal, n_aligned, start_word (of the best segment)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item_id"))
-    sql = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, "
-           "n_equal bigint, n_aligned bigint, start_word bigint")
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type, out = to_arrow_type(items.schema["item_id"].dataType), None
-    for index in blocks(benchmark, item_col, item_text_col, min_tokens, identity, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-        one = map_arrow(rows, _find(shared, id_type), sql)
-        out = one if out is None else out.unionByName(one)
-    return docs.sparkSession.createDataFrame([], sql) if out is None else out
+    items = benchmark.select(F.col(item_col).alias("item_id"), _item_key(text_or_empty(item_text_col)).alias("__item"))
+    sql = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, __item string, n_equal bigint, n_aligned bigint, start_word bigint"
+    out = docs.sparkSession.createDataFrame([], sql)
+    for index in blocks(benchmark, item_text_col, min_tokens, identity, block_chars):
+        out = out.unionByName(map_arrow(rows, _find(docs.sparkSession.sparkContext.broadcast(index)), sql))
+    return out.join(items, "__item").select("doc_id", "item_id", "n_equal", "n_aligned", "start_word")
 
 
 def _clean(shared, column: int):
@@ -210,7 +255,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that overlap with an item; all columns as they are."""
     out = docs
-    for index in blocks(benchmark, item_col, item_text_col, min_tokens, identity, block_chars):
+    for index in blocks(benchmark, item_text_col, min_tokens, identity, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         out = map_arrow(out, _clean(shared, docs.columns.index(text_col)), docs.schema)
     return out

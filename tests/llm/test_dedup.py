@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -225,3 +226,36 @@ def test_masks_miss_no_pattern(need, identity):
         if not todo:
             break
     assert not todo  # no better pattern is left: the proof is complete
+
+
+def test_repeated_words_cost_their_lengths(spark):
+    start = time.process_time()
+    for item, doc, want in (("a " * 2000, "a " * 200_000, (2000, 2000, 0)), ("a " * 1990 + "b " * 10, "a " * 200_000, (1990, 1990, 0)),
+                            ("a b c " * 700, "a b c " * 60_000, (2100, 2100, 0))):
+        assert [h[2:] for h in decontam.Index([(1, item)]).hits([doc])] == [want]
+    assert time.process_time() - start < 60
+
+
+def test_hits_equal_all_diagonals():
+    r = random.Random(4)
+    for _ in range(120):
+        vocabulary = [f"w{i}" for i in range(r.choice([1, 2, 3, 9]))]
+        def text(n):  # noqa: E306
+            period = [r.choice(vocabulary) for _ in range(r.randint(1, 4))]
+            return " ".join((period * n)[:n] if r.random() < 0.4 else [r.choice(vocabulary) for _ in range(n)])
+        items, docs = [(i, text(r.choice([0, 3, 13, 50]))) for i in range(2)], [text(r.choice([0, 4, 40, 90])) for _ in range(3)]
+        index, want = decontam.Index(items), []
+        for t, doc in enumerate(docs):
+            hashes = decontam.wordhash.words([doc])[0]
+            every = np.asarray([(k, d) for k, w in enumerate(index.words) for d in range(-len(w) + 1, len(hashes))], np.int64).reshape(-1, 2)
+            want += [(t, *x) for x in index.overlaps(hashes, 0, len(hashes), every)]
+        assert sorted(index.hits(docs)) == sorted(want)
+
+
+def test_a_benchmark_that_repeats_one_item(spark):
+    items = [(i, words(40, 7)) for i in range(40)] + [(100 + i, words(40, 300 + i)) for i in range(20)]
+    docs = spark.createDataFrame([(1, "x " + words(40, 7) + " y"), (2, words(40, 303)), (3, words(90, 9))], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (8_000_000, 500):
+        got = sorted((x["doc_id"], x["item_id"]) for x in decontam.find_overlaps(docs, bench, block_chars=block).collect())
+        assert got == [(1, i) for i in range(40)] + [(2, 103)]

@@ -1,8 +1,10 @@
 """Main text against a brute-force reading of the test pages; WARC round trips."""
 
+import gzip
 import html
 import re
 import time
+import zlib
 
 import pandas as pd
 import pytest
@@ -146,3 +148,48 @@ def test_clashing_columns_and_odd_rows(spark):
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == sorted(
         [("1", "\n".join(KEPT), len("\n".join(KEPT))), ("1", "", 0), ("None", "", 0), ("2", "", 0)])
+
+
+def stored_response(head, body, uri="http://x/"):
+    block = f"HTTP/1.1 200 OK\r\n{head}\r\n\r\n".encode() + body
+    return warc_build.record("response", "<urn:uuid:1>", None, uri, warc_build.DATE, "application/http; msgtype=response",
+                             warc_build.digest(body), block, {"WARC-IP-Address": "0.0.0.0"})
+
+
+def conversion(head, body):
+    return warc_build.derive(stored_response(head, body))[1]["block"].decode()
+
+
+def test_conversion_reads_charsets_and_codings():
+    page = "<p>café au lait</p><p>naïve</p>"
+    want = "café au lait\nnaïve"
+    latin, utf8 = page.encode("latin-1"), page.encode()
+    assert conversion("Content-Type: text/html; charset=iso-8859-1", latin) == want
+    assert conversion("content-type: text/html", b'<meta charset="windows-1252">' + latin) == want
+    assert conversion("Content-Type: text/html; charset=no-such", utf8) == conversion("X: y", utf8) == want
+    chunks = b"".join(b"%x;n=1\r\n%s\r\n" % (len(c), c) for c in (utf8[:9], utf8[9:10], utf8[10:])) + b"0\r\n\r\n"
+    assert conversion("Transfer-Encoding: chunked", chunks) == want
+    for packed in (gzip.compress(utf8), zlib.compress(utf8)):
+        assert conversion("Content-Encoding: " + ("gzip" if packed[:2] == b"\x1f\x8b" else "deflate"), packed) == want
+    assert conversion("Content-Encoding: gzip\r\nTransfer-Encoding: chunked", b"zz\r\nno chunk") == "zz\nno chunk"
+
+
+def test_odd_urls_make_no_headers(spark):
+    url = "http://x/a\r\nWARC-Type: forged\r\n\r\nb: c\x00"
+    rows = spark.createDataFrame([(1, url, "<p>t</p>", "k", "d")], "page_id long, url string, html string, record_id string, fields string")
+    made = warc_build.responses(rows)
+    for records in (made, warc_build.derivatives(made)):
+        data = b"".join(bytes(r["warc"]) for r in warc_build.warc_bytes(records).collect())
+        for r in warc_build.parse(data):
+            assert r["target_uri"] == "http://x/a%0D%0AWARC-Type: forged%0D%0A%0D%0Ab: c%00" and r["record_type"] != "forged"
+            assert r["block_digest"] == warc_build.digest(r["block"])
+    source = made.first()["payload_digest"]
+    for r in warc_build.derivatives(made).collect():
+        head = gzip.decompress(warc_build.write(r.asDict())).partition(b"\r\n\r\n")[0].decode().split("\r\n")
+        assert f"WARC-Payload-Digest: {warc_build.digest(bytes(r['block']))}" in head and f"Source-Payload-Digest: {source}" in head
+
+
+def test_a_long_body(spark):
+    rows = spark.createDataFrame([(1, "u", "<p>" + "some words " * 300_000 + "</p>")], "page_id long, url string, html string")
+    got = [r for r in warc_build.derivatives(warc_build.responses(rows)).collect() if r["record_type"] == "conversion"]
+    assert len(got) == 1 and got[0]["content_length"] == 11 * 300_000 - 1

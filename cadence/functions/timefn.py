@@ -92,7 +92,8 @@ def to_utc(local, offset=None, tz: str | None = None) -> Column:
 
     * ``offset`` column (day-time interval) when the source gives one,
     * else ``tz`` (a zone id, so each event gets the offset of its own instant,
-      right across a daylight-saving change),
+      right across a daylight-saving change; a local time that a clock change skips
+      counts from before the change, of one that comes twice the first is taken),
     * else the local time is taken as UTC.
     """
     if offset is not None:

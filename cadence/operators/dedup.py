@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(cols) -> list[str]:
@@ -32,6 +33,14 @@ def _total_order(df: DataFrame, key: list[str], order: Sequence, descending: boo
     return [c.asc_nulls_first() for c in cols]
 
 
+def _narrow(df: DataFrame, k: str) -> Column:
+    """``k`` as it is compared: a text beyond 64 characters (a list of links may have 65,000)
+    by its SHA-256, so that stored keys are shuffled and sorted as digests."""
+    if not isinstance(df.schema[k].dataType, T.StringType):
+        return F.col(k)
+    return F.when(F.length(k) > 64, F.concat(F.lit("#"), F.sha2(F.col(k), 256))).otherwise(F.col(k))
+
+
 def pick_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence = (),
                  last: bool = False) -> DataFrame:
     """One row per key: the first (or last) in ``order``.
@@ -40,17 +49,17 @@ def pick_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence = (),
     so a hot key sends one row per map partition, not all of its rows.
     """
     key = _cols(key)
-    w = Window.partitionBy(*key).orderBy(*_total_order(df, key, order, last))
+    w = Window.partitionBy(*[_narrow(df, k) for k in key]).orderBy(*_total_order(df, key, order, last))
     return df.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick")
 
 
 def anti_join_keys(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key (NULL-safe) does not occur in ``other``."""
     key = _cols(key)
-    o = other.select(*[F.col(k).alias(f"_ak_{i}") for i, k in enumerate(key)])
+    o = other.select(*[_narrow(other, k).alias(f"_ak_{i}") for i, k in enumerate(key)])
     cond = None
     for i, k in enumerate(key):
-        c = F.col(k).eqNullSafe(F.col(f"_ak_{i}"))
+        c = _narrow(df, k).eqNullSafe(F.col(f"_ak_{i}"))
         cond = c if cond is None else cond & c
     return df.join(o, cond, "left_anti")
 

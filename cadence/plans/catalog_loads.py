@@ -330,6 +330,20 @@ def q_utc_zone(spark, d):
                     to_utc("o_orderdate", tz="America/New_York").alias("utc_datetime"))
 
 
+@register("utc_zone_hours", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_shipdate + to_minutes(l_linenumber * 30) AS t FROM lineitem),
+u AS (SELECT *, (t AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS u FROM l)
+SELECT l_orderkey, l_linenumber, t AS local_datetime,
+       CASE WHEN ((u - INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' = t THEN u - INTERVAL 1 HOUR ELSE u END AS utc_datetime
+FROM u""")
+def q_utc_zone_hours(spark, d):
+    """Half hours of the night, clock changes included: an hour that the clock skips counts from before the
+    change, of an hour that comes twice the first one is taken."""
+    t = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_linenumber") * 30)
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", t.alias("local_datetime"))
+    return li.withColumn("utc_datetime", to_utc("local_datetime", tz="America/New_York"))
+
+
 # ------------------------------------------------------------------ conform
 
 @register("conform_left_default", f"""

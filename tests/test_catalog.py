@@ -55,8 +55,8 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# a whole job's plan is that of reading its stored result
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.endswith("_job_run")))
+# a whole job's plan is that of reading its stored result (and running it again takes minutes)
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.endswith(("_job_run", "_job_zone", "_job_late_facts"))))
 def test_plan_has_no_nested_loop_or_python(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan

@@ -104,3 +104,15 @@ def test_component_matched_with_its_product(spark):
     assert sorted(r.component_key for r in as_written.collect()) == [10, 11]          # fan-out, as written
     scoped = bugs.conform_facts(raw, contributor, cal, status, product, component, component_by_product=True)
     assert [r.component_key for r in scoped.collect()] == [10]
+
+
+def test_long_keys_are_compared_by_digest(spark):
+    from cadence.operators.dedup import insert_if_absent, pick_per_key
+
+    a, b = "x" * 70_000, "x" * 69_999 + "y"
+    stored = spark.createDataFrame([(1, a, "s"), (2, None, "s")], "k long, c string, v string")
+    batch = spark.createDataFrame([(1, a, "n"), (1, b, "n"), (1, b, "o"), (2, None, "n"), (2, "", "n"), (2, "x", "n")], "k long, c string, v string")
+    assert sorted((r.k, len(r.c), r.v) for r in insert_if_absent(stored, batch, ["k", "c"]).collect()) == [(1, 70_000, "n"), (2, 0, "n"), (2, 1, "n")]
+    assert pick_per_key(batch, ["k", "c"]).count() == 5
+    plan = insert_if_absent(stored, batch, ["k", "c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "sha2" in plan

@@ -84,3 +84,14 @@ def test_text_helpers(spark):
     assert [r.s for r in df.where(literal_contains("s", "review+")).collect()] == ["review+"]
     # the regular expression review+ ("revie" then one or more "w") matches all three
     assert df.where(regex_contains("s", "review+")).count() == 3
+
+
+def test_zone_at_clock_changes(spark):
+    rows = [("2014-03-09 01:30:00", "2014-03-09 06:30:00"), ("2014-03-09 02:30:00", "2014-03-09 07:30:00"),   # 02:30 does not exist
+            ("2014-03-09 03:00:00", "2014-03-09 07:00:00"), ("2014-11-02 00:30:00", "2014-11-02 04:30:00"),
+            ("2014-11-02 01:30:00", "2014-11-02 05:30:00"), ("2014-11-02 02:00:00", "2014-11-02 07:00:00")]   # 01:30 comes twice
+    df = spark.createDataFrame([(ts(a), ts(b)) for a, b in rows], "a timestamp_ntz, b timestamp_ntz")
+    from cadence.functions.timefn import add_offset, offset_column, to_utc
+
+    got = df.select(to_utc("a", tz="America/New_York").alias("x"), add_offset("a", offset_column("a", "America/New_York")).alias("y"), "b").collect()
+    assert all(r.x == r.y == r.b for r in got)

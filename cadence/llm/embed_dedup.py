@@ -3,10 +3,11 @@
 Vectors are scaled to length one and rotated into the principal axes of a bounded
 sample, so that the first coordinates differ most between unlike vectors. Within a
 label the distinct vectors are ordered along the first axes: the label is cut into
-cells along the first axis, a cell into tiles of at most TILE vectors along the second
-(cells by a fixed width, so that a cell can only have partners in itself and the next
-one). A pair of tiles is compared only if the boxes of their leading coordinates come
-close enough. Inside a pair, products are accumulated block of dimensions by block:
+cells along the first axis and a cell into strips along the second, both by a fixed
+width, so that a strip can only have partners in itself and its neighbours. A strip is
+dealt by hash to tiles of about TILE vectors; a pair of tiles sends both to one task, so
+larger tiles send less for the same products. A pair is compared only if the boxes of
+the tiles' leading coordinates come close enough. Inside a pair, products are accumulated block of dimensions by block:
 the rest is bounded by the product of the suffix norms, and what cannot reach the
 threshold any more stops. What remains is decided by the cosine in double precision of
 the vectors as given.
@@ -32,7 +33,7 @@ from cadence.llm.common import map_arrow, stored
 from cadence.llm.components import components
 
 THRESHOLD = 0.98
-TILE = 256
+TILE = 1024
 #: Bound of the sample that the axes are computed from.
 SAMPLE = 4096
 #: Dimensions accumulated at a time, and leading dimensions that a tile's box bounds.
@@ -171,7 +172,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     s = per.schema
     led = map_arrow(per, _rotate(rot, reach), f"label {s['label'].dataType.simpleString()}, v array<double>, copies bigint, "
                     f"least {s['least'].dataType.simpleString()}, dim int, node bigint, lead array<double>, cell int")
-    # tiles of a cell: cut along the second axis, then evenly within a strip by the third
+    # strips of a cell: cut along the second axis, then dealt evenly to tiles
     led = led.withColumn("strip", F.floor(F.coalesce(F.get("lead", F.lit(1)), F.lit(0.0)) / reach).cast("int"))
     strip = ["label", "dim", "cell", "strip"]
     by_strip = led.groupBy(*strip).agg(F.count("*").alias("m"))

@@ -12,6 +12,24 @@ def broadcast_bounded(df: DataFrame, known_rows: int, max_rows: int = 100_000) -
     return F.broadcast(df) if known_rows <= max_rows else df
 
 
+def broadcast_counted(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``dim`` if it has at most ``max_rows`` rows, which a count that stops there tells.
+
+    For facts joined with a dimension of few keys. By its estimates Spark may broadcast the facts
+    instead, or deal them by the dim's key, and keeps that for the steps after the join:
+    all facts are then worked on in as many tasks as the dimension has keys, or in one.
+    """
+    return broadcast_bounded(dim, dim.limit(max_rows + 1).count(), max_rows)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df``, which grows with the facts, for a join that deals both sides by their keys.
+
+    Below Spark's broadcast threshold such a table would go whole through the driver, in
+    each join of a job again, and more of it with every load."""
+    return df.hint("merge")
+
+
 def lookup_const(dim: DataFrame, name_col: str, name: str, value_col: str, ignore_case: bool = False) -> Column:
     """Key of the dim row whose ``name_col`` equals ``name``, as a scalar subquery.
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from cadence.functions.timefn import YEAR, Span, shift_back
 from cadence.operators.hop import Mondays, calendar_mondays, first_monday_at_or_after
-from cadence.operators.dedup import insert_if_absent
+from cadence.operators.dedup import anti_join_keys
+from cadence.operators.joins import broadcast_bounded, dealt
 from cadence.operators.keys import semi_join_keys
 from cadence.plans.common import CALENDAR, CONTRIBUTOR_FACTS, stored_between
 from cadence.plans.snapshot import SNAPSHOT_KEY, active_snapshot, flag_new
@@ -100,11 +101,14 @@ def snapshot_window(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim:
         return flag_new(new, span)
     reached = shift_back(F.col("c_date"), span) <= F.lit(mondays.last)
     history = history.where((F.col("c_date") >= shift_back(F.lit(mondays.first), span)) & reached)
-    rows = history.unionByName(insert_if_absent(history, new.withColumn("is_new", F.lit(None).cast("int")), SNAPSHOT_KEY))
+    # ``new`` has one row a key already: no need to sort all its rows for the first of each
+    rows = history.unionByName(anti_join_keys(new.withColumn("is_new", F.lit(None).cast("int")), dealt(history), SNAPSHOT_KEY))
     flagged = flag_new(rows.withColumnRenamed("is_new", "_was"), span)
     flagged = flagged.where(F.col("c_date") >= F.lit(mondays.first))
     changed = flagged.where(~F.col("_was").eqNullSafe(F.col("is_new"))).select("c_date").distinct()
-    return semi_join_keys(flagged, changed, ["c_date"]).drop("_was")
+    # at most a date a week, but millions of rows a date
+    weeks = (ends[1] - mondays.first).days // 7 + 1
+    return semi_join_keys(flagged, broadcast_bounded(changed, known_rows=weeks), ["c_date"]).drop("_was")
 
 
 def run(wh: Warehouse, lo, hi, conversion_dim: DataFrame, team_dim: DataFrame, source_dim: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.timefn import YEAR, Span
 from cadence.operators.hop import AS_OF, Mondays
+from cadence.operators.joins import broadcast_counted
 from cadence.operators.windows import first_time_flag, trailing_distinct
 
 SNAPSHOT_KEY = ["contributor_key", "c_date", "team_name", "source_name"]
@@ -21,11 +22,11 @@ def active_snapshot(contributor_facts: DataFrame, conversion: DataFrame, team: D
     Facts whose team or source has no dim row drop
     out (inner joins), as in the warehouse definition.
     """
-    conv = conversion.where(F.col("contributor_level") == level).select("conversion_key")
+    conv = broadcast_counted(conversion.where(F.col("contributor_level") == level).select("conversion_key"))
     facts = (contributor_facts.select("contributor_key", "conversion_key", "team_key", "source_key", "utc_datetime")
              .join(conv, "conversion_key", "left_semi")
-             .join(team.select("team_key", "team_name"), "team_key")
-             .join(source.select("source_key", "source_name"), "source_key"))
+             .join(broadcast_counted(team.select("team_key", "team_name")), "team_key")
+             .join(broadcast_counted(source.select("source_key", "source_name")), "source_key"))
     snap = trailing_distinct(facts, ["contributor_key", "team_name", "source_name"], "utc_datetime", mondays, span)
     return snap.select("contributor_key", F.col(AS_OF).alias("c_date"), "team_name", "source_name")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.timefn import date_key
+from cadence.operators.joins import dealt
 
 
 @dataclass
@@ -25,6 +26,7 @@ class DimJoin:
     default: dict[str, Any] = field(default_factory=dict)   # output column -> value when missing
     null_safe: bool = False            # match NULL with NULL
     ignore_case: bool = False          # compare names without case (as a case-insensitive collation)
+    grows: bool = False                # has a member a contributor or the like: joined by dealing both sides
 
 
 def join_dim(raw: DataFrame, dj: DimJoin, tag: str) -> DataFrame:
@@ -36,7 +38,7 @@ def join_dim(raw: DataFrame, dj: DimJoin, tag: str) -> DataFrame:
             left, right = F.lower(left), F.lower(right)
         c = left.eqNullSafe(right) if dj.null_safe else left == right
         cond = c if cond is None else cond & c
-    out = raw.join(dim, cond, dj.how)
+    out = raw.join(dealt(dim) if dj.grows else dim, cond, dj.how)
     for dc, oc in dj.take.items():
         v = F.col(f"{tag}_{dc}")
         if oc in dj.default:

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadence.operators.joins import dealt
+
 
 def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -70,7 +72,7 @@ def insert_if_absent(existing: DataFrame | None, incoming: DataFrame, key: Seque
     fresh = pick_per_key(incoming, key, order)
     if existing is None:
         return fresh
-    return anti_join_keys(fresh, existing, key)
+    return anti_join_keys(fresh, dealt(existing), key)
 
 
 def replace_by_key(existing: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
@@ -80,5 +82,5 @@ def replace_by_key(existing: DataFrame | None, incoming: DataFrame, key: Sequenc
     fresh = pick_per_key(incoming, key, order, last=True)
     if existing is None:
         return fresh
-    kept = anti_join_keys(existing, fresh, key)
+    kept = anti_join_keys(existing, dealt(fresh), key)
     return kept.unionByName(fresh.select(*existing.columns))

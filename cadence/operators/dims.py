@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.timefn import between_ts, calendar_attributes, date_key
 from cadence.operators.dedup import insert_if_absent
+from cadence.operators.joins import dealt
 from cadence.session import materialised
 
 UNKNOWN_KEY = 0
@@ -52,7 +53,7 @@ def number_members(members: DataFrame, natural: Sequence[str] | str, key_col: st
             first = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_first() for c in natural])
             offers = left.select(surrogate_key(*natural, probe=probe, bits=bits).alias(key_col), *natural)
             offers = offers.withColumn("_nth", F.row_number().over(first))
-            used = taken.select(F.col(key_col).alias("_used")).distinct()
+            used = dealt(taken.select(F.col(key_col).alias("_used")).distinct())
             offers = offers.join(used, F.col(key_col) == F.col("_used"), "left")
             offers = tables.enter_context(materialised(offers.withColumn("_won", (F.col("_nth") == 1) & F.col("_used").isNull())))
             won, lost = offers.where("_won").select(key_col, *natural), offers.where("NOT _won").select(*natural)

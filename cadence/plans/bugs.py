@@ -17,6 +17,7 @@ from cadence.functions.text import concat_strict, literal_contains
 from cadence.functions.timefn import QUARTER, Span, date_key, offset_column
 from cadence.operators.conform import DimJoin, conform
 from cadence.operators.hop import Mondays, calendar_mondays
+from cadence.operators.joins import broadcast_bounded, dealt
 from cadence.operators.keys import join_keys, semi_join_keys
 from cadence.operators.windows import first_event_flag, threshold_rollup
 from cadence.plans import names as N
@@ -45,13 +46,13 @@ def _bug_context(src: Sources) -> DataFrame:
     bugs = src["bugs"].select("bug_id", "product_id", "component_id", "bug_status")
     prod = src["products"].select(F.col("id").alias("_pid"), F.col("name").alias("product"))
     comp = src["components"].select(F.col("id").alias("_cid"), F.col("name").alias("component"))
-    return (bugs.join(prod, F.col("product_id") == F.col("_pid"))
-            .join(comp, F.col("component_id") == F.col("_cid"))
-            .select("bug_id", F.col("bug_status").alias("status"), "product", "component"))
+    return dealt(bugs.join(prod, F.col("product_id") == F.col("_pid"))
+                 .join(comp, F.col("component_id") == F.col("_cid"))
+                 .select("bug_id", F.col("bug_status").alias("status"), "product", "component"))
 
 
 def _login(src: Sources, on: str) -> DataFrame:
-    return src["profiles"].select(F.col("userid").alias(on), F.col("login_name"))
+    return dealt(src["profiles"].select(F.col("userid").alias(on), F.col("login_name")))
 
 
 def extract_attachments(src: Sources, lo, hi, tz: str | None = None, offset=None) -> DataFrame:
@@ -138,7 +139,7 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, status
         comp_join = DimJoin(component, {"component": "component_name"}, {"component_key": "component_key"},
                             default={"component_key": 0})
     out = conform(raw, utc_of_raw(), [
-        DimJoin(contributor, {"contributor_email": "email"}, {"contributor_key": "contributor_key"}, how="inner"),
+        DimJoin(contributor, {"contributor_email": "email"}, {"contributor_key": "contributor_key"}, how="inner", grows=True),
         DimJoin(status, {"status": "status_name"}, {"status_key": "status_key"}),
         DimJoin(product, {"product": "product_name"}, {"product_key": "product_key"}),
         comp_join,
@@ -164,12 +165,12 @@ def first_comments(wh: Warehouse, batch: DataFrame) -> DataFrame:
         stored = comments.select("bug_id", F.col("utc_datetime").alias("first_ts"))
     stored = stored.groupBy("bug_id").agg(F.min("first_ts").alias("_old"))
     seen = batch.groupBy("bug_id").agg(F.min(F.when(F.col("fields") == N.FIELD_COMMENT, F.col("utc_datetime"))).alias("_seen"))
-    return join_keys(seen, stored, ["bug_id"], "left").select("bug_id", "_old", F.least("_seen", "_old").alias("_first"))
+    return join_keys(seen, dealt(stored), ["bug_id"], "left").select("bug_id", "_old", F.least("_seen", "_old").alias("_first"))
 
 
 def with_first_comments(facts: DataFrame, marks: DataFrame) -> DataFrame:
     """``facts`` with ``comment_num = 0`` at the first comment of the bugs that ``marks`` knows, and nowhere else of them."""
-    rows = join_keys(facts, marks.select("bug_id", "_first"), ["bug_id"], "left")
+    rows = join_keys(facts, dealt(marks.select("bug_id", "_first")), ["bug_id"], "left")
     right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
     return rows.withColumn("comment_num", right).select(*facts.columns)
 
@@ -187,14 +188,16 @@ def restate_facts(wh: Warehouse, moved: DataFrame) -> None:
     bounds = dates.agg(F.min("utc_date_key"), F.max("utc_date_key")).first()
     if bounds[0] is None:
         return
-    facts = semi_join_keys(wh.table(FACTS, between=tuple(bounds)), dates.distinct(), ["utc_date_key"])
+    days = bounds[1] - bounds[0] + 1  # no fewer than the dates between the two keys
+    facts = semi_join_keys(wh.table(FACTS, between=tuple(bounds)), broadcast_bounded(dates.distinct(), known_rows=days), ["utc_date_key"])
     marks = moved.select("bug_id", "_first")
-    rows = join_keys(facts, marks, ["bug_id"], "left")
+    rows = join_keys(facts, dealt(marks), ["bug_id"], "left")
     right = F.when(F.col("_first").isNull(), F.col("comment_num")).when(F.col("utc_datetime") == F.col("_first"), F.lit(0))
     changed = rows.where(~right.eqNullSafe(F.col("comment_num"))).select("utc_date_key").distinct()
     with materialised(changed) as changed:
         if not changed.isEmpty():
-            wh.overwrite_partitions(FACTS, with_first_comments(semi_join_keys(facts, changed, ["utc_date_key"]), marks), ["utc_date_key"])
+            touched = semi_join_keys(facts, broadcast_bounded(changed, known_rows=days), ["utc_date_key"])
+            wh.overwrite_partitions(FACTS, with_first_comments(touched, marks), ["utc_date_key"])
 
 
 def withdrawn(moved: DataFrame, conversion_dim: DataFrame, names: N.Names = N.Names()) -> DataFrame:
@@ -250,7 +253,7 @@ def conversions(facts: DataFrame, product: DataFrame, attachment: DataFrame, con
     # attachment_key is the attachment table's key, so this join does not fan out; most facts have
     # none and stay out of it, as they would all be dealt to one task
     has = F.col("attachment_key").isNotNull()
-    patches = attachment.select("attachment_key", "ispatch")
+    patches = dealt(attachment.select("attachment_key", "ispatch"))
     f = f.where(has).join(patches, "attachment_key", "left").unionByName(
         f.where(~has).withColumn("ispatch", F.lit(None).cast(patches.schema["ispatch"].dataType)))
     rows = convert(f, conversion_rules(names))
@@ -306,7 +309,7 @@ def load_batch(wh: Warehouse, facts: DataFrame, conversion_dim: DataFrame, sourc
             first = moved.select("bug_id", F.col("_first").alias("utc_datetime"))
             bounds = first.agg(F.min("utc_datetime"), F.max("utc_datetime")).first()
             if bounds[0] is not None:
-                flagged = flagged.unionByName(semi_join_keys(stored_between(wh, FACTS, *bounds), first, ["bug_id", "utc_datetime"]))
+                flagged = flagged.unionByName(semi_join_keys(stored_between(wh, FACTS, *bounds), dealt(first), ["bug_id", "utc_datetime"]))
             rows = conversions(flagged, wh.table("bug_product"), wh.table(ATTACHMENT), conversion_dim, source_dim, team_dim, names=names)
             wh.exchange(CONTRIBUTOR_FACTS, rows, withdrawn(moved, conversion_dim, names), FACT_KEY,
                         ["conversion_key", "canonical", "utc_datetime"], ["utc_date_key"], within=load_keys(lo, hi))

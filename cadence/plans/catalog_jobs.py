@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.text import concat_strict
 from cadence.operators.dims import calendar
+from cadence.operators.joins import dealt
 from cadence.plans import bugs
 from cadence.plans import names as N
 from cadence.plans.registry import register, table
@@ -42,7 +43,7 @@ def bug_sources(spark: SparkSession, d: str) -> Sources:
         F.col("c_custkey").alias("userid"), email.alias("login_name"),
         (F.lit("1996-12-20 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval(F.lit(0), (F.col("c_custkey") * 7).cast("int"))).alias("creation_ts"))
-    bugs_t = orders.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
+    bugs_t = orders.join(dealt(customer.select("c_custkey", "c_nationkey")), F.col("o_custkey") == F.col("c_custkey")) \
         .select(F.col("o_orderkey").alias("bug_id"), F.col("c_nationkey").cast("long").alias("product_id"),
                 F.col("c_nationkey").cast("long").alias("component_id"), F.col("o_orderstatus").alias("bug_status"))
     products = nation.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cadence.functions.timefn import date_key
 from cadence.operators.dims import calendar
 from cadence.operators.hop import every_monday
+from cadence.operators.joins import dealt
 from cadence.plans import aggregate, bugs, hosting, reports, support
 from cadence.plans import catalog_jobs as J
 from cadence.plans.registry import ORACLE, register, table
@@ -33,7 +34,7 @@ def _dim(spark: SparkSession, key: str, name: str, values: list[str]) -> DataFra
 
 def _named(wh: Warehouse, conversion: DataFrame, source: DataFrame, team: DataFrame) -> DataFrame:
     """Stored conversions with names for keys."""
-    return (wh.table("contributor_facts").join(wh.table("contributor"), "contributor_key")
+    return (wh.table("contributor_facts").join(dealt(wh.table("contributor")), "contributor_key")
             .join(conversion, "conversion_key").join(source, "source_key", "left").join(team, "team_key", "left")
             .select("email", "conversion_desc", "source_name", "team_name", "canonical", "utc_datetime", "cnt", "utc_date_key"))
 

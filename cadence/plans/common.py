@@ -13,6 +13,7 @@ import datetime as _dt
 from cadence.functions.timefn import Span, add_offset, between_ts, date_key, date_key_between
 from cadence.operators.dedup import anti_join_keys
 from cadence.operators.dims import calendar, number_members
+from cadence.operators.joins import dealt
 from cadence.plans.conversions import FACT_KEY
 from cadence.sources.sinks import Warehouse
 
@@ -45,7 +46,7 @@ def insert_members(wh: Warehouse, name: str, members: DataFrame, natural: Sequen
     stored = wh.read(name)
     fresh = members.select(*natural)
     if stored is not None:
-        fresh = anti_join_keys(fresh, stored, natural)
+        fresh = anti_join_keys(fresh, dealt(stored), natural)
     with number_members(fresh, natural, key_col, stored) as keyed:
         wh.insert_new(name, keyed.withColumns(more), natural)
     return wh.table(name)

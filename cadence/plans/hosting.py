@@ -71,7 +71,7 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, org: D
                   repo: DataFrame) -> DataFrame:
     """``hosting_facts``: unknown org / repo become the member 0."""
     out = conform(raw, utc_of_raw(), [
-        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner"),
+        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner", grows=True),
         DimJoin(org, {"extra_github_org": "github_org_name"}, {"github_org_key": "github_org_key"},
                 default={"github_org_key": 0}),
         DimJoin(repo, {"extra_github_repo": "github_repo_name"}, {"github_repo_key": "github_repo_key"},

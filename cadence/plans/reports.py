@@ -88,7 +88,7 @@ def location_members(raw_window: DataFrame, existing: DataFrame | None) -> DataF
 def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame, activity: DataFrame, source: DataFrame,
                   campaign: DataFrame, location: DataFrame) -> DataFrame:
     out = conform(raw, utc_of_raw(), [
-        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner"),
+        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner", grows=True),
         DimJoin(activity, {"activity": "activity_name"}, {"activity_key": "activity_key"},
                 default={"activity_key": 0}),
         DimJoin(source, {"source_text": "source_name"}, {"source_key": "source_key"}),

@@ -114,7 +114,7 @@ def conform_facts(raw: DataFrame, contributor: DataFrame, cal: DataFrame | None,
     """``support_facts``: product and topic are inner joins by name, so a fact whose
     product or topic name is not a dim member is dropped."""
     out = conform(raw, utc_of_raw(), [
-        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner"),
+        DimJoin(contributor, {"email": "email"}, {"contributor_key": "contributor_key"}, how="inner", grows=True),
         DimJoin(product, {"extra_product": "product_name"}, {"product_key": "product_key"}, how="inner"),
         DimJoin(topic, {"extra_topic": "topic_name"}, {"topic_key": "topic_key"}, how="inner"),
     ], calendar=cal)

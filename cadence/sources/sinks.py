@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.operators.dedup import anti_join_keys, insert_if_absent, replace_by_key
+from cadence.operators.joins import broadcast_bounded, dealt
 from cadence.operators.keys import semi_join_keys
 from cadence.session import materialised
 
@@ -253,16 +254,16 @@ class Warehouse:
             entry = self._state(name, incoming, partition_by)
             shrink = self._touched(entry, gone)
             if shrink:  # those in which it names a row that is stored
-                shrink = self._touched(entry, semi_join_keys(self._rows(name, entry, shrink), gone, retract_key))
+                shrink = self._touched(entry, semi_join_keys(self._rows(name, entry, shrink), dealt(gone), retract_key))
             if not shrink:
                 self.insert_new(name, incoming, key, partition_by=partition_by, within=within)
                 return
             incoming = incoming.select(*T.StructType.fromJson(entry["schema"]).names)
             with materialised(incoming) as batch:
-                kept = anti_join_keys(self._rows(name, entry, shrink), gone, retract_key)
+                kept = anti_join_keys(self._rows(name, entry, shrink), dealt(gone), retract_key)
                 grow = [p for p in self._touched(entry, batch) if p not in shrink]
                 fresh = insert_if_absent(kept.unionByName(self._rows(name, entry, grow)), batch, key)
-                values = self._rows(name, entry, shrink).select(*partition_by).distinct()
+                values = broadcast_bounded(self._rows(name, entry, shrink).select(*partition_by).distinct(), known_rows=len(shrink))
                 rewritten = self._stage(kept.unionByName(semi_join_keys(fresh, values, partition_by)), name, partition_by)
                 elsewhere = self._stage(anti_join_keys(fresh, values, partition_by), name, partition_by)
                 self._commit(name, entry, elsewhere | rewritten, shrink)

@@ -156,7 +156,9 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     counts = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    first = by_part.select("length", "part", earlier.alias("earlier"))
-    numbered = pieces.join(first, ["length", "part"]).withColumn("nth", F.col("nth") + F.col("earlier")).drop("earlier", "part")
+    # one number as the key and the small side as a hash table: no task sorts its pieces, whose pages fill the heap
+    key = F.shiftleft("length", 31) + F.col("part")
+    first = by_part.select(key.alias("run"), earlier.alias("earlier")).hint("shuffle_hash")
+    numbered = pieces.withColumn("run", key).join(first, "run").withColumn("nth", F.col("nth") + F.col("earlier")).drop("earlier", "part", "run")
     return map_arrow(numbered, _place(plan([(r["length"], r["n"]) for r in counts], capacity)),
                      f"{base}, sequence_id bigint, offset bigint")
